@@ -63,9 +63,8 @@ def number_batches(
     )
     if partitions + shards <= _BROADCAST_ROWS:
         offsets = F.broadcast(offsets)
-    position = F.col("_place") + F.col("_offset")
     return (
         placed.join(offsets, ["shard", "_partition"])
-        .withColumn("batch_no", F.floor(position / size))
+        .withColumn("batch_no", F.expr(f"(_place + _offset) div {size}"))
         .drop("_partition", "_place", "_offset")
     )
