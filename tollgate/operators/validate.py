@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from tollgate.functions import envelope, jsonx
 from tollgate.model import MESSAGE
@@ -13,16 +14,12 @@ from tollgate.plans import avro
 from tollgate.plans.revisions import Revision
 
 
-def violation(definition: str) -> Column:
+def _violation(fields: list[avro.AvroField]) -> Column:
     """The first rule a document in ``_cells`` breaks, or NULL.
 
     A required field must be present and not null; a present value must have the field's base
     type, whatever its logical type says; unknown fields are accepted.
     """
-    return F.coalesce(*[_first(run) for run in jsonx.chunks(avro.fields_of(definition))])
-
-
-def _first(fields: list[avro.AvroField]) -> Column:
     result = F
     for f in fields:
         value = jsonx.cell(f.name)
@@ -51,7 +48,7 @@ def check(messages: DataFrame, revisions: Sequence[Revision]) -> DataFrame:
     for number, revision in enumerate(newest_first):
         runs = jsonx.chunks(avro.fields_of(revision.definition))
         for part, run in enumerate(runs):
-            df = jsonx.once(df, **{f"_reason{number}_{part}": _first(run)})
+            df = jsonx.once(df, **{f"_reason{number}_{part}": _violation(run)})
         reasons.append(F.coalesce(unreadable, *[F.col(f"_reason{number}_{part}") for part in range(len(runs))]))
     stamps = [F.when(why.isNull(), F.lit(r.revision_id)) for r, why in zip(newest_first, reasons)]
     revision_id = F.coalesce(*stamps)
@@ -79,6 +76,14 @@ def relay(messages: DataFrame, revisions: Sequence[Revision], schema_name: str)
     )
 
 
+# What a relay publishes, by outcome.
+TOPIC = StructType([*MESSAGE.fields, StructField("reject_reason", StringType()), StructField("outcome", StringType())])
+
+
+def outcome() -> Column:
+    return F.when(F.col("reject_reason").isNull(), "accepted").otherwise("rejected")
+
+
 def accepted(relayed: DataFrame) -> DataFrame:
     return relayed.where(F.col("reject_reason").isNull()).select(*MESSAGE.fieldNames())
 

@@ -33,6 +33,18 @@ def stream_landing(
     return reader.parquet(path)
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Use all cores on an input of few partitions, such as one file with one row group.
+
+    Parsing a payload costs far more than moving it. An input that already has a partition per
+    core, as any large one has, is returned as it is and is never shuffled.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if df.isStreaming or df.rdd.getNumPartitions() >= cores:
+        return df
+    return df.repartition(cores)
+
+
 def from_kafka(records: DataFrame) -> DataFrame:
     """Rows of Spark's Kafka source (read with ``includeHeaders``) as messages.
 

@@ -1,0 +1,78 @@
+"""Batches of a fixed count or a fixed wait, whichever comes first, over a stream."""
+
+from __future__ import annotations
+
+from collections.abc import Iterator
+
+import pandas as pd
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+
+from tollgate.operators.batching import BATCH_SIZE, SHARDS, shard_of
+
+WAIT_MILLIS = 1_000
+
+_OUTPUT = "shard int, sub_shard int, batch_no bigint, message_id string, n int"
+# Ids waiting for their batch, the number of the next batch, when the first of them came.
+_STATE = "waiting array<string>, next_batch bigint, first_arrival bigint"
+
+
+def count_or_time_batches(
+    messages: DataFrame,
+    size: int = BATCH_SIZE,
+    wait_millis: int = WAIT_MILLIS,
+    shards: int = SHARDS,
+    sub_shards: int = 1,
+) -> DataFrame:
+    """Each message id with the batch it belongs to.
+
+    A shard's rows reach its task as a sequence of pandas frames and full batches leave at once,
+    so at most ``size`` ids are held. ``sub_shards`` splits the shards further, which is what
+    spreads them over more tasks than there are shards.
+    """
+    keyed = messages.select(
+        shard_of(F.col("message_id"), shards).alias("shard"),
+        F.pmod(F.shiftright(F.xxhash64("message_id"), 32), F.lit(sub_shards)).cast("int").alias("sub_shard"),
+        "message_id",
+    )
+
+    def flush(key: tuple, ids: list[str], batch_no: int) -> pd.DataFrame:
+        return pd.DataFrame(
+            {
+                "shard": key[0],
+                "sub_shard": key[1],
+                "batch_no": batch_no,
+                "message_id": ids,
+                "n": len(ids),
+            }
+        )
+
+    def collect(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        waiting, next_batch, first_arrival = state.get if state.exists else ([], 0, 0)
+        waiting = list(waiting)
+        now = state.getCurrentProcessingTimeMs()
+        if state.hasTimedOut:
+            if waiting:
+                yield flush(key, waiting, next_batch)
+                next_batch += 1
+            state.update(([], next_batch, 0))
+            return
+        for frame in frames:
+            waiting.extend(frame["message_id"])
+            full = len(waiting) // size
+            for number in range(full):
+                yield flush(key, waiting[number * size : (number + 1) * size], next_batch + number)
+            if full:
+                waiting = waiting[full * size :]
+                next_batch += full
+                first_arrival = 0
+        if waiting:
+            # The wait counts from the first arrival; later rows must not put it off.
+            first_arrival = first_arrival or now
+            state.setTimeoutDuration(max(1, first_arrival + wait_millis - now))
+        state.update((waiting, next_batch, first_arrival))
+
+    return keyed.groupBy("shard", "sub_shard").applyInPandasWithState(
+        collect, _OUTPUT, _STATE, "append", GroupStateTimeout.ProcessingTimeTimeout
+    )

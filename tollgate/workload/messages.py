@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tollgate.session import configure
+from tollgate.sources.messages import spread
 
 SPARK = {
     "text": "STRING",
@@ -80,7 +81,7 @@ def payload_sql(dialect: dict, faults: bool = True, enriched: str = ODD) -> str:
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return configure(spark).read.parquet(f"{sf_dir}/{name}.parquet")
+    return spread(configure(spark).read.parquet(f"{sf_dir}/{name}.parquet"))
 
 
 def events_as_messages(
