@@ -19,7 +19,7 @@ def quoted(name: str) -> str:
     return "`" + name.replace("`", "``") + "`"
 
 
-def once(df: DataFrame, **columns: Column) -> DataFrame:
+def once(df: DataFrame, **columns: Column | str) -> DataFrame:
     """Add columns whose expressions run exactly once per row.
 
     A filter on a projected column is pushed below the projection and its expression is then
@@ -27,11 +27,12 @@ def once(df: DataFrame, **columns: Column) -> DataFrame:
     output stay above the generator, so the columns are produced by a one-element ``explode``:
     no shuffle, and it stays inside whole-stage code generation.
     """
-    packed = F.struct(*[expression.alias(name) for name, expression in columns.items()])
-    kept = [name for name in df.columns if name not in columns]
-    return df.select(*[F.col(quoted(n)) for n in kept], F.explode(F.array(packed)).alias("_once")).select(
-        *[F.col(quoted(n)) for n in kept], *[F.col("_once")[name].alias(name) for name in columns]
-    )
+    packed = F.struct(*[_column(e).alias(name) for name, e in columns.items()])
+    return df.select("*", F.explode(F.array(packed)).alias("_once")).select("*", "_once.*").drop("_once")
+
+
+def _column(expression: Column | str) -> Column:
+    return F.expr(expression) if isinstance(expression, str) else expression
 
 
 def decode_utf8(data: Column) -> Column:
@@ -55,18 +56,17 @@ def with_document(df: DataFrame, shape: str, text: str = "_text") -> DataFrame:
     key holds ``null``.
     """
     configure(df.sparkSession)
-    digest = F.col("_digest")
-    guarded = F.concat(F.lit("["), F.col(text), F.lit(f',{{"{_GUARD}":"'), digest, F.lit('"}]'))
-    array = F.try_parse_json(guarded).try_cast(f"array<{shape}>")
-    df = once(df.withColumn("_digest", F.md5(F.col(text))), _array=array)
-    closing = F.col("_array")[1][_GUARD].try_cast("string")
-    whole = (F.size("_array") == 2) & (closing == digest)
-    kept = [n for n in df.columns if n not in ("_array", "_digest", "_cells", "_is_json")]
-    return df.select(
-        *[F.col(quoted(n)) for n in kept],
-        F.coalesce(whole, F.lit(False)).alias("_is_json"),
-        F.col("_array")[0].alias("_cells"),
+    guarded = f"""concat('[', {text}, ',{{"{_GUARD}":"', _digest, '"}}]')"""
+    df = once(
+        df.selectExpr("*", f"md5({text}) AS _digest"),
+        _array=f"try_cast(try_parse_json({guarded}) AS array<{shape}>)",
     )
+    closing = f"try_cast(get(_array, 1)[r'{_GUARD}'] AS string)"
+    return df.selectExpr(
+        "*",
+        f"coalesce(size(_array) = 2 AND {closing} = _digest, false) AS _is_json",
+        "get(_array, 0) AS _cells",
+    ).drop("_array", "_digest")
 
 
 def with_cells(df: DataFrame, names: Iterable[str], text: str = "_text") -> DataFrame:
@@ -89,52 +89,54 @@ def chunks(items: list, size: int = 6) -> list[list]:
     return [items[i : i + size] for i in range(0, len(items), size)]
 
 
-def cell(name: str) -> Column:
-    return F.col("_cells")[name]
+def cell(name: str) -> str:
+    """SQL text of a member of ``_cells``, a variant.
+
+    The expressions over members are SQL text: a schema has many fields, and every operation on
+    a Column object is a round trip to the JVM.
+    """
+    return f"_cells.{quoted(name)}"
 
 
-def kind(value: Column) -> Column:
+def kind(value: str) -> str:
     """The variant's own type; reading a variant *as* a type would convert silently."""
-    return F.schema_of_variant(value)
+    return f"schema_of_variant({value})"
 
 
-def is_null(value: Column) -> Column:
+def is_null(value: str) -> str:
     """True for an absent key and for an explicit null."""
-    return value.isNull() | F.is_variant_null(value)
+    return f"({value} IS NULL OR is_variant_null({value}))"
 
 
-def is_number(value: Column) -> Column:
-    return F.substring(kind(value), 1, 3).isin(*NUMBER_PREFIXES)
+def is_number(value: str) -> str:
+    return f"substring({kind(value)}, 1, 3) IN {NUMBER_PREFIXES}"
 
 
-def mismatch(value: Column, base: str) -> Column:
+def mismatch(value: str, base: str) -> str:
     """True if a value is present, not null, and not of the base type; never converts.
 
     An absent key has no kind, so the comparison is NULL, which no check takes for true.
     """
-    name = kind(value)
+    prefix = f"substring({kind(value)}, 1, 3)"
     if base == "double":
-        return ~F.substring(name, 1, 3).isin(*NUMBER_PREFIXES, "VOI")
+        return f"{prefix} NOT IN {(*NUMBER_PREFIXES, 'VOI')}"
     if base == "moment":
-        return ~F.substring(name, 1, 3).isin(*NUMBER_PREFIXES, "STR", "VOI")
+        return f"{prefix} NOT IN {(*NUMBER_PREFIXES, 'STR', 'VOI')}"
     expected = {"string": "STRING", "bytes": "STRING", "long": "BIGINT", "int": "BIGINT", "boolean": "BOOLEAN"}
-    wrong = ~name.isin(expected[base], "VOID")
+    wrong = f"{kind(value)} NOT IN ('{expected[base]}', 'VOID')"
     if base == "int":
-        return wrong | ~value.try_cast("bigint").between(-(2**31), 2**31 - 1)
+        return f"({wrong} OR try_cast({value} AS bigint) NOT BETWEEN {-(2**31)} AND {2**31 - 1})"
     if base == "bytes":
         # One byte per character, so only the first 256 code points can occur.
-        return wrong | ~value.try_cast("string").rlike(ONE_BYTE_CHARS)
+        return f"({wrong} OR NOT rlike(try_cast({value} AS string), r'{ONE_BYTE_CHARS}'))"
     return wrong
 
 
-def is_falsy(value: Column) -> Column:
+def is_falsy(value: str) -> str:
     """Absent, null, empty text, zero, false, empty array or empty object."""
-    name = kind(value)
-    return (
-        F.when(is_null(value), True)
-        .when(name == "STRING", value.try_cast("string") == "")
-        .when(is_number(value), value.try_cast("double") == 0)
-        .when(name == "BOOLEAN", ~value.try_cast("boolean"))
-        .when(name.startswith("ARRAY"), F.try_variant_get(value, "$[0]", "variant").isNull())
-        .otherwise(name == "OBJECT<>")
-    )
+    return f"""(CASE WHEN {is_null(value)} THEN true
+      WHEN {kind(value)} = 'STRING' THEN try_cast({value} AS string) = ''
+      WHEN {is_number(value)} THEN try_cast({value} AS double) = 0
+      WHEN {kind(value)} = 'BOOLEAN' THEN NOT try_cast({value} AS boolean)
+      WHEN {kind(value)} LIKE 'ARRAY%' THEN try_variant_get({value}, '$[0]', 'variant') IS NULL
+      ELSE {kind(value)} = 'OBJECT<>' END)"""

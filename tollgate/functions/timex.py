@@ -2,9 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
-
 # The common form, which Spark's own cast reads; its zone offsets stop at 18 hours.
 _PLAIN = (
     r"\A(?!0000)\d{4}-\d{2}-\d{2}[T ]\d{2}:\d{2}:\d{2}(\.\d+)?"
@@ -51,56 +48,54 @@ _PARTS = "$1-$2-$3 $4$5:$6$7:$8$9.$10$11|$12$13$14|$12$15$16|$12$17$18|$12|$19$2
 _DAY_MICROS = 86_400_000_000
 
 
-def iso_source(value: Column) -> Column:
-    """What ``parse_iso`` reads out of a variant: its text, or the parts of an unusual text.
+def iso_source(value: str) -> str:
+    """SQL text of what ``parse_iso`` reads out of a variant: see ``iso_parts``."""
+    return f"CASE WHEN schema_of_variant({value}) = 'STRING' THEN {iso_parts(f'try_cast({value} AS string)')} END"
 
-    The parts are referred to many times over, so callers keep this in a ``once`` column.
-    """
-    return F.when(F.schema_of_variant(value) == "STRING", iso_parts(value.try_cast("string")))
 
+def iso_parts(text: str) -> str:
+    """A text in the common form as it is, one in another form as its parts.
 
-def iso_parts(text: Column) -> Column:
-    plain = text.rlike(_PLAIN)
-    calendar = F.when(text.rlike(_WEEK_DATE), _calendar_date(text)).otherwise(text)
-    parts = F.split(F.regexp_replace(F.concat(calendar, F.lit(_TAIL)), _SPLIT, _PARTS), r"\|")
-    return F.struct(
-        F.when(plain, text).alias("text"),
-        F.when(~plain & text.rlike(_ISO), parts).alias("parts"),
-    )
+    The parts are referred to many times over, so callers keep this in a ``once`` column.
+    """
+    calendar = f"CASE WHEN rlike({text}, r'{_WEEK_DATE}') THEN {_calendar_date(text)} ELSE {text} END"
+    parts = f"split(regexp_replace(concat({calendar}, '{_TAIL}'), r'{_SPLIT}', '{_PARTS}'), r'\\|')"
+    plain = f"rlike({text}, r'{_PLAIN}')"
+    return f"""named_struct(
+      'text', CASE WHEN {plain} THEN {text} END,
+      'parts', CASE WHEN NOT {plain} AND rlike({text}, r'{_ISO}') THEN {parts} END)"""
 
 
-def _calendar_date(text: Column) -> Column:
+def _calendar_date(text: str) -> str:
     """The text with its week date turned into a calendar date; NULL if there is no such week."""
-
-    def group(index: int) -> Column:
-        return F.regexp_extract(text, _WEEK_DATE, index)
-
-    week = group(2).try_cast("int")
+    year, week, weekday = (f"regexp_extract({text}, r'{_WEEK_DATE}', {group})" for group in (1, 2, 3))
     # ISO week 1 holds 4 January and the last one holds 28 December.
-    first = F.date_trunc("week", F.concat(group(1), F.lit("-01-04")).try_cast("timestamp")).cast("date")
-    last_week = F.weekofyear(F.concat(group(1), F.lit("-12-28")).try_cast("date"))
-    day = F.date_add(first, week * 7 - 8 + F.coalesce(group(3).try_cast("int"), F.lit(1)))
-    return F.when(
-        week.between(1, last_week), F.concat(day.cast("string"), F.regexp_replace(text, _WEEK_DATE, ""))
-    )
+    first = f"CAST(date_trunc('week', try_cast({year} || '-01-04' AS timestamp)) AS date)"
+    last_week = f"weekofyear(try_cast({year} || '-12-28' AS date))"
+    number = f"try_cast({week} AS int)"
+    day = f"date_add({first}, {number} * 7 - 8 + coalesce(try_cast({weekday} AS int), 1))"
+    rest = f"regexp_replace({text}, r'{_WEEK_DATE}', '')"
+    return f"CASE WHEN {number} BETWEEN 1 AND {last_week} THEN CAST({day} AS string) || {rest} END"
 
 
-def parse_iso(source: Column) -> Column:
-    """Timestamp of an ISO-8601 text. Without an offset it is UTC; digits past micros are cut."""
-    text, parts = source["text"], source["parts"]
+def parse_iso(source: str) -> str:
+    """SQL text of the timestamp of an ISO-8601 text.
+
+    Without an offset it is UTC; digits past micros are cut.
+    """
 
-    def number(index: int) -> Column:
-        return parts[index].try_cast("bigint")
+    def part(index: int) -> str:
+        return f"{source}.parts[{index}]"
 
-    fraction = F.concat(parts[4], F.rpad(parts[5], 6, "0")).try_cast("bigint")
-    offset = (number(1) * 3600 + number(2) * 60 + number(3)) * 1_000_000 + fraction
-    moment = F.timestamp_micros(F.unix_micros(parts[0].try_cast("timestamp")) - offset)
-    return F.when(text.isNotNull(), text.try_cast("timestamp")).when(
-        F.abs(offset) < _DAY_MICROS, moment
-    )
+    hours, minutes, seconds = (f"try_cast({part(i)} AS bigint)" for i in (1, 2, 3))
+    fraction = f"try_cast({part(4)} || rpad({part(5)}, 6, '0') AS bigint)"
+    offset = f"(({hours} * 3600 + {minutes} * 60 + {seconds}) * 1000000 + {fraction})"
+    local = f"unix_micros(try_cast({part(0)} AS timestamp))"
+    return f"""CASE WHEN {source}.text IS NOT NULL THEN try_cast({source}.text AS timestamp)
+      WHEN abs({offset}) < {_DAY_MICROS} THEN timestamp_micros({local} - {offset}) END"""
 
 
-def from_epoch(value: Column, per_second: int) -> Column:
-    """Timestamp of an epoch number counted in ``per_second`` units (1,000 or 1,000,000)."""
-    micros = F.try_multiply(value.cast("decimal(38,6)"), F.lit(1_000_000 // per_second))
-    return F.timestamp_micros(F.round(micros, 0).try_cast("bigint"))
+def from_epoch(value: str, per_second: int) -> str:
+    """SQL text of the timestamp of a variant number counted in ``per_second`` units."""
+    micros = f"try_multiply(try_cast({value} AS decimal(38,6)), {1_000_000 // per_second})"
+    return f"timestamp_micros(try_cast(round({micros}, 0) AS bigint))"

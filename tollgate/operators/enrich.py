@@ -32,12 +32,12 @@ def region_of(latitude: Column) -> Column:
     )
 
 
-def latitude_of(value: Column) -> Column:
-    """A variant as the number it compares as: numbers, and text that spells one."""
-    text = value.try_cast("string")
-    return F.when(jsonx.is_number(value), value.try_cast("double")).when(
-        (jsonx.kind(value) == "STRING") & text.rlike(_NUMERIC_TEXT), F.trim(text).try_cast("double")
-    )
+def latitude_of(value: str) -> str:
+    """SQL text of a variant as the number it compares as: numbers, and text that spells one."""
+    text = f"try_cast({value} AS string)"
+    return f"""CASE WHEN {jsonx.is_number(value)} THEN try_cast({value} AS double)
+      WHEN {jsonx.kind(value)} = 'STRING' AND rlike({text}, r'{_NUMERIC_TEXT}')
+      THEN try_cast(trim({text}) AS double) END"""
 
 
 def iso_millis(clock: Column) -> Column:
@@ -57,7 +57,7 @@ def enrich_rides(messages: DataFrame, clock: Column | None = None) -> DataFrame:
         F.lit("enrichment_timestamp"),
         iso_millis(clock).cast("variant"),
         F.lit("region"),
-        region_of(latitude_of(F.col("_cells")["latitude"])).cast("variant"),
+        region_of(F.expr(latitude_of("_cells['latitude']"))).cast("variant"),
     )
     others = F.map_filter("_cells", lambda key, _: ~key.isin("enrichment_timestamp", "region"))
     enriched = F.to_json(F.map_concat(others, added)).cast("binary")

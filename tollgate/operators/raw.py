@@ -15,10 +15,7 @@ def parse_raw(messages: DataFrame, subscription: str, clock: Column | None = Non
     clock = F.current_timestamp() if clock is None else clock
     df = messages.select(*MESSAGE.fieldNames(), jsonx.decode_utf8(F.col("data")).alias("_text"))
     df = jsonx.with_cells(df, [])
-    error = routing.first_failure(
-        (F.col("_text").isNull(), "INVALID_UTF8"),
-        (~F.col("_is_json"), "INVALID_JSON"),
-    )
+    error = routing.first_failure(*routing.UNREADABLE[:2])
     return df.select(
         *envelope.metadata(subscription, clock),
         envelope.attributes_json(F.col("attributes")).alias("attributes"),

@@ -25,18 +25,27 @@ MESSAGES = {
 }
 
 
-def first_failure(*checks: tuple[Column, str]) -> Column:
-    """The label of the first check whose condition is true, else NULL."""
-    result = F
-    for condition, label in checks:
-        result = result.when(condition, F.lit(label))
-    return result
+def first_failure(*checks: tuple[str, str]) -> str:
+    """SQL text of the label of the first check whose condition is true, else NULL."""
+    whens = " ".join(f"WHEN {condition} THEN '{label}'" for condition, label in checks)
+    return f"CASE {whens} END"
 
 
-def outcome(error: Column) -> list[Column]:
+# What every path that reads members checks before any of them.
+UNREADABLE = (
+    ("_text IS NULL", "INVALID_UTF8"),
+    ("NOT _is_json", "INVALID_JSON"),
+    ("_cells IS NULL", "NOT_AN_OBJECT"),
+)
+
+
+def outcome(error: str) -> list[Column]:
     """``_error`` and ``_payload``; bytes that are not text are kept as hex."""
-    payload = F.coalesce("_text", F.concat(F.lit("0x"), F.hex("data")), F.lit(""))
-    return [error.alias(ERROR), F.when(error.isNotNull(), payload).alias(PAYLOAD)]
+    payload = "coalesce(_text, '0x' || hex(data), '')"
+    return [
+        F.expr(error).alias(ERROR),
+        F.expr(f"CASE WHEN {error} IS NOT NULL THEN {payload} END").alias(PAYLOAD),
+    ]
 
 
 def error_class(error: Column | str = ERROR) -> Column:

@@ -33,13 +33,7 @@ def parse_schema_driven(
 
     df = messages.select(*MESSAGE.fieldNames(), jsonx.decode_utf8(F.col("data")).alias("_text"))
     df = jsonx.with_cells(df, [f.name for f in fields])
-    errors = [
-        routing.first_failure(
-            (F.col("_text").isNull(), "INVALID_UTF8"),
-            (~F.col("_is_json"), "INVALID_JSON"),
-            (F.col("_cells").isNull(), "NOT_AN_OBJECT"),
-        )
-    ]
+    errors = [routing.first_failure(*routing.UNREADABLE)]
     columns = {}
     for number, run in enumerate(jsonx.chunks(fields)):
         df, failed = _read_run(df, run, f"_run{number}", micros_as_millis)
@@ -50,34 +44,32 @@ def parse_schema_driven(
         envelope.attributes_json(F.col("attributes")).alias("attributes"),
         *envelope.governance(),
         *[columns[f.name].alias(f.name) for f in fields],
-        *routing.outcome(F.coalesce(*errors)),
+        *routing.outcome(f"coalesce({', '.join(errors)})"),
     )
     return routing.fail_on_error(parsed) if on_error == "fail" else parsed
 
 
 def _read_run(
     df: DataFrame, fields: list[avro.AvroField], name: str, micros_as_millis: bool
-) -> tuple[DataFrame, Column]:
-    """Add a struct of the fields' values, and give the first failure among them."""
-    moments = [f for f in fields if f.is_timestamp]
+) -> tuple[DataFrame, str]:
+    """Add a struct of the fields' values, and name the column of the first failure among them."""
+
+    def struct(members: dict[str, str]) -> str:
+        return "named_struct(" + ", ".join(f"'{key}', {text}" for key, text in members.items()) + ")"
+
+    def moment(f: avro.AvroField) -> str:
+        return f"{name}_moments.{jsonx.quoted(f.name)}"
+
+    moments = {f.name: timex.iso_source(jsonx.cell(f.name)) for f in fields if f.is_timestamp}
     if moments:
-        sources = [timex.iso_source(jsonx.cell(f.name)).alias(f.name) for f in moments]
-        df = jsonx.once(df, **{f"{name}_moments": F.struct(*sources)})
-    values = {
-        f.name: f.read(
-            jsonx.cell(f.name),
-            F.col(f"{name}_moments")[f.name] if f.is_timestamp else None,
-            micros_as_millis,
-        )
-        for f in fields
-    }
-    df = jsonx.once(df, **{name: F.struct(*[v.alias(k) for k, v in values.items()])})
+        df = jsonx.once(df, **{f"{name}_moments": struct(moments)})
+    values = {f.name: f.read(jsonx.cell(f.name), moment(f), micros_as_millis) for f in fields}
+    df = jsonx.once(df, **{name: struct(values)})
     checks = []
     for f in fields:
         value = jsonx.cell(f.name)
         checks.append((f.unreadable(value), f"TYPE_MISMATCH:{f.name}"))
         if f.logical:
-            lost = ~jsonx.is_null(value) & F.col(name)[f.name].isNull()
+            lost = f"NOT {jsonx.is_null(value)} AND {name}.{jsonx.quoted(f.name)} IS NULL"
             checks.append((lost, f"{'BAD_TIMESTAMP' if f.is_timestamp else 'TYPE_MISMATCH'}:{f.name}"))
-    df = jsonx.once(df, **{f"{name}_error": routing.first_failure(*checks)})
-    return df, F.col(f"{name}_error")
+    return jsonx.once(df, **{f"{name}_error": routing.first_failure(*checks)}), f"{name}_error"

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import DataType, DoubleType, LongType, StringType
+from pyspark.sql.types import DoubleType, LongType, StringType
 
 from tollgate.functions import envelope, jsonx, timex
 from tollgate.model import MESSAGE, RIDE_FIELDS, STANDARD, STANDARD_DEFAULTS
@@ -25,36 +25,33 @@ def parse_standard(
     df = messages.select(*MESSAGE.fieldNames(), jsonx.decode_utf8(F.col("data")).alias("_text"))
     df = jsonx.with_cells(df, [f.name for f in RIDE_FIELDS])
     moment = jsonx.cell("timestamp")
-    not_text = ~jsonx.kind(moment).isin("STRING", "VOID")
+    not_text = f"{jsonx.kind(moment)} NOT IN ('STRING', 'VOID')"
     error = routing.first_failure(
-        (F.col("_text").isNull(), "INVALID_UTF8"),
-        (~F.col("_is_json"), "INVALID_JSON"),
-        (F.col("_cells").isNull(), "NOT_AN_OBJECT"),
-        (not_text & ~jsonx.is_falsy(moment), "BAD_TIMESTAMP:timestamp"),
+        *routing.UNREADABLE,
+        (f"{not_text} AND NOT {jsonx.is_falsy(moment)}", "BAD_TIMESTAMP:timestamp"),
         *[
             (jsonx.mismatch(jsonx.cell(name), _BASE[STANDARD[name].dataType]), f"TYPE_MISMATCH:{name}")
             for name in STANDARD_DEFAULTS
         ],
     )
-    for column in (
-        {"_error": error},
-        {"_source": timex.iso_source(moment)},
-        {"_moment": timex.parse_iso(F.col("_source"))},
-    ):
-        df = jsonx.once(df, **column)
+    # Apart from each other, so that no generated method grows too large; see jsonx.chunks.
+    df = jsonx.once(df, _error=error)
+    df = jsonx.once(df, _source=timex.iso_source(moment))
+    df = jsonx.once(df, _moment=timex.parse_iso("_source"))
+
     values = {
-        **{name: _typed(name, STANDARD[name].dataType) for name in STANDARD_DEFAULTS},
+        **{name: F.expr(_typed(name)) for name in STANDARD_DEFAULTS},
         "timestamp": F.col("_moment"),
         "attributes": envelope.attributes_json(F.col("attributes")),
     }
     return df.select(
         *envelope.metadata(subscription, clock),
         *[values[name].alias(name) for name in STANDARD.fieldNames() if name in values],
-        *routing.outcome(F.col("_error")),
+        *routing.outcome("_error"),
     )
 
 
-def _typed(name: str, data_type: DataType) -> Column:
-    value = jsonx.cell(name)
-    default = F.lit(STANDARD_DEFAULTS[name]).cast(data_type)
-    return F.when(value.isNull(), default).otherwise(value.try_cast(data_type))
+def _typed(name: str) -> str:
+    value, default = jsonx.cell(name), STANDARD_DEFAULTS[name]
+    data_type = STANDARD[name].dataType.simpleString()
+    return f"CASE WHEN {value} IS NULL THEN CAST({default!r} AS {data_type}) ELSE try_cast({value} AS {data_type}) END"

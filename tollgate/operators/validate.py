@@ -10,23 +10,24 @@ from pyspark.sql.types import StringType, StructField, StructType
 
 from tollgate.functions import envelope, jsonx
 from tollgate.model import MESSAGE
+from tollgate.operators import routing
 from tollgate.plans import avro
 from tollgate.plans.revisions import Revision
 
 
-def _violation(fields: list[avro.AvroField]) -> Column:
-    """The first rule a document in ``_cells`` breaks, or NULL.
+def _violation(fields: list[avro.AvroField]) -> str:
+    """SQL text of the first rule a document in ``_cells`` breaks, or NULL.
 
     A required field must be present and not null; a present value must have the field's base
     type, whatever its logical type says; unknown fields are accepted.
     """
-    result = F
+    checks = []
     for f in fields:
         value = jsonx.cell(f.name)
         if not f.nullable:
-            result = result.when(jsonx.is_null(value), F.lit(f"MISSING_FIELD:{f.name}"))
-        result = result.when(f.nonconforming(value), F.lit(f"TYPE_MISMATCH:{f.name}"))
-    return result
+            checks.append((jsonx.is_null(value), f"MISSING_FIELD:{f.name}"))
+        checks.append((f.nonconforming(value), f"TYPE_MISMATCH:{f.name}"))
+    return routing.first_failure(*checks)
 
 
 def check(messages: DataFrame, revisions: Sequence[Revision]) -> DataFrame:
@@ -39,11 +40,7 @@ def check(messages: DataFrame, revisions: Sequence[Revision]) -> DataFrame:
     fields = {f.name: f for r in newest_first for f in avro.fields_of(r.definition)}
     df = messages.select(*MESSAGE.fieldNames(), jsonx.decode_utf8(F.col("data")).alias("_text"))
     df = jsonx.with_cells(df, list(fields))
-    unreadable = (
-        F.when(F.col("_text").isNull(), "INVALID_UTF8")
-        .when(~F.col("_is_json"), "INVALID_JSON")
-        .when(F.col("_cells").isNull(), "NOT_AN_OBJECT")
-    )
+    unreadable = F.expr(routing.first_failure(*routing.UNREADABLE))
     reasons = []
     for number, revision in enumerate(newest_first):
         runs = jsonx.chunks(avro.fields_of(revision.definition))

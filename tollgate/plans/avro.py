@@ -5,8 +5,6 @@ from __future__ import annotations
 import json
 from dataclasses import dataclass
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
 from pyspark.sql.types import (
     BinaryType,
     BooleanType,
@@ -67,11 +65,11 @@ class AvroField:
     def is_timestamp(self) -> bool:
         return isinstance(self.data_type, TimestampType)
 
-    def nonconforming(self, value: Column) -> Column:
+    def nonconforming(self, value: str) -> str:
         """Publish-time check of a value that is present: the base type only."""
         return jsonx.mismatch(value, PRIMITIVES[self.base][2])
 
-    def unreadable(self, value: Column) -> Column:
+    def unreadable(self, value: str) -> str:
         """Is the value of a type the field's column cannot store?
 
         Timestamps go by the kind of value found, not by the declared base type.
@@ -79,25 +77,27 @@ class AvroField:
         kind = "moment" if self.is_timestamp else PRIMITIVES[self.base][2]
         return jsonx.mismatch(value, "long" if kind == "int" else kind)
 
-    def read(self, value: Column, moment: Column | None = None, micros_as_millis: bool = False) -> Column:
+    def read(self, value: str, moment: str, micros_as_millis: bool = False) -> str:
         """The column value of a readable cell; NULL for an absent or null one.
 
-        ``moment`` is the cell's ``timex.iso_source``, needed for timestamps only.
+        ``moment`` names the cell's ``timex.iso_source``, needed for timestamps only.
         """
         if self.is_timestamp:
             in_micros = self.logical == "timestamp-micros" and not micros_as_millis
-            number = timex.from_epoch(value.try_cast("decimal(38,6)"), 1_000_000 if in_micros else 1_000)
-            return F.when(moment.isNotNull(), timex.parse_iso(moment)).when(jsonx.is_number(value), number)
+            number = timex.from_epoch(value, 1_000_000 if in_micros else 1_000)
+            return f"""CASE WHEN {moment} IS NOT NULL THEN {timex.parse_iso(moment)}
+              WHEN {jsonx.is_number(value)} THEN {number} END"""
         if self.logical == "date":
             if self.base == "string":
-                return value.try_cast("string").try_cast("date")
-            return F.date_from_unix_date(value.try_cast("int"))
+                return f"try_cast(try_cast({value} AS string) AS date)"
+            return f"date_from_unix_date(try_cast({value} AS int))"
         if self.logical == "time-millis":
-            return F.try_multiply(value.try_cast("bigint"), F.lit(1000).cast("bigint"))
+            return f"try_multiply(try_cast({value} AS bigint), 1000L)"
         if self.base == "bytes":
-            text = value.try_cast("string")
-            return F.encode(F.when(text.rlike(jsonx.ONE_BYTE_CHARS), text), "ISO-8859-1")
-        return value.try_cast(self.data_type)
+            text = f"try_cast({value} AS string)"
+            one_byte_chars = f"CASE WHEN rlike({text}, r'{jsonx.ONE_BYTE_CHARS}') THEN {text} END"
+            return f"encode({one_byte_chars}, 'ISO-8859-1')"
+        return f"try_cast({value} AS {self.data_type.simpleString()})"
 
 
 def _resolve(definition) -> tuple[str, str | None]:

@@ -60,24 +60,29 @@ _LONGITUDE = (
     "ELSE '73.' || CAST(105 - event_id % 20 AS {text}) END"
 )
 _PAYLOAD = (
-    "CASE WHEN {fault} = 1 THEN substring(" + _OBJECT + ", 1, 20) "
-    "WHEN {fault} = 2 THEN " + _OBJECT + " || ' xyz' "
-    "WHEN {fault} = 8 THEN '[1,2]' ELSE " + _OBJECT + " END"
+    "CASE WHEN {fault} = 1 THEN substring({object}, 1, 20) WHEN {fault} = 2 THEN {object} || ' xyz' "
+    "WHEN {fault} = 8 THEN '[1,2]' ELSE {object} END"
 )
 
 # Which events carry the second revision's members.
 ODD, ALL, NONE = "event_id % 2 = 1", "TRUE", "FALSE"
 
 
-def payload_sql(dialect: dict, faults: bool = True, enriched: str = ODD) -> str:
-    """SQL text of an event's payload, before the byte of fault 9."""
+def payload_sql(
+    dialect: dict, faults: bool = True, enriched: str = ODD, column: str | None = None
+) -> tuple[str, str]:
+    """SQL texts of an event's JSON object, and of its payload before the byte of fault 9.
+
+    The payload refers to the object by the name ``column``, or repeats its text.
+    """
     names = {
         **dialect,
         "fault": "event_id % 97" if faults else "0",
         "enriched": enriched,
         "longitude": _LONGITUDE.format(**dialect),
     }
-    return _PAYLOAD.format(**names)
+    json_object = _OBJECT.format(**names)
+    return json_object, _PAYLOAD.format(object=column or json_object, **names)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -88,7 +93,8 @@ def events_as_messages(
     spark: SparkSession, sf_dir: str, faults: bool = True, enriched: str = ODD
 ) -> DataFrame:
     """Every event as one ride message."""
-    data = F.expr(payload_sql(SPARK, faults, enriched)).cast("binary")
+    json_object, payload = payload_sql(SPARK, faults, enriched, "_object")
+    data = F.expr(payload).cast("binary")
     if faults:
         bad_byte = F.concat(F.lit(bytearray(b"\xff")), data)
         data = F.when(F.expr("event_id % 97 = 9"), bad_byte).otherwise(data)
@@ -96,7 +102,7 @@ def events_as_messages(
         F.expr("event_id % 10 = 0"), F.create_map().cast("map<string,string>")
     ).otherwise(F.create_map(F.lit("source"), F.col("event_type")))
     publish_time = F.when(F.expr("event_id % 101 <> 0"), F.col("ts").cast("timestamp"))
-    return table(spark, sf_dir, "events").select(
+    return table(spark, sf_dir, "events").selectExpr("*", f"{json_object} AS _object").select(
         data.alias("data"),
         attributes.alias("attributes"),
         F.col("event_id").cast("string").alias("message_id"),

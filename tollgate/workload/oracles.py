@@ -48,7 +48,7 @@ WITH m AS (
     CAST(event_id AS VARCHAR) AS message_id,
     CASE WHEN event_id % 101 = 0 THEN {NOW} ELSE ts END AS publish_time,
     CASE WHEN event_id % 10 = 0 THEN '{{}}' ELSE '{{"source":"' || event_type || '"}}' END AS attributes,
-    {payload_sql(DUCKDB, faults, enriched)} AS payload,
+    {payload_sql(DUCKDB, faults, enriched)[1]} AS payload,
     'ride-' || CAST(user_id AS VARCHAR) AS ride_id,
     event_id AS point_idx,
     CAST('40.' || CAST(70 + event_id % 15 AS VARCHAR) AS DOUBLE) AS latitude,
