@@ -113,7 +113,7 @@ cut = st.tuples(rides.map(json.dumps), st.integers(0, 200)).map(lambda p: p[0][:
 tailed = st.tuples(rides.map(json.dumps), st.text('{}[],:"1 $x', max_size=5)).map("".join)
 
 
-@settings(max_examples=4, deadline=None, suppress_health_check=list(HealthCheck), derandomize=True)
-@given(st.lists(st.one_of(rides.map(json.dumps), cut, tailed), min_size=150, max_size=200))
+@settings(max_examples=2, deadline=None, suppress_health_check=list(HealthCheck), derandomize=True)
+@given(st.lists(st.one_of(rides.map(json.dumps), cut, tailed), min_size=30, max_size=40))
 def test_random_payloads(spark, payloads):
     check_standard(spark, payloads)
