@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from tollgate.functions.jsonx import once
 from tollgate.session import configure
 
 # The payload is parsed once, by the one-element LATERAL VIEW; see ``jsonx.once``. A scalar
@@ -57,9 +59,9 @@ def create_typed_view(spark: SparkSession, view: str, raw_table: str) -> None:
 
 def json_query(df: DataFrame, column: str, path: str, name: str) -> DataFrame:
     """Add the object or array at a path as JSON text; NULL if there is none."""
-    text = f"get_json_object({column}, '{path}')"
-    is_document = f"{text} LIKE '{{%' OR {text} LIKE '[%'"
-    return df.selectExpr("*", f"CASE WHEN {is_document} THEN {text} END AS {name}")
+    found = once(df, **{name: f"get_json_object({column}, '{path}')"})
+    is_document = F.col(name).startswith("{") | F.col(name).startswith("[")
+    return found.withColumn(name, F.when(is_document, F.col(name)))
 
 
 def _report(sql: str, table: DataFrame) -> DataFrame:

@@ -93,6 +93,8 @@ def append_batch(
     if clustered:
         rows = rows.sortWithinPartitions(day, time_column)
     columns = [quoted(c) for c in columns_of(spark, name) if c in rows.columns]
+    # A retry may fall on other days than the first attempt, so the whole batch is replaced.
+    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "static")
     spark.sql(
         f"INSERT OVERWRITE TABLE {name} PARTITION ({BATCH} = {batch_id}, {day}) "
         f"({', '.join([*columns, day])}) SELECT {', '.join([*columns, day])} FROM {{rows}}",
