@@ -30,10 +30,10 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     names none gets a temporary folder, because executors of a cluster could not share it.
     """
     context = spark.sparkContext
+    configured = spark.conf.get("spark.checkpoint.dir", None)
     current = context.getCheckpointDir()
-    if current:
+    if current and (not configured or configured in current):
         return current
-    configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
         if not context.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
