@@ -8,14 +8,60 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tollgate.llm import packing, token_files
-from tollgate.llm.common import documents, scratch
+from tollgate.llm import contextual_pii, mixing, packing, token_files, topk_products, toxicity, weak_quality
+from tollgate.llm.common import documents, scratch, ship
 
 
 def _tokenizer(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op1_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    known, mixed = mixing.mix(documents(spark, sf_dir))
+    return mixing.taken(known, mixed).select("doc_id", "size", "source_size", "target", "taken")
+
+
+#: The mix takes a document's part of the first ``target`` words of its source's stream.
+OP1_SQL = r"""
+WITH d AS (
+  SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::BIGINT AS size FROM documents
+), s AS (
+  SELECT source, sum(size)::BIGINT AS source_size, row_number() OVER (ORDER BY source ASC NULLS LAST) - 1 AS number
+  FROM d GROUP BY source
+), w AS (
+  SELECT *, 2 * source_size AS cap, CASE number % 3 WHEN 0 THEN 3 WHEN 1 THEN 1 ELSE 2 END AS weight FROM s
+), r AS (
+  SELECT *, cap::DOUBLE / weight AS full_at,
+    (1.5::DOUBLE * sum(source_size) OVER () - coalesce(sum(cap) OVER (ORDER BY cap::DOUBLE / weight, number
+      ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::DOUBLE)
+    / sum(weight) OVER (ORDER BY cap::DOUBLE / weight, number ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS rate
+  FROM w
+), t AS (
+  SELECT source, source_size, least(cap::DOUBLE, weight * coalesce(
+    (SELECT rate FROM r WHERE rate <= full_at ORDER BY full_at, number LIMIT 1), 'inf'::DOUBLE)) AS target FROM r
+), p AS (
+  SELECT d.doc_id, size, source_size, target, floor(target)::BIGINT AS most,
+    coalesce(sum(size) OVER (PARTITION BY d.source ORDER BY substr(md5('0:' || coalesce(d.doc_id || ':', '') || size), 1, 15),
+      d.doc_id NULLS FIRST, size ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS start
+  FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source
+)
+SELECT doc_id, size, source_size, target,
+  (greatest(0, least(start + size, most) - start)
+   + greatest(0, least(source_size + start + size, most) - source_size - start))::BIGINT AS taken
+FROM p
+"""
+
+
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    held_out = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")) % 3 == 1
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet").where(~held_out)
+    model = toxicity.fit(docs, labels.select("doc_id", F.col("toxic").alias("label")))
+    scored = toxicity.score(docs, model)
+    predicted = (F.col("score") >= 0.7).cast("int").alias("predicted")
+    return scored.select("doc_id", held_out.alias("held_out"), "score", predicted)
+
+
 def op3_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = scratch(spark, "tokens")
     token_files.write_tokens(documents(spark, sf_dir), folder, _tokenizer("byte_bpe_50k.json"), 0, 50_257)
@@ -32,9 +78,49 @@ def op4_mixture_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_contextual_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contextual_pii.digest(contextual_pii.find_personal_data(documents(spark, sf_dir)))
+
+
+def op8_top_products(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ship(spark)
+    embeddings = spark.read.parquet(f"{sf_dir}/embeddings.parquet")
+    vectors = topk_products.quantized(embeddings, "vec_id", "embedding", 1024.0)
+    return topk_products.top_products(vectors, vectors.where("vec_id % 100 = 0"), 10)
+
+
+OP8_SQL = """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)) AS v FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), s AS (
+  SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.v, c.v)::BIGINT AS score
+  FROM v q JOIN v c ON q.vec_id % 100 = 0 AND q.vec_id <> c.vec_id
+), r AS (
+  SELECT query_id, (row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id))::INTEGER AS rank, vec_id, score FROM s
+)
+SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 10
+"""
+
+
+def op10_weak_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scored = weak_quality.score(documents(spark, sf_dir).select("doc_id", "text"))
+    return scored.select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_source_mixing": op1_source_mixing,
+    "op2_toxicity": op2_toxicity,
     "op3_token_files": op3_token_files,
     "op4_mixture_packing": op4_mixture_packing,
+    "op6_contextual_pii": op6_contextual_pii,
+    "op8_top_products": op8_top_products,
+    "op10_weak_quality": op10_weak_quality,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op1_source_mixing": OP1_SQL,
+    "op8_top_products": OP8_SQL,
+}
