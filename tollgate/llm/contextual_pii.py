@@ -75,7 +75,7 @@ def _holds(kind: str, value: Column) -> Column:
     if kind == "ip":
         return value.rlike(r"^(0*(25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[0-9]{1,2})(\.|$)){4}$")
     if kind == "card":
-        return F.length(digits).between(12, 19) & F.luhn_check(digits)
+        return F.length(digits).between(12, 19) & F.call_function("luhn_check", digits)
     if kind == "phone":
         return F.length(digits).between(9, 15)
     return F.lit(True)
@@ -83,14 +83,12 @@ def _holds(kind: str, value: Column) -> Column:
 
 def base_spans(text: Column) -> Column:
     """Known forms of a text by start, then kind: array of (start, kind number, end, value)."""
-    parts = []
-    for number, kind in enumerate(KINDS):
-        spans = F.filter(_found(text, FORMS[kind]), lambda s, kind=kind: _holds(kind, s["value"]))
-        if kind == "email":
-            spans = F.when(F.contains(text, F.lit("@")), spans).otherwise(F.filter(spans, lambda s: F.lit(False)))
-        parts.append(
-            F.transform(spans, lambda s, number=number: F.struct(s["start"], F.lit(number).alias("kind"), s["end"], s["value"]))
-        )
+
+    def of_kind(number: int, kind: str) -> Column:
+        spans = F.filter(_found(text, FORMS[kind]), lambda s: _holds(kind, s["value"]))
+        return F.transform(spans, lambda s: F.struct(s["start"], F.lit(number).alias("kind"), s["end"], s["value"]))
+
+    parts = [of_kind(number, kind) for number, kind in enumerate(KINDS)]
     return F.array_sort(F.concat(*parts))
 
 
@@ -201,10 +199,11 @@ def find_personal_data(docs: DataFrame) -> DataFrame:
 
 def digest(found: DataFrame) -> DataFrame:
     """Counts per kind, a hash of the base spans, and all spans as text."""
-    counts = [
-        F.size(F.filter("base", lambda s, number=number: s["kind"] == number)).cast("long").alias(f"n_{kind}")
-        for number, kind in enumerate(KINDS)
-    ]
+
+    def count(number: int, kind: str) -> Column:
+        return F.size(F.filter("base", lambda s: s["kind"] == number)).cast("long").alias(f"n_{kind}")
+
+    counts = [count(number, kind) for number, kind in enumerate(KINDS)]
     return found.select(
         "doc_id", *counts, F.sha2(_listed(F.col("base")), 256).alias("base_sha256"), _listed(F.col("spans")).alias("spans")
     )

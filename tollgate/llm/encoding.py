@@ -6,8 +6,10 @@ word is encoded once per worker. Texts where a cut could change a run of white s
 
 from __future__ import annotations
 
+import os
 import re
 from array import array
+from itertools import chain, repeat
 
 import numpy as np
 from tokenizers import Tokenizer
@@ -22,7 +24,9 @@ _JOINED = 64
 class WordEncoder:
     """Encodes batches of texts and appends ``end_id`` to each; the cache is bounded by ``max_words``."""
 
-    def __init__(self, path: str, end_id: int, max_words: int = 600_000):
+    def __init__(self, path: str, end_id: int, max_words: int = 1_200_000):
+        # Spark's tasks fill the cores; threads of one task would only wait for each other.
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         self._tokenizer = Tokenizer.from_file(path)
         # The strings of special tokens are ordinary text.
         self._tokenizer.encode_special_tokens = True
@@ -31,66 +35,73 @@ class WordEncoder:
             raise ValueError("the vocabulary has no single token for the separator")
         self._separator, self._end, self._max = separator[0], end_id, max_words
         self._reset()
+        self._drops_newlines = len({self._encode([text])[0].tobytes() for text in ("a\nb", "a b")}) == 1
 
     def _reset(self) -> None:
         self._index: dict[str, int] = {}
         self._ids, self._starts, self._lengths = array("I"), array("q"), array("q")
-        self._add([self._end])
-
-    def _add(self, ids) -> int:
-        self._starts.append(len(self._ids))
-        self._lengths.append(len(ids))
-        self._ids.extend(ids)
-        return len(self._starts) - 1
-
-    def _encode(self, texts: list[str]) -> list[list[int]]:
-        found = self._tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        return [x.ids for x in found]
-
-    def _learn(self, new: set[str]) -> None:
+        self._add(np.array([self._end], np.uint32), np.ones(1, np.int64))
+
+    def _add(self, ids: np.ndarray, lengths: np.ndarray) -> range:
+        """Remember runs of ids and return their numbers."""
+        first, begin = len(self._starts), len(self._ids)
+        self._starts.frombytes((begin + np.cumsum(lengths) - lengths).astype(np.int64).tobytes())
+        self._lengths.frombytes(lengths.astype(np.int64).tobytes())
+        self._ids.frombytes(ids.astype(np.uint32).tobytes())
+        return range(first, first + len(lengths))
+
+    def _encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of texts one after the other, and each one's number of ids."""
+        found = [x.ids for x in self._tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        return np.fromiter(chain.from_iterable(found), np.uint32), np.fromiter(map(len, found), np.int64, len(found))
+
+    def _learn(self, new: list[str]) -> None:
         """Remember the ids of words that follow a space."""
-        plain = [w for w in new if "|" not in w and w.split() == [w]]
-        groups = [plain[i : i + _JOINED] for i in range(0, len(plain), _JOINED)]
-        for group, ids in zip(groups, self._encode(["".join(f" {w}{_SEPARATOR}" for w in g) for g in groups])):
-            begin = 0
-            for word in group:
-                end = ids.index(self._separator, begin)
-                self._index[word] = self._add(ids[begin:end])
-                begin = end + 1
-        odd = list(new.difference(plain))
-        for word, ids in zip(odd, self._encode([" " + w for w in odd])):
-            self._index[word] = self._add(ids)
+        # Printable words hold no white space.
+        plain = [w for w in new if w.isprintable() and w and "|" not in w]
+        joined = [f" {(_SEPARATOR + ' ').join(plain[i : i + _JOINED])}{_SEPARATOR}" for i in range(0, len(plain), _JOINED)]
+        ids, _ = self._encode(joined)
+        ends = np.flatnonzero(ids == self._separator)
+        lengths = np.diff(ends, prepend=-1) - 1
+        self._index.update(zip(plain, self._add(ids[ids != self._separator], lengths)))
+        known = set(plain)
+        odd = [w for w in new if w not in known]
+        self._index.update(zip(odd, self._add(*self._encode([" " + w for w in odd]))))
 
     def encode(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
         """All ids one after the other (uint32), and where each text's ids begin, with the end."""
         if len(self._index) > self._max:
             self._reset()
-        heads, tails = [], []
-        for text in texts:
+        heads, words, counts = [], [], np.zeros(len(texts), np.int64)
+        for i, text in enumerate(texts):
             text = text or ""
+            if self._drops_newlines:
+                text = text.replace("\n", " ")
             if _UNSAFE.search(text):
                 heads.append(text)
-                tails.append(())
             else:
                 head, *tail = text.split(" ")
                 heads.append(head)
-                tails.append(tail)
+                words += tail
+                counts[i] = len(tail)
         known = self._index
-        self._learn({w for tail in tails for w in tail if w not in known})
+        codes = np.fromiter(map(known.get, words, repeat(-1)), np.int64, len(words))
+        missing = np.flatnonzero(codes < 0).tolist()
+        if missing:
+            self._learn(list(dict.fromkeys(words[i] for i in missing)))
+            codes[missing] = [known[words[i]] for i in missing]
         mark = len(self._starts), len(self._ids)
-        order: list[int] = []
-        ends = np.zeros(len(texts), np.int64)
-        for i, (ids, tail) in enumerate(zip(self._encode(heads), tails)):
-            order.append(self._add(ids))
-            order.extend(map(known.__getitem__, tail))
-            order.append(0)
-            ends[i] = len(order)
-        pieces = np.array(order, np.int64)
-        lengths = np.array(self._lengths, np.int64)[pieces]
-        starts = np.array(self._starts, np.int64)[pieces]
+        first = self._add(*self._encode(heads))
+        # Each text is its head, its words and the end id, which has number 0.
+        ends = np.cumsum(counts + 2)
+        pieces = np.zeros(int(ends[-1]) if len(ends) else 0, np.int64)
+        pieces[ends - counts - 2] = np.array(first, np.int64)
+        pieces[np.arange(len(words)) + np.repeat(2 * np.arange(len(texts)) + 1, counts)] = codes
+        lengths = np.frombuffer(self._lengths, np.int64)[pieces]
+        starts = np.frombuffer(self._starts, np.int64)[pieces]
         done = np.concatenate(([0], np.cumsum(lengths)))
         at = np.repeat(starts - done[:-1], lengths) + np.arange(done[-1])
-        ids = np.array(self._ids, np.uint32)[at]
+        ids = np.frombuffer(self._ids, np.uint32)[at]
         del self._starts[mark[0] :], self._lengths[mark[0] :], self._ids[mark[1] :]
         return ids, done[np.concatenate(([0], ends))]
 

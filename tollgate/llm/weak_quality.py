@@ -23,6 +23,13 @@ from tollgate.llm.common import WORD, saved, words
 #: Words of a window, for repeated passages.
 _WINDOW = 8
 GOOD, BAD, NONE = 1, 0, -1
+#: Frequent words of English, French, German and Spanish.
+FUNCTION_WORDS = (
+    "the of and to in is that for with as was are this be by it from an on at a or "
+    "le la les des et qui une un du dans pour par que est sur au ne pas de en "
+    "der die das und den von zu mit dem im nicht ein eine als auch es auf ist sich "
+    "el los las del y una con se su al lo como no ha"
+).split()
 
 
 def _pairs(hashes: Column, step: int) -> Column:
@@ -83,9 +90,12 @@ def counts(docs: DataFrame) -> DataFrame:
             _let(windows, _covered).cast("long").alias("n_repeat_words"),
             F.size(F.array_distinct(w)).cast("long").alias("_distinct"),
             _let(lines, lambda x: F.struct(F.size(x).alias("n"), F.size(F.array_distinct(x)).alias("d"))).alias("_lines"),
+            F.size(F.filter(F.zip_with(w, F.slice(w, 2, F.size(w)), lambda a, b: a == b), lambda x: x)).cast("long").alias("_same"),
             kept(r"\p{Lu}").cast("long").alias("_upper"),
             kept(r"!|").cast("long").alias("_marks"),
             kept(r"0-9").cast("long").alias("_digits"),
+            F.size(F.filter(w, lambda x: F.lower(x).isin(FUNCTION_WORDS))).cast("long").alias("_function"),
+            F.size(F.filter(w, lambda x: x.rlike("[.!?]$"))).cast("long").alias("_ends"),
         )
 
     counted = docs.select("*", F.inline(F.transform(F.array(words(F.col("text"))), of)))
@@ -97,23 +107,29 @@ def _share(part: str, whole: str) -> Column:
     return F.col(part) / F.greatest(F.col(whole), F.lit(1))
 
 
-def _between(value: Column, good: float, bad: float) -> Column:
-    """Good up to ``good``, bad from ``bad`` on, and no vote between."""
-    return F.when(value <= good, GOOD).when(value >= bad, BAD).otherwise(NONE)
+def _bad(found: Column) -> Column:
+    return F.when(found, BAD).otherwise(NONE)
 
 
-#: Votes by the columns of ``counts``.
+#: Votes by the columns of ``counts``. A rule that looks for one kind of junk can tell bad, but never good.
 RULES = {
-    "length": lambda: F.when(F.col("n_words") < 20, BAD).when(F.col("n_words") >= 60, GOOD).otherwise(NONE),
-    "symbols": lambda: _between(_share("n_symbols", "n_words"), 0.02, 0.15),
-    "marks": lambda: _between(_share("_marks", "n_words"), 0.02, 0.15),
-    "capitals": lambda: _between(_share("_upper", "word_chars"), 0.08, 0.30),
-    "repeats": lambda: _between(_share("n_repeat_words", "n_words"), 0.05, 0.30),
-    "lines": lambda: _between(_share("n_dup_lines", "_n_lines"), 0.05, 0.30),
-    "variety": lambda: _between(-_share("_distinct", "n_words"), -0.35, -0.15),
-    "word_length": lambda: F.when(_share("word_chars", "n_words").between(3.0, 9.0), NONE).otherwise(BAD),
-    "digits": lambda: _between(_share("_digits", "word_chars"), 0.05, 0.20),
+    "length": lambda: _bad(F.col("n_words") < 20),
+    "symbols": lambda: _bad(_share("n_symbols", "n_words") >= 0.15),
+    "marks": lambda: _bad(_share("_marks", "n_words") >= 0.15),
+    "capitals": lambda: _bad(_share("_upper", "word_chars") >= 0.30),
+    "digits": lambda: _bad(_share("_digits", "word_chars") >= 0.20),
+    "repeats": lambda: _bad(_share("n_repeat_words", "n_words") >= 0.30),
+    "lines": lambda: _bad(_share("n_dup_lines", "_n_lines") >= 0.50),
+    "variety": lambda: _bad((F.col("n_words") >= 20) & (F.col("_distinct") < 2 * F.sqrt("n_words"))),
+    "stutter": lambda: _bad(_share("_same", "n_words") >= 0.20),
+    "word_length": lambda: _bad(~_share("word_chars", "n_words").between(2.0, 14.0)),
+    "function_words": lambda: F.when(_share("_function", "n_words") >= 0.10, GOOD).when(
+        (F.col("n_words") >= 40) & (_share("_function", "n_words") < 0.02), BAD
+    ).otherwise(NONE),
+    "sentences": lambda: F.when(_share("_ends", "n_words").between(0.02, 0.34), GOOD).otherwise(NONE),
 }
+#: Where the fit starts: how often a rule votes so in the good and in the bad class.
+START = {GOOD: (0.8, 0.4), BAD: (0.01, 0.3), NONE: (0.19, 0.3)}
 
 
 def votes(counted: DataFrame) -> DataFrame:
@@ -137,31 +153,27 @@ class Fit:
         return 1 / (1 + F.exp(-odds))
 
 
-def fit(voted: DataFrame, rounds: int = 25, strength: float = 2.0) -> Fit:
-    """Expectation-maximisation over all documents, started from rules that are right nine times in ten."""
+def fit(voted: DataFrame, rounds: int = 12, strength: float = 20.0) -> Fit:
+    """Expectation-maximisation over all documents, from ``START``, which also counts as ``strength`` documents."""
     patterns = saved(voted.groupBy("_votes").agg(F.count("*").cast("double").alias("_n")), "votes")
-    start = {GOOD: (0.80, 0.40), BAD: (0.02, 0.40), NONE: (0.18, 0.20)}
-    model = Fit(0.8, [dict(start) for _ in RULES])
+    model = Fit(0.8, [dict(START) for _ in RULES])
     for _ in range(rounds):
-        good = model.posterior()
-        sums = [F.sum(F.col("_n") * good).alias("g"), F.sum(F.col("_n") * (1 - good)).alias("b")]
-        for i in range(len(RULES)):
-            for v in (GOOD, BAD, NONE):
-                has = F.when(F.get(F.col("_votes"), F.lit(i)) == v, F.col("_n")).otherwise(0.0)
-                sums += [F.sum(has * good).alias(f"g{i}_{v}"), F.sum(has * (1 - good)).alias(f"b{i}_{v}")]
-        row = patterns.agg(*sums).first()
-        if row["g"] is None:
-            break
+        weighed = patterns.select("_n", model.posterior().alias("_good"), F.posexplode("_votes").alias("_rule", "_vote"))
+        sums = weighed.groupBy("_rule", "_vote").agg(
+            F.sum(F.col("_n") * F.col("_good")).alias("g"), F.sum(F.col("_n") * (1 - F.col("_good"))).alias("b")
+        )
+        found = {(r["_rule"], r["_vote"]): (r["g"], r["b"]) for r in sums.collect()}  # three rows a rule
+        good, bad = (sum(found.get((0, v), (0, 0))[i] for v in START) for i in (0, 1))
         rates = []
         for i in range(len(RULES)):
-            found = {}
-            for v, (g0, b0) in start.items():
-                g = (row[f"g{i}_{v}"] + strength * g0) / (row["g"] + strength)
-                b = (row[f"b{i}_{v}"] + strength * b0) / (row["b"] + strength)
-                found[v] = g, b
-            rates.append(found)
-        prior = min(0.99, max(0.5, (row["g"] + strength) / (row["g"] + row["b"] + 2 * strength)))
-        model = Fit(prior, rates)
+            seen = {v: found.get((i, v), (0.0, 0.0)) for v in START}
+            rates.append(
+                {
+                    v: ((seen[v][0] + strength * g) / (good + strength), (seen[v][1] + strength * b) / (bad + strength))
+                    for v, (g, b) in START.items()
+                }
+            )
+        model = Fit((good + strength * 0.8) / (good + bad + strength), rates)
     return model
 
 
