@@ -34,7 +34,7 @@ _CELL = 1 << 19
 #: Slots that are ranked together.
 _RUN = 1 << 16
 #: Documents in a bucket of the shuffle, about.
-_BUCKET = 20_000
+_BUCKET = 4_000
 
 
 def targets(sizes: DataFrame, wanted: float, weights: list[int], epochs: int) -> DataFrame:
