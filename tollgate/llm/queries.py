@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tollgate.llm import contextual_pii, mixing, packing, token_files, topk_products, toxicity, weak_quality
+from tollgate.llm import contextual_pii, license_scan, mixing, packing, token_files, topk_products, toxicity, weak_quality
 from tollgate.llm.common import documents, scratch, ship
 
 
@@ -103,6 +103,10 @@ SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 10
 """
 
 
+def op9_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.scan(documents(spark, sf_dir))
+
+
 def op10_weak_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     scored = weak_quality.score(documents(spark, sf_dir).select("doc_id", "text"))
     return scored.select(
@@ -117,6 +121,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_mixture_packing": op4_mixture_packing,
     "op6_contextual_pii": op6_contextual_pii,
     "op8_top_products": op8_top_products,
+    "op9_license_scan": op9_license_scan,
     "op10_weak_quality": op10_weak_quality,
 }
 
