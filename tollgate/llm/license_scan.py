@@ -52,11 +52,11 @@ VOCABULARY = r"(?i)licen[sc]|copyright|redistribution|permission|warrant|public
 
 _WORD = re.compile(r"[^\x20\x09-\x0D]+")
 _MARK = re.compile(VOCABULARY.replace(" ", r"[\x20\x09-\x0D]+"))
+_MARK_WORD = re.compile("licen[sc]|copyright|redistribution|permission|warrant|domain|commons|rights")
 _BARE = re.compile(r"^[^0-9a-zA-Z]+|[^0-9a-zA-Z]+$")
 _LONGEST = max(len(text.split()) for _, text in TEMPLATES)
 #: Words of a block at most; a longer one is cut into overlapping parts.
 _BLOCK = 4 * _LONGEST
-_PIECE = 32
 
 
 def _bare(word: str) -> str:
@@ -98,15 +98,21 @@ def _search(block: list[str], first: int) -> Iterator[tuple[int, int, str, int,
     if not block:
         return
     plain, templates = _compressors()
-    # Short wordings show in short pieces, long ones in the block.
-    pieces = [block] + [block[i : i + _PIECE] for i in range(0, len(block), _PIECE // 2) if len(block) > _PIECE]
-    sizes = [(data, len(plain.compress(data))) for data in (" ".join(piece).encode() for piece in pieces)]
-    ranked = []
+    marks = [i for i, word in enumerate(block) if _MARK_WORD.search(word)]
+    ranked, alone = [], cache(lambda data: len(plain.compress(data)))
     for number, (_, words, compressor) in enumerate(templates):
-        if len(words) <= len(block) + len(words) // 10:
-            share = max((alone - len(compressor.compress(data))) / alone for data, alone in sizes)
-            if share > 0:
-                ranked.append((-share, number))
+        # As many words on both sides of a mark as the template can reach; long runs of marks share a piece.
+        reach, pieces = len(words) + len(words) // 10, []
+        for mark in marks:
+            low, high = max(0, mark - reach), mark + reach + 1
+            if pieces and low - pieces[-1][0] < reach:
+                pieces[-1][1] = high
+            else:
+                pieces.append([low, high])
+        texts = [" ".join(block[low:high]).encode() for low, high in pieces]
+        share = max(((alone(data) - len(compressor.compress(data))) / alone(data) for data in texts), default=0)
+        if share > 0:
+            ranked.append((-share, number))
     best = None
     for share, number in sorted(ranked):
         name, words, _ = templates[number]
