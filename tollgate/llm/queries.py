@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tollgate.llm import contextual_pii, license_scan, mixing, packing, token_files, topk_products, toxicity, weak_quality
+from tollgate.llm import contextual_pii, license_scan, line_dedup, mixing, packing, token_files, topk_products, toxicity, weak_quality
 from tollgate.llm.common import documents, scratch, ship
 
 
@@ -82,6 +82,34 @@ def op6_contextual_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contextual_pii.digest(contextual_pii.find_personal_data(documents(spark, sf_dir)))
 
 
+def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir).select("doc_id", "text")
+    return line_dedup.dedup_lines(docs)
+
+
+#: A line stays if no line before it is equal or one edit away.
+OP7_SQL = """
+WITH l AS (
+  SELECT doc_id, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS pos
+  FROM documents WHERE text IS NOT NULL
+), d AS (
+  SELECT line, length(line) AS n, min({'doc_id': doc_id, 'pos': pos}) AS first FROM l WHERE length(line) >= 20 GROUP BY line
+), near AS (
+  SELECT DISTINCT b.line FROM d a JOIN d b ON a.first < b.first AND abs(a.n - b.n) <= 1
+    AND (left(a.line, (a.n // 2 - 1)::INTEGER) = left(b.line, (a.n // 2 - 1)::INTEGER)
+      OR right(a.line, (a.n // 2 - 1)::INTEGER) = right(b.line, (a.n // 2 - 1)::INTEGER))
+  WHERE levenshtein(a.line, b.line) <= 1
+), kept AS (
+  SELECT l.doc_id, string_agg(l.line, chr(10) ORDER BY l.pos) AS text FROM l
+  WHERE length(l.line) < 20
+    OR l.line NOT IN (SELECT line FROM near) AND (l.doc_id, l.pos, l.line) IN (SELECT (first.doc_id, first.pos, line) FROM d)
+  GROUP BY l.doc_id
+)
+SELECT documents.doc_id, CASE WHEN documents.text IS NOT NULL THEN coalesce(kept.text, '') END AS text
+FROM documents LEFT JOIN kept USING (doc_id)
+"""
+
+
 def op8_top_products(spark: SparkSession, sf_dir: str) -> DataFrame:
     ship(spark)
     embeddings = spark.read.parquet(f"{sf_dir}/embeddings.parquet")
@@ -120,6 +148,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_token_files": op3_token_files,
     "op4_mixture_packing": op4_mixture_packing,
     "op6_contextual_pii": op6_contextual_pii,
+    "op7_line_dedup": op7_line_dedup,
     "op8_top_products": op8_top_products,
     "op9_license_scan": op9_license_scan,
     "op10_weak_quality": op10_weak_quality,
@@ -127,5 +156,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 
 ORACLES: dict[str, str] = {
     "op1_source_mixing": OP1_SQL,
+    "op7_line_dedup": OP7_SQL,
     "op8_top_products": OP8_SQL,
 }
