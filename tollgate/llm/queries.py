@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tollgate.llm import contextual_pii, license_scan, line_dedup, mixing, packing, token_files, topk_products, toxicity, weak_quality
+from tollgate.llm import contextual_pii, jaccard_join, license_scan, line_dedup, mixing, packing, token_files, topk_products, toxicity, weak_quality
 from tollgate.llm.common import documents, scratch, ship
 
 
@@ -78,6 +78,10 @@ def op4_mixture_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.near_duplicates(documents(spark, sf_dir))
+
+
 def op6_contextual_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contextual_pii.digest(contextual_pii.find_personal_data(documents(spark, sf_dir)))
 
@@ -147,6 +151,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_toxicity": op2_toxicity,
     "op3_token_files": op3_token_files,
     "op4_mixture_packing": op4_mixture_packing,
+    "op5_jaccard_join": op5_jaccard_join,
     "op6_contextual_pii": op6_contextual_pii,
     "op7_line_dedup": op7_line_dedup,
     "op8_top_products": op8_top_products,
