@@ -1,10 +1,11 @@
 """Near-duplicate documents by a metric-space join under the Jaccard distance of their shingle sets.
 
 Nearly all documents are at distance 1 of any one document, so cells around sampled documents would each
-receive everything. The outer pivots are therefore the shingles: a document lies in the cell of its foremost
-shingle in a global order, and its window reaches ``|x| - ceil(t |x|) + 1`` shingles, since two sets with a
-similarity of ``t`` have a shingle in common that is among these for both. So many cells are all that a document must be
-replicated to. The order puts frequent shingles last, which keeps cells of shared passages empty.
+receive everything. The outer pivots are therefore the shingles: a document lies in the cells of its foremost
+shingles in a global order, that of their hashes. Two sets with a similarity of ``t`` have at least ``t |x|``
+shingles in common, so their first common one is among the first ``|x| - ceil(t |x|) + 1`` of both: that is the
+window by which documents are replicated. It is made a twentieth of the set longer; then near documents meet in
+more than that many cells, and all that share a few lines or a passage drop out before they are compared.
 
 Within a cell, members are ordered by a hash, and serve as pivots in windows of growing length: the first,
 the next 3, the next 12, and so on. In each round the members are compared with the window's pivots, except
@@ -25,6 +26,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from itertools import repeat
 
 import numpy as np
 import pandas as pd
@@ -35,9 +37,8 @@ from pyspark.sql import types as T
 
 from tollgate.llm.common import saved
 
-#: Shingles that are counted for the order: those seen so often in one batch of documents, the most frequent first.
-#: They bound the list that is broadcast; which shingles it has changes the work, never the result.
-_OFTEN, _LISTED = 4, 1 << 17
+#: A window is longer than the least by one in so many of a set's shingles.
+_EXTRA = 20
 #: Bits of the map of documents whose sets are fetched. At more documents it lets more through, but loses none.
 _BITS = 1 << 23
 #: Distinct sets that a task remembers, so as not to emit their cells again.
@@ -51,9 +52,9 @@ def shingles(text: str | None, width: int, seed: int = 0) -> np.ndarray:
     words = (text or "").encode("utf-8", "surrogatepass").lower().split()  # bytes: A-Z and ASCII white space only
     if len(_hashes) > 1_000_000:
         _hashes.clear()
-    for word in set(words).difference(_hashes):
-        _hashes[word] = xxhash.xxh3_64_intdigest(word)
-    h = np.fromiter(map(_hashes.__getitem__, words), np.uint64, len(words))
+    h = np.fromiter(map(_hashes.get, words, repeat(0)), np.uint64, len(words))
+    for i in np.flatnonzero(h == 0).tolist():
+        h[i] = _hashes[words[i]] = xxhash.xxh3_64_intdigest(words[i]) | 1
     if not len(h):
         return h
     n, reach = max(1, len(h) - width + 1), min(width, len(h))
@@ -67,32 +68,18 @@ def shingles(text: str | None, width: int, seed: int = 0) -> np.ndarray:
     return np.unique(mixed)
 
 
-def _frequent(docs: DataFrame, width: int, seed: int) -> tuple[np.ndarray, np.ndarray]:
-    """Frequent shingles, sorted, and how often they were seen."""
-
-    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            sets = [shingles(t, width, seed) for t in batch["text"]]
-            values, n = np.unique(np.concatenate(sets or [np.zeros(0, np.uint64)]), return_counts=True)
-            often = n >= _OFTEN
-            yield pd.DataFrame({"s": values[often].view(np.int64), "n": n[often]})
-
-    counted = docs.select("text").mapInPandas(count, "s long, n long").groupBy("s").agg(F.sum("n").alias("n"))
-    listed = counted.orderBy(F.col("n").desc(), "s").limit(_LISTED).collect()
-    values = np.array([r["s"] for r in listed], np.int64).view(np.uint64)
-    order = np.argsort(values)
-    return values[order], np.array([r["n"] for r in listed], np.int64)[order]
+def _extra(n: int) -> int:
+    """Common shingles beyond the first that a document of ``n`` shingles extends its window for."""
+    return n // _EXTRA
 
 
 def _sets(docs: DataFrame, width: int, percent: int, seed: int) -> DataFrame:
     """Documents with n (size of the set), node, full (128-bit hash) and cells (shingles whose cells they enter)."""
-    frequent = docs.sparkSession.sparkContext.broadcast(_frequent(docs, width, seed))
     schema = T.StructType(
         [docs.schema["doc_id"], T.StructField("n", T.LongType()), T.StructField("node", T.LongType()), T.StructField("full", T.BinaryType()), T.StructField("cells", T.ArrayType(T.LongType()))]
     )
 
     def describe(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        values, counts = frequent.value
         seen: set[bytes] = set()
         for batch in batches:
             for begin in range(0, len(batch), 512):
@@ -109,24 +96,30 @@ def _sets(docs: DataFrame, width: int, percent: int, seed: int) -> DataFrame:
                         if len(seen) >= _SEEN:
                             seen.clear()
                         seen.add(full)
-                        reach = n - -(-percent * n // 100) + 1
-                        if len(values):
-                            at = np.minimum(np.searchsorted(values, s), len(values) - 1)
-                            often = np.where(values[at] == s, counts[at], 0)
-                            s = s[np.argsort(often, kind="stable")]
-                        cells = s[:reach].view(np.int64)
+                        # Hashes ascend, which is the global order.
+                        cells = s[: n - -(-percent * n // 100) + 1 + _extra(n)].view(np.int64)
                     rows.append((doc, n, int.from_bytes(full[:8], "little", signed=True), full, cells))
                 yield pd.DataFrame(rows, columns=schema.names)
 
     return saved(docs.select("doc_id", "text").mapInPandas(describe, schema), "near-sets")
 
 
-def _cells(sets: DataFrame) -> DataFrame:
-    """Cells with more than one node, once for each set of members: cell, node, rank."""
+def _cells(sets: DataFrame, percent: int) -> DataFrame:
+    """Cells with more than one node, once for each set of members: cell, node, rank.
+
+    Nodes that have too few cells in company to be near any other are left out.
+    """
     entered = sets.where("cells IS NOT NULL").select(F.explode("cells").alias("cell"), "node")
     members = entered.repartition("cell").groupBy("cell", "node").agg(F.lit(1).alias("one"))
     several = members.withColumn("m", F.count("*").over(Window.partitionBy("cell"))).where("m > 1")
-    several = saved(several.select("cell", "node", "m"), "near-cells")
+    several = saved(several.select("cell", "node"), "near-shared")
+    company = several.groupBy("node").agg(F.count("*").alias("k"))
+    # A partner has at least this part of the shingles, so both windows hold as many common ones as its extra.
+    least = f"greatest(1, 1 + ceil({percent} * n / 100) div {_EXTRA})"
+    near = company.join(sets.where("cells IS NOT NULL").select("node", "n").distinct(), "node").where(f"k >= {least}")
+    several = several.join(near.select("node"), "node", "left_semi")
+    several = several.withColumn("m", F.count("*").over(Window.partitionBy("cell"))).where("m > 1")
+    several = saved(several, "near-cells")
     alike = several.groupBy("cell").agg(F.first("m").alias("m"), F.bit_xor("node").alias("x"), F.bit_xor(F.xxhash64("node")).alias("y"))
     chosen = alike.groupBy("m", "x", "y").agg(F.min("cell").alias("cell")).select("cell")
     rank = F.row_number().over(Window.partitionBy("cell").orderBy("node"))
@@ -195,7 +188,7 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 75) -> DataF
         if clash.where("a <> b").isEmpty():
             break
         seed += 1
-    regions = _cells(sets)
+    regions = _cells(sets, percent)
     members = _members(docs, sets, regions.select("node").distinct(), width, seed)
     radius = (100 - percent) / 100
     sizes = members.select("node", F.size("s").alias("n"))
