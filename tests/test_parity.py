@@ -8,15 +8,10 @@ from pyspark.sql import functions as F
 
 import model
 from tollgate.functions import jsonx, timex
+from sample import RIDE
 from tollgate.model import MESSAGE, STANDARD_DEFAULTS
 from tollgate.operators import raw, standard
 
-RIDE = {
-    "ride_id": "r1", "point_idx": 1, "latitude": 40.76, "longitude": -73.97,
-    "timestamp": "2026-02-10T08:14:17.61844-05:00", "meter_reading": 4.81,
-    "meter_increment": 0.046, "ride_status": "enroute", "passenger_count": 2,
-}
-
 PAYLOADS = [
     "", "  ", "null", "123", "-0", '"s"', "[1,2]", "{}", '{"a":null}', '{"a":1} xyz', '{"a":1}{"a":2}',
     "1,2", "1],[2", "]", "1]", "1] junk", '1,{"$digest":"x"}]', '{"a":1}] {}', "{'a':1}", "{a:1}", '{"a":1,}',

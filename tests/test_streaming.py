@@ -1,28 +1,23 @@
 """Streaming jobs over landing folders: routing, restart, retry, fan-out, evolution, relay."""
 
 import json
+import os
 import time
 from datetime import datetime
 
 import pytest
 from pyspark.sql import functions as F
 
+from sample import ADDED, RIDE
 from tollgate.model import MESSAGE, RAW, STANDARD
 from tollgate.plans import avro, revisions, tables
 from tollgate.sources.messages import merge_streams, stream_landing
 from tollgate.streaming import jobs
-from tollgate.streaming.batcher import count_or_time_batches
 from tollgate.workload.definitions import RIDE_V1, RIDE_V2, SCHEMA_NAME
 from tollgate.workload.messages import events_as_messages
 
 SF_DIR = "/root/testdata/sf0.001"
 
-RIDE = {
-    "ride_id": "r1", "point_idx": 1, "latitude": 40.76, "longitude": -73.97,
-    "timestamp": "2026-02-10T08:14:17.61844-05:00", "meter_reading": 4.81,
-    "meter_increment": 0.046, "ride_status": "enroute", "passenger_count": 2,
-}
-
 
 def land(spark, folder, payloads, start=0):
     rows = [
@@ -85,7 +80,7 @@ def test_a_retried_batch_replaces_itself(spark, tmp_path, names):
     messages = events_as_messages(spark, SF_DIR)
     write = jobs.fan_out(jobs.Target(table, "unused"))
     for batch_id in (0, 1, 1, 0):
-        write(parse_raw(messages, "sub"), batch_id)
+        write(parse_raw(messages, "sub"), "w", batch_id)
     counts = {r.batch_id: r["count"] for r in spark.table(table).groupBy("batch_id").count().collect()}
     assert counts[0] == counts[1]
     assert counts[0] + spark.table(f"{table}_dlq").where("batch_id = 0").count() == 1000
@@ -98,7 +93,7 @@ def test_rows_of_a_file_are_in_time_order(spark, tmp_path, names):
     from tollgate.operators.routing import table_rows
 
     rows = table_rows(parse_raw(events_as_messages(spark, SF_DIR).orderBy(F.rand(1)), "sub"))
-    tables.append_batch(rows, table, 0, "publish_time", rebalance=True)
+    tables.append_batch(rows, table, "w", 0, "publish_time", rebalance=True)
     stored = spark.table(table).select("publish_date", "publish_time", F.input_file_name().alias("f")).collect()
     by_file = {}
     for r in stored:
@@ -126,11 +121,20 @@ def test_replay_of_the_raw_table_gives_the_typed_rows(spark, tmp_path, names):
     jobs.create_tables(spark, raw_table, RAW, str(tmp_path / "raw"))
     jobs.create_tables(spark, typed, STANDARD, str(tmp_path / "typed"))
     landing = tmp_path / "landing"
-    events_as_messages(spark, SF_DIR).write.parquet(str(landing))
+    events_as_messages(spark, SF_DIR).repartition(6).write.parquet(str(landing))
     finish(jobs.start_raw(stream_landing(spark, str(landing), max_files=3), "sub", jobs.Target(raw_table, str(tmp_path / "cp1"), jobs.CATCH_UP)))
-    finish(jobs.start_standard(jobs.replay(spark, str(tmp_path / "raw")), "sub", jobs.Target(typed, str(tmp_path / "cp2"), jobs.CATCH_UP)))
+    assert jobs.replay(spark, raw_table, jobs.Target(typed, "unused")) > 1
     raw_rows = spark.table(raw_table).count()
     assert spark.table(typed).count() + spark.table(f"{typed}_dlq").count() == raw_rows
+    assert {r[0] for r in spark.table(typed).select("subscription_name").distinct().collect()} == {"sub"}
+
+    # A raw batch that is retried has new files; a replay that is repeated replaces its batches.
+    writer, batch_id = tables.batches(spark, raw_table)[0]
+    stored = spark.table(raw_table).where((F.col("writer") == writer) & (F.col("batch_id") == batch_id))
+    again = spark.createDataFrame(stored.select(*RAW.fieldNames()).collect(), RAW)
+    tables.append_batch(again, raw_table, writer, batch_id, "publish_time")
+    jobs.replay(spark, raw_table, jobs.Target(typed, "unused"))
+    assert spark.table(typed).count() + spark.table(f"{typed}_dlq").count() == raw_rows
 
 
 def test_schema_driven_fails_or_quarantines(spark, tmp_path, names):
@@ -181,13 +185,13 @@ def test_relay_then_evolution(spark, tmp_path, names):
     finish(query)
     assert [r.ordinal for r in allowed] == [2, 1]
     assert tables.evolve_table(spark, table, avro.table_struct(RIDE_V2), "publish_time") == []
-    v2 = {**RIDE, "enrichment_timestamp": "2026-02-10T13:13:36.521Z", "region": "midtown"}
+    v2 = {**RIDE, **ADDED}
     land(spark, landing, [json.dumps(v2)] * 3, start=20)
     relay(allowed)
     finish(jobs.start_schema_driven(jobs.stream_topic(spark, topic), "sub", RIDE_V2, target))
     rows = spark.table(table).collect()
     assert len(rows) == 5
-    assert sum(r.region == "midtown" for r in rows) == 3
+    assert sum(r.region == ADDED["region"] for r in rows) == 3
     assert {r.schema_revision_id for r in rows} == {r.revision_id for r in allowed}
     assert {r.schema_name for r in rows} == {SCHEMA_NAME}
 
@@ -202,26 +206,39 @@ def test_two_producers_merge_into_one_stream(spark, tmp_path, names):
     assert spark.table(table).count() == 6
 
 
-def test_count_batches_leave_full_and_the_rest_by_time(spark, tmp_path):
-    landing = tmp_path / "landing"
-    events_as_messages(spark, SF_DIR).coalesce(2).write.parquet(str(landing))
-    batches = count_or_time_batches(stream_landing(spark, str(landing)), size=30, wait_millis=500)
-    query = (
-        batches.writeStream.format("memory").queryName("count_batches").outputMode("append")
-        .option("checkpointLocation", str(tmp_path / "cp")).trigger(processingTime="200 milliseconds").start()
-    )
-    try:
-        # Timeouts keep starting empty batches, so processAllAvailable would never return.
-        deadline = time.monotonic() + 60
-        while spark.table("count_batches").count() < 1000 and time.monotonic() < deadline:
-            assert not query.awaitTermination(1)
-    finally:
-        query.stop()
-    rows = spark.table("count_batches").collect()
-    assert sorted(int(r.message_id) for r in rows) == list(range(1000))
-    sizes = {}
-    for r in rows:
-        sizes.setdefault((r.shard, r.batch_no), []).append(r.n)
-    assert all(len(ns) == ns[0] <= 30 for ns in sizes.values())
-    assert {shard for shard, _ in sizes} == set(range(5))
-    assert sum(ns[0] < 30 for ns in sizes.values()) <= 5
+def test_files_of_any_age_are_read(spark, tmp_path, names):
+    table, landing = names("rides_old"), tmp_path / "landing"
+    jobs.create_tables(spark, table, RAW, str(tmp_path / "t"))
+    target = jobs.Target(table, str(tmp_path / "cp"), jobs.CATCH_UP)
+    land(spark, landing, [json.dumps(RIDE)] * 5)
+    finish(jobs.start_raw(stream_landing(spark, str(landing)), "sub", target))
+    seen = set(os.listdir(landing))
+    land(spark, landing, [json.dumps(RIDE)] * 4, start=10)
+    old = time.time() - 10 * 86_400
+    for name in set(os.listdir(landing)) - seen:
+        os.utime(landing / name, (old, old))
+    finish(jobs.start_raw(stream_landing(spark, str(landing)), "sub", target))
+    assert spark.table(table).count() == 9
+
+
+def test_writers_share_a_table(spark, tmp_path, names):
+    """Two jobs, and one on a renewed checkpoint, append to one table and keep each other's rows."""
+    table = names("rides_shared")
+    jobs.create_tables(spark, table, STANDARD, str(tmp_path / "t"))
+    land(spark, tmp_path / "a", [json.dumps(RIDE)] * 2 + ["{broken"])
+    land(spark, tmp_path / "b", [json.dumps(RIDE)])
+    for folder, checkpoint in (("a", "cp_a"), ("b", "cp_b"), ("b", "cp_b_renewed")):
+        target = jobs.Target(table, str(tmp_path / checkpoint), jobs.CATCH_UP)
+        finish(jobs.start_standard(stream_landing(spark, str(tmp_path / folder)), folder, target))
+    assert spark.table(table).count() == 4 and spark.table(f"{table}_dlq").count() == 1
+    assert len(tables.batches(spark, table)) == 3
+
+
+def test_a_backlog_comes_in_several_batches(spark, tmp_path, names):
+    table = names("rides_backlog")
+    jobs.create_tables(spark, table, RAW, str(tmp_path / "t"))
+    for start in (0, 10, 20):
+        land(spark, tmp_path / "landing", [json.dumps(RIDE)] * 2, start=start)
+    target = jobs.Target(table, str(tmp_path / "cp"), jobs.CATCH_UP)
+    finish(jobs.start_raw(stream_landing(spark, str(tmp_path / "landing"), max_bytes=1), "sub", target))
+    assert spark.table(table).count() == 6 and len(tables.batches(spark, table)) == 3

@@ -7,64 +7,31 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tollgate.session import ensure_checkpoint_dir
-
 # Shards, and rows per batch.
 SHARDS = 5
 BATCH_SIZE = 100
 
-# monotonically_increasing_id holds the partition above the row's place in the partition.
-_PLACE_BITS = 33
-
-# One offset row per partition and shard; far below any broadcast limit up to this many.
-_BROADCAST_ROWS = 1_000_000
-
 
 def shard_of(message_id: Column, shards: int = SHARDS) -> Column:
     return F.pmod(F.xxhash64(message_id), F.lit(shards)).cast("int")
 
 
 def number_batches(
-    df: DataFrame,
-    shard: Column,
-    order: Sequence[str],
-    size: int = BATCH_SIZE,
-    shards: int = SHARDS,
-    partitions: int | None = None,
+    df: DataFrame, shard: Column, order: Sequence[str], stretch: Column, size: int = BATCH_SIZE
 ) -> DataFrame:
     """Add ``shard`` and ``batch_no``: rows of a shard, in order, in batches of ``size``.
 
-    ``row_number`` over a shard would sort the whole shard in one task, and there are only a few
-    shards. Instead the rows are range-partitioned on (shard, order), so a shard of any size is
-    spread evenly; each row's place in its partition plus the rows of the shard in earlier
-    partitions is its place in the shard. ``order`` must identify a row within its shard.
+    ``row_number`` over a shard would sort the whole shard in one task, and there are only a few shards.
+    ``stretch`` cuts a shard into pieces that follow its order, such as the hour of the publish time: it
+    must never decrease along ``order``. Rows are numbered within (shard, stretch), after the rows of
+    the shard's earlier stretches. ``order`` must identify a row within its shard.
     """
-    spark = df.sparkSession
-    ensure_checkpoint_dir(spark)
-    partitions = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    keys = ["shard", *order]
-    ranged = df.withColumn("shard", shard).repartitionByRange(partitions, *keys).sortWithinPartitions(*keys)
-    # Range bounds are sampled, so the partitioning is fixed before it is counted and read again.
-    ranged = ranged.checkpoint()
-    row_id = F.monotonically_increasing_id()
-    placed = ranged.select(
-        "*",
-        F.shiftright(row_id, _PLACE_BITS).alias("_partition"),
-        row_id.bitwiseAND(F.lit((1 << _PLACE_BITS) - 1)).alias("_place"),
-    )
-    held = placed.groupBy("shard", "_partition").agg(
-        F.count("*").alias("_rows"), F.min("_place").alias("_first")
-    )
-    earlier = Window.partitionBy("shard").orderBy("_partition").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = held.select(
-        "shard",
-        "_partition",
-        (F.coalesce(F.sum("_rows").over(earlier), F.lit(0)) - F.col("_first")).alias("_offset"),
-    )
-    if partitions + shards <= _BROADCAST_ROWS:
-        offsets = F.broadcast(offsets)
-    return (
-        placed.join(offsets, ["shard", "_partition"])
-        .withColumn("batch_no", F.expr(f"(_place + _offset) div {size}"))
-        .drop("_partition", "_place", "_offset")
-    )
+    placed = df.withColumns({"shard": shard, "_stretch": stretch})
+    held = placed.groupBy("shard", "_stretch").agg(F.count("*").alias("_rows"))
+    earlier = Window.partitionBy("shard").orderBy("_stretch").rowsBetween(Window.unboundedPreceding, -1)
+    before = held.select(F.col("shard").alias("_s"), F.col("_stretch").alias("_t"), F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_before"))
+    within = F.row_number().over(Window.partitionBy("shard", "_stretch").orderBy(*order)) - 1
+    same = F.col("shard").eqNullSafe(F.col("_s")) & F.col("_stretch").eqNullSafe(F.col("_t"))
+    numbered = placed.withColumn("_within", within).join(before, same)
+    batch = F.floor((F.col("_within") + F.col("_before")) / size).cast("bigint")
+    return numbered.withColumn("batch_no", batch).drop("_stretch", "_within", "_s", "_t", "_before")

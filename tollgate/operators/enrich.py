@@ -47,20 +47,30 @@ def iso_millis(clock: Column) -> Column:
 def enrich_rides(messages: DataFrame, clock: Column | None = None) -> DataFrame:
     """Set ``enrichment_timestamp`` and ``region`` in each payload, keeping all other members.
 
+    A payload that has neither keeps its text byte for byte up to the closing brace. One that has either is
+    written anew, because the old value must go: its members stay equal, but not their spelling or order.
+
     A JSON payload that is not an object has no members to set and passes unchanged. One that is
     not JSON, or is ``null``, cannot be transformed and is not delivered; see
     ``untransformable``.
     """
     clock = F.current_timestamp() if clock is None else clock
     df = _with_members(messages).where(_transformable())
-    added = F.create_map(
-        F.lit("enrichment_timestamp"),
-        iso_millis(clock).cast("variant"),
-        F.lit("region"),
-        region_of(F.expr(latitude_of("_cells['latitude']"))).cast("variant"),
-    )
-    others = F.map_filter("_cells", lambda key, _: ~key.isin("enrichment_timestamp", "region"))
-    enriched = F.to_json(F.map_concat(others, added)).cast("binary")
+    values = {
+        "enrichment_timestamp": iso_millis(clock),
+        "region": region_of(F.expr(latitude_of("_cells['latitude']"))),
+    }
+    # Neither value holds a character that JSON escapes.
+    members = F.concat(*[F.concat(F.lit(f',"{name}":"'), value, F.lit('"')) for name, value in values.items()])
+    # The text is one object: before its last brace the members are added, and nothing else changes.
+    body = F.regexp_replace("_text", r"[ \t\r\n]*\}[ \t\r\n]*\z", "")
+    members = F.when(F.size("_cells") == 0, F.substr(members, F.lit(2))).otherwise(members)
+    spliced = F.concat(body, members, F.lit("}"))
+    added = F.create_map(*[x for name, value in values.items() for x in (F.lit(name), value.cast("variant"))])
+    others = F.map_filter("_cells", lambda key, _: ~key.isin(*values))
+    replaced = F.to_json(F.map_concat(others, added))
+    has_either = F.exists(F.map_keys("_cells"), lambda key: key.isin(*values))
+    enriched = F.when(has_either, replaced).when(~has_either, spliced).cast("binary")
     return df.withColumn("data", F.coalesce(enriched, F.col("data"))).select(*MESSAGE.fieldNames())
 
 
@@ -96,6 +106,7 @@ def keep_if(predicate: Callable[[Column], Column], *names: str) -> Transform:
 
     def apply(messages: DataFrame) -> DataFrame:
         df = messages.select(*MESSAGE.fieldNames(), jsonx.decode_utf8(F.col("data")).alias("_text"))
-        return jsonx.with_cells(df, names).where(predicate(F.col("_cells")))
+        # What is not JSON has no members, whatever its beginning looks like.
+        return jsonx.with_cells(df, names).where(F.col("_is_json") & predicate(F.col("_cells")))
 
     return apply

@@ -100,41 +100,38 @@ class AvroField:
         return f"try_cast({value} AS {self.data_type.simpleString()})"
 
 
-def _resolve(definition) -> tuple[str, str | None]:
-    """Base type and logical type of one non-union Avro type."""
-    if isinstance(definition, str):
-        if definition not in PRIMITIVES:
-            raise ValueError(f"Unsupported Avro primitive type: {definition}")
-        return definition, None
-    if isinstance(definition, dict):
-        base, logical = definition.get("type"), definition.get("logicalType")
-        if logical:
-            if logical not in LOGICAL:
-                raise ValueError(f"Unsupported Avro logical type: {logical}")
-            return (base if base in PRIMITIVES else LOGICAL[logical][2]), logical
+def _types_of(declared) -> list[tuple[str | None, str | None]]:
+    """Every type a declaration allows, as (base, logical); a union allows several."""
+    if isinstance(declared, list):
+        return [found for branch in declared for found in _types_of(branch)]
+    annotated = declared if isinstance(declared, dict) else {"type": declared}
+    base, logical = annotated.get("type"), annotated.get("logicalType") or None
+    if logical in LOGICAL and base not in PRIMITIVES:
+        base = LOGICAL[logical][2]
+    return [(base if isinstance(base, str) else None, logical)]
+
+
+def _field(name: str, declared) -> AvroField:
+    """A field from its declared type; the only place that says what is not supported."""
+    types = _types_of(declared)
+    stored = [found for found in types if found != ("null", None)]
+    if isinstance(declared, list) and len(stored) != 1:
+        # Fixed value: how this message begins.
+        raise ValueError(f"Unsupported union type for field '{name}': only null and one other type can be stored")
+    (base, logical), = stored or types
+    if logical is not None and logical not in LOGICAL:
+        raise ValueError(f"field '{name}' has a logical type without a column type: {logical}")
+    if base not in PRIMITIVES:
         if isinstance(base, str) and base:
-            return _resolve(base)
-    raise ValueError(f"Unsupported Avro type definition: {definition}")
+            # Fixed value: how this message begins.
+            raise ValueError(f"Unsupported Avro primitive type: {base}")
+        raise ValueError(f"field '{name}' has a type without a column type: {declared}")
+    return AvroField(name, base, logical, len(stored) < len(types))
 
 
 def fields_of(definition: str) -> list[AvroField]:
     """Fields of an Avro record in schema order."""
-    fields = []
-    for member in json.loads(definition)["fields"]:
-        name, declared = member["name"], member["type"]
-        nullable = isinstance(declared, list)
-        if nullable:
-            branches = [branch for branch in declared if branch != "null"]
-            if len(branches) != 1:
-                raise ValueError(
-                    f"Unsupported union type for field '{name}': {declared}; use null and one other type"
-                )
-            # A union without null still needs a value.
-            nullable = len(branches) < len(declared)
-            declared = branches[0]
-        base, logical = _resolve(declared)
-        fields.append(AvroField(name, base, logical, nullable))
-    return fields
+    return [_field(member["name"], member["type"]) for member in json.loads(definition)["fields"]]
 
 
 def to_struct(definition: str) -> StructType:

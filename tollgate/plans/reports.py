@@ -2,27 +2,26 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tollgate.functions.jsonx import once
 from tollgate.session import configure
 
 # The payload is parsed once, by the one-element LATERAL VIEW; see ``jsonx.once``. A scalar
-# member is taken as text, as JSON_VALUE does, and cast strictly: the view is meant for rows the
-# raw path has accepted.
+# member is taken as text, as JSON_VALUE does. ``{cast}`` is CAST, which fails at text that the raw
+# path keeps but the column cannot hold, or TRY_CAST, which makes it NULL.
 _TYPED_VIEW = """
 SELECT
-  subscription_name, message_id, publish_time, processing_time,
+  subscription_name, message_id, publish_time, processing_time,{day}
   {ride_id} AS ride_id,
-  CAST({point_idx} AS BIGINT) AS point_idx,
-  CAST({latitude} AS DOUBLE) AS latitude,
-  CAST({longitude} AS DOUBLE) AS longitude,
-  CAST({timestamp} AS TIMESTAMP) AS timestamp,
-  CAST({meter_reading} AS DOUBLE) AS meter_reading,
-  CAST({meter_increment} AS DOUBLE) AS meter_increment,
+  {cast}({point_idx} AS BIGINT) AS point_idx,
+  {cast}({latitude} AS DOUBLE) AS latitude,
+  {cast}({longitude} AS DOUBLE) AS longitude,
+  {cast}({timestamp} AS TIMESTAMP) AS timestamp,
+  {cast}({meter_reading} AS DOUBLE) AS meter_reading,
+  {cast}({meter_increment} AS DOUBLE) AS meter_increment,
   {ride_status} AS ride_status,
-  CAST({passenger_count} AS BIGINT) AS passenger_count
+  {cast}({passenger_count} AS BIGINT) AS passenger_count
 FROM {source}
 LATERAL VIEW explode(array(try_cast(try_parse_json(payload) AS STRUCT<
   ride_id: VARIANT, point_idx: VARIANT, latitude: VARIANT, longitude: VARIANT,
@@ -43,115 +42,96 @@ def json_value(variant: str) -> str:
     )
 
 
-def typed_view_sql(source: str) -> str:
+def typed_view_sql(source: str, safe: bool = False, day: bool = False) -> str:
+    """The view's query; ``day`` adds ``publish_date``, by which a table's partitions are pruned."""
     values = {name: json_value(f"cells.{name}") for name in _MEMBERS}
-    return _TYPED_VIEW.format(source=source, **values)
+    cast = "TRY_CAST" if safe else "CAST"
+    return _TYPED_VIEW.format(source=source, cast=cast, day=" publish_date," if day else "", **values)
 
 
-def typed_view(raw: DataFrame) -> DataFrame:
-    """Typed columns over the raw table's payload."""
-    return configure(raw.sparkSession).sql(typed_view_sql("{raw}"), raw=raw)
+def typed_view(raw: DataFrame, safe: bool = False) -> DataFrame:
+    """Typed columns over the raw table's payload. With ``safe`` an unreadable member is NULL, else an error."""
+    day = "publish_date" in raw.columns
+    return configure(raw.sparkSession).sql(typed_view_sql("{raw}", safe, day), raw=raw)
 
 
-def create_typed_view(spark: SparkSession, view: str, raw_table: str) -> None:
-    configure(spark).sql(f"CREATE OR REPLACE VIEW {view} AS {typed_view_sql(raw_table)}")
+def create_typed_view(spark: SparkSession, view: str, raw_table: str, safe: bool = False) -> None:
+    query = typed_view_sql(raw_table, safe, day=True)
+    configure(spark).sql(f"CREATE OR REPLACE VIEW {view} AS {query}")
+
+
+def materialize_typed_view(spark: SparkSession, table: str, raw_table: str, safe: bool = False) -> None:
+    """A new table with the typed columns of the raw table as it is now, partitioned by day."""
+    query = typed_view_sql(raw_table, safe, day=True)
+    configure(spark).sql(f"CREATE TABLE {table} USING parquet PARTITIONED BY (publish_date) AS {query}")
 
 
 def json_query(df: DataFrame, column: str, path: str, name: str) -> DataFrame:
-    """Add the object or array at a path as JSON text; NULL if there is none."""
-    found = once(df, **{name: f"get_json_object({column}, '{path}')"})
-    is_document = F.col(name).startswith("{") | F.col(name).startswith("[")
-    return found.withColumn(name, F.when(is_document, F.col(name)))
+    """Add the object or array at a path as JSON text; NULL if there is none.
+
+    A scalar is no document, whatever its text looks like: the kind of the value decides.
+    """
+    kind = F.schema_of_variant(F.try_variant_get(F.try_parse_json(column), path, "variant"))
+    is_document = kind.startswith("OBJECT") | kind.startswith("ARRAY")
+    return df.withColumn(name, F.when(is_document, F.get_json_object(column, path)))
 
 
 def _report(sql: str, table: DataFrame) -> DataFrame:
     return table.sparkSession.sql(sql, t=table)
 
 
-def mixed_overview_short(table: DataFrame) -> DataFrame:
-    """Messages and rides of enriched and plain traffic."""
-    return _report(
-        """
-        SELECT
-          CASE WHEN enrichment_timestamp IS NOT NULL THEN 'v2 (enriched)' ELSE 'v1 (plain)' END
-            AS schema_version,
-          count(*) AS message_count,
-          count(DISTINCT ride_id) AS unique_rides
-        FROM {t} GROUP BY schema_version
-        """,
-        table,
-    )
+# Names of the two kinds of traffic, column names, and numbers of rows shown.
+KINDS, SHORT_KINDS = ("v2 (enriched)", "v1 (plain)"), ("v2", "v1")
+MINUTES, SAMPLE = 15, 20
+
+
+def _is_enriched() -> Column:
+    return F.col("enrichment_timestamp").isNotNull()
+
+
+def _kind(names: tuple[str, str]) -> Column:
+    return F.when(_is_enriched(), names[0]).otherwise(names[1])
 
 
 def mixed_overview(table: DataFrame) -> DataFrame:
-    """The short overview with the first and last message of each kind."""
-    return _report(
-        """
-        SELECT
-          CASE WHEN enrichment_timestamp IS NOT NULL THEN 'v2 (enriched)' ELSE 'v1 (plain)' END
-            AS schema_version,
-          count(*) AS message_count,
-          count(DISTINCT ride_id) AS unique_rides,
-          min(publish_time) AS first_seen,
-          max(publish_time) AS last_seen
-        FROM {t} GROUP BY schema_version
-        """,
-        table,
+    """Messages, rides, and first and last message of enriched and plain traffic."""
+    return table.groupBy(_kind(KINDS).alias("schema_version")).agg(
+        F.count("*").alias("message_count"),
+        F.count_distinct("ride_id").alias("unique_rides"),
+        F.min("publish_time").alias("first_seen"),
+        F.max("publish_time").alias("last_seen"),
     )
 
 
-def minute_timeline_short(table: DataFrame) -> DataFrame:
-    """Enriched and plain messages of the fifteen latest minutes."""
-    return _report(
-        """
-        SELECT
-          date_trunc('MINUTE', publish_time) AS minute,
-          count_if(enrichment_timestamp IS NOT NULL) AS v2_count,
-          count_if(enrichment_timestamp IS NULL) AS v1_count
-        FROM {t} GROUP BY minute ORDER BY minute DESC LIMIT 15
-        """,
-        table,
-    )
+def mixed_overview_short(table: DataFrame) -> DataFrame:
+    return mixed_overview(table).drop("first_seen", "last_seen")
 
 
 def minute_timeline(table: DataFrame) -> DataFrame:
-    """The short timeline with the total of each minute."""
-    return _report(
-        """
-        SELECT
-          date_trunc('MINUTE', publish_time) AS minute,
-          count_if(enrichment_timestamp IS NOT NULL) AS v2_count,
-          count_if(enrichment_timestamp IS NULL) AS v1_count,
-          count(*) AS total
-        FROM {t} GROUP BY minute ORDER BY minute DESC LIMIT 15
-        """,
-        table,
+    """Enriched, plain and all messages of the latest minutes that have any."""
+    minutes = table.groupBy(F.date_trunc("minute", "publish_time").alias("minute")).agg(
+        F.count_if(_is_enriched()).alias("v2_count"),
+        F.count_if(~_is_enriched()).alias("v1_count"),
+        F.count("*").alias("total"),
     )
+    return minutes.orderBy(F.desc("minute")).limit(MINUTES)
+
+
+def minute_timeline_short(table: DataFrame) -> DataFrame:
+    return minute_timeline(table).drop("total")
 
 
 def sample_v1_v2(table: DataFrame) -> DataFrame:
-    """The twenty latest rows; equal times are ordered by message id."""
-    return _report(
-        """
-        SELECT
-          CASE WHEN enrichment_timestamp IS NOT NULL THEN 'v2' ELSE 'v1' END AS version,
-          ride_id, ride_status, latitude, enrichment_timestamp, region, publish_time, message_id
-        FROM {t} ORDER BY publish_time DESC, message_id DESC LIMIT 20
-        """,
-        table,
-    )
+    """The latest rows; equal times are ordered by message id."""
+    shown = "ride_id ride_status latitude enrichment_timestamp region publish_time message_id".split()
+    latest = table.orderBy(F.desc("publish_time"), F.desc("message_id")).limit(SAMPLE)
+    return latest.select(_kind(SHORT_KINDS).alias("version"), *shown)
 
 
 def region_distribution(table: DataFrame) -> DataFrame:
-    """Enriched messages per region."""
-    return _report(
-        """
-        SELECT region, count(*) AS count
-        FROM {t} WHERE enrichment_timestamp IS NOT NULL
-        GROUP BY region ORDER BY count DESC
-        """,
-        table,
-    )
+    """Enriched messages per region, most frequent first."""
+    regions = table.where(_is_enriched()).groupBy("region").agg(F.count("*").alias("count"))
+    return regions.orderBy(F.desc("count"))
 
 
 def pipeline_lag(table: DataFrame) -> DataFrame:

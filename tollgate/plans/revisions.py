@@ -54,13 +54,21 @@ def load(
         rows = rows.where(F.col("ordinal") >= first)
     if last is not None:
         rows = rows.where(F.col("ordinal") <= last)
-    found = rows.orderBy(F.desc("ordinal")).limit(MAX_REVISIONS).collect()
+    # One more than allowed is enough to see that there are too many.
+    found = rows.orderBy(F.desc("ordinal")).limit(MAX_REVISIONS + 1).collect()
+    if len(found) > MAX_REVISIONS:
+        raise ValueError(f"schema {schema_name} has more than {MAX_REVISIONS} revisions")
     return [Revision(**row.asDict()) for row in found]
 
 
 def commit(spark: SparkSession, path: str, schema_name: str, definition: str) -> Revision:
-    """Append a revision that every earlier one is compatible with."""
+    """Append a revision that every earlier one is compatible with.
+
+    The newest revision is returned as it is if it has this definition, so a commit can be repeated.
+    """
     existing = load(spark, path, schema_name)
+    if existing and existing[0].definition == definition:
+        return existing[0]
     if len(existing) >= MAX_REVISIONS:
         raise ValueError(f"schema {schema_name} already has {MAX_REVISIONS} revisions")
     avro.fields_of(definition)
@@ -72,4 +80,6 @@ def commit(spark: SparkSession, path: str, schema_name: str, definition: str) ->
     revision = make_revision(schema_name, ordinal, definition)
     row = (revision.schema_name, revision.revision_id, revision.ordinal, revision.definition)
     spark.createDataFrame([row], SCHEMA).coalesce(1).write.mode("append").parquet(path)
+    if sum(r.ordinal == ordinal for r in load(spark, path, schema_name)) > 1:
+        raise ValueError(f"another revision {ordinal} of {schema_name} was committed at the same time")
     return revision

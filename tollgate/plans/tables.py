@@ -1,7 +1,8 @@
 """Tables of the session catalog: creating, evolving and idempotent appends.
 
-Every table is partitioned by the micro-batch that wrote it and by day. A batch that is retried
-replaces its own partition, which makes appending it exactly-once.
+Every table is partitioned by the writer, its micro-batch and the day. A batch that is retried replaces its
+own partition, which makes appending it exactly-once. A writer is one checkpoint: any number of them, and
+renewed ones, append to one table without touching each other's rows.
 """
 
 from __future__ import annotations
@@ -12,7 +13,10 @@ from pyspark.sql.types import StructType
 
 from tollgate.functions.jsonx import quoted
 
-BATCH = "batch_id"
+WRITER, BATCH = "writer", "batch_id"
+
+# Columns of the layout, which follow a table's own: writer, batch, day.
+_LAYOUT = 3
 
 
 class TableError(ValueError):
@@ -31,18 +35,18 @@ def ddl(schema: StructType) -> str:
 def create_table(
     spark: SparkSession, name: str, schema: StructType, time_column: str, location: str | None = None
 ) -> None:
-    """Create an empty table laid out by batch and day of ``time_column``."""
+    """Create an empty table laid out by writer, batch and day of ``time_column``."""
     day = day_column(time_column)
     place = f" LOCATION '{location}'" if location else ""
     spark.sql(
-        f"CREATE TABLE {name} ({ddl(schema)}, {BATCH} BIGINT, {day} DATE) USING parquet "
-        f"PARTITIONED BY ({BATCH}, {day}){place}"
+        f"CREATE TABLE {name} ({ddl(schema)}, {WRITER} STRING, {BATCH} BIGINT, {day} DATE) USING parquet "
+        f"PARTITIONED BY ({WRITER}, {BATCH}, {day}){place}"
     )
 
 
 def columns_of(spark: SparkSession, name: str) -> dict[str, str]:
-    """Data columns of a table with their types, without the two layout columns."""
-    return dict(spark.table(name).dtypes[:-2])
+    """Data columns of a table with their types, without those of the layout."""
+    return dict(spark.table(name).dtypes[:-_LAYOUT])
 
 
 def require_table(spark: SparkSession, name: str, schema: StructType) -> None:
@@ -77,14 +81,22 @@ def evolve_table(
 
 
 def append_batch(
-    rows: DataFrame, name: str, batch_id: int, time_column: str, clustered: bool = True, rebalance: bool = False
+    rows: DataFrame,
+    name: str,
+    writer: str,
+    batch_id: int,
+    time_column: str,
+    clustered: bool = True,
+    rebalance: bool = False,
 ) -> None:
-    """Write one batch, replacing what an earlier attempt at the same batch wrote.
+    """Write one batch, replacing what an earlier attempt of this writer at the same batch wrote.
 
     Rows of a day are sorted by time within each file, so row groups can be skipped by their
     bounds. ``rebalance`` is for catching up a backlog that spans many days: it shuffles by day
     so that a task does not write a small file per day, and splits a day that is too large.
     """
+    if not writer.replace("-", "").isalnum():
+        raise ValueError(f"a writer is named by letters, digits and dashes: {writer}")
     spark = rows.sparkSession
     day = day_column(time_column)
     rows = rows.withColumn(day, F.to_date(time_column))
@@ -96,15 +108,22 @@ def append_batch(
     # A retry may fall on other days than the first attempt, so the whole batch is replaced.
     spark.conf.set("spark.sql.sources.partitionOverwriteMode", "static")
     spark.sql(
-        f"INSERT OVERWRITE TABLE {name} PARTITION ({BATCH} = {batch_id}, {day}) "
+        f"INSERT OVERWRITE TABLE {name} PARTITION ({WRITER} = '{writer}', {BATCH} = {batch_id}, {day}) "
         f"({', '.join([*columns, day])}) SELECT {', '.join([*columns, day])} FROM {{rows}}",
         rows=rows,
     )
 
 
 def read_table(spark: SparkSession, name: str) -> DataFrame:
-    """The data columns and the day, without the batch."""
-    return spark.table(name).drop(BATCH)
+    """The data columns and the day, without writer and batch."""
+    return spark.table(name).drop(WRITER, BATCH)
+
+
+def batches(spark: SparkSession, name: str) -> list[tuple[str, int]]:
+    """Writers and batches of a table, from the catalog's list of partitions."""
+    listed = spark.sql(f"SHOW PARTITIONS {name}").collect()
+    keys = [dict(part.split("=", 1) for part in row[0].split("/")) for row in listed]
+    return sorted({(key[WRITER], int(key[BATCH])) for key in keys})
 
 
 def between(time_column: str, start: Column, end: Column) -> Column:

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
-
 from pyspark.sql import SparkSession
 
 # Read when a plan is analysed, so they must be set before a DataFrame is built.
@@ -21,22 +19,3 @@ def configure(spark: SparkSession) -> SparkSession:
         if spark.conf.get(key, None) != value:
             spark.conf.set(key, value)
     return spark
-
-
-def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the directory used by ``DataFrame.checkpoint``.
-
-    A cluster names a shared folder in ``spark.checkpoint.dir``. Only a local session that
-    names none gets a temporary folder, because executors of a cluster could not share it.
-    """
-    context = spark.sparkContext
-    configured = spark.conf.get("spark.checkpoint.dir", None)
-    current = context.getCheckpointDir()
-    if current and (not configured or configured in current):
-        return current
-    if not configured:
-        if not context.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-        configured = tempfile.mkdtemp(prefix="tollgate-checkpoint-")
-    context.setCheckpointDir(configured)
-    return configured

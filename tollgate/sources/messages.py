@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import DataStreamReader
 
 from tollgate.model import MESSAGE
 from tollgate.session import configure
@@ -14,35 +15,30 @@ def read_landing(spark: SparkSession, path: str) -> DataFrame:
     return configure(spark).read.schema(MESSAGE).parquet(path)
 
 
-def stream_landing(
-    spark: SparkSession,
-    path: str,
-    max_files: int | None = None,
-    max_bytes: str | None = None,
-) -> DataFrame:
-    """Messages as they land. The limits bound a micro-batch when a backlog is caught up.
+# The file source skips files that are older than the newest by more than this; a backfill must not be.
+_EVERY_AGE = "36500d"
 
-    Each query reads on its own, with offsets in its own checkpoint: every subscription sees
-    every message, and a restarted one goes on where it stopped.
-    """
-    reader = configure(spark).readStream.schema(MESSAGE)
+# Bytes of a micro-batch unless a caller sets another bound.
+MAX_BYTES = 1 << 30
+
+
+def bounded_stream(spark: SparkSession, schema, max_files: int | None, max_bytes: int | None) -> DataStreamReader:
+    """A file stream that reads files of any age, in micro-batches of bounded size."""
+    reader = configure(spark).readStream.schema(schema).option("maxFileAge", _EVERY_AGE)
     if max_files is not None:
-        reader = reader.option("maxFilesPerTrigger", max_files)
-    if max_bytes is not None:
-        reader = reader.option("maxBytesPerTrigger", max_bytes)
-    return reader.parquet(path)
+        return reader.option("maxFilesPerTrigger", max_files)
+    return reader.option("maxBytesPerTrigger", max_bytes or MAX_BYTES)
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Use all cores on an input of few partitions, such as one file with one row group.
+def stream_landing(
+    spark: SparkSession, path: str, max_files: int | None = None, max_bytes: int | None = None
+) -> DataFrame:
+    """Messages as they land. A bound on files or bytes, ``MAX_BYTES`` if none is given, limits a micro-batch.
 
-    Parsing a payload costs far more than moving it. An input that already has a partition per
-    core, as any large one has, is returned as it is and is never shuffled.
+    Each query reads on its own, with offsets in its own checkpoint: every subscription sees
+    every message, and a restarted one goes on where it stopped.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.isStreaming or df.rdd.getNumPartitions() >= cores:
-        return df
-    return df.repartition(cores)
+    return bounded_stream(spark, MESSAGE, max_files, max_bytes).parquet(path)
 
 
 def from_kafka(records: DataFrame) -> DataFrame:

@@ -7,11 +7,14 @@ changed projection.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
+from concurrent.futures import Future
 from dataclasses import dataclass
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tollgate.model import DEAD_LETTER, RAW, STANDARD
@@ -20,6 +23,7 @@ from tollgate.operators.raw import as_messages, parse_raw
 from tollgate.operators.schema_driven import parse_schema_driven
 from tollgate.operators.standard import parse_standard
 from tollgate.plans import avro, revisions, tables
+from tollgate.sources.messages import bounded_stream
 
 # Fixed value: how often buffered rows are flushed.
 FLUSH = {"processingTime": "1 second"}
@@ -41,11 +45,23 @@ class Target:
     def dead_letter_table(self) -> str:
         return f"{self.table}_dlq"
 
-    def start(self, df: DataFrame, write: Callable[[DataFrame, int], None]) -> StreamingQuery:
-        writer = df.writeStream.option("checkpointLocation", self.checkpoint).queryName(
-            self.table.replace(".", "_")
-        )
-        return writer.trigger(**(self.trigger or FLUSH)).foreachBatch(write).start()
+    def start(self, df: DataFrame, write: Callable[[DataFrame, str, int], None]) -> StreamingQuery:
+        """Start a query that hands each micro-batch to ``write`` with the writer and the batch.
+
+        The writer is the query's id. A checkpoint keeps it, so a restarted query goes on as the same
+        writer, and one on a new checkpoint is another.
+        """
+        named: Future[str] = Future()
+        stream = df.writeStream.option("checkpointLocation", self.checkpoint).queryName(_query_name(self.table, self.checkpoint))
+        stream = stream.trigger(**(self.trigger or FLUSH))
+        query = stream.foreachBatch(lambda rows, batch_id: write(rows, named.result(), batch_id)).start()
+        named.set_result(query.id)
+        return query
+
+
+def _query_name(target: str, checkpoint: str) -> str:
+    """Unique per checkpoint: a session may run several queries into one table or topic."""
+    return re.sub(r"\W+", "_", f"{target} {checkpoint}")
 
 
 def create_tables(spark: SparkSession, table: str, schema, location: str | None = None) -> None:
@@ -55,18 +71,18 @@ def create_tables(spark: SparkSession, table: str, schema, location: str | None
     tables.create_table(spark, f"{table}_dlq", DEAD_LETTER, "processing_time", dead)
 
 
-def fan_out(target: Target) -> Callable[[DataFrame, int], None]:
+def fan_out(target: Target) -> Callable[[DataFrame, str, int], None]:
     """Write a parsed micro-batch to the table and its dead-letter table, parsing it once."""
 
-    def write(parsed: DataFrame, batch_id: int) -> None:
+    def write(parsed: DataFrame, writer: str, batch_id: int) -> None:
         # Both writes read the same rows. The size of a micro-batch is bounded by the source.
         parsed = parsed.persist(StorageLevel.MEMORY_AND_DISK)
         try:
             tables.append_batch(
-                routing.table_rows(parsed), target.table, batch_id, "publish_time", rebalance=target.rebalance
+                routing.table_rows(parsed), target.table, writer, batch_id, "publish_time", rebalance=target.rebalance
             )
             tables.append_batch(
-                routing.dead_letters(parsed), target.dead_letter_table, batch_id, "processing_time", clustered=False
+                routing.dead_letters(parsed), target.dead_letter_table, writer, batch_id, "processing_time", clustered=False
             )
         finally:
             parsed.unpersist()
@@ -90,20 +106,27 @@ def start_raw(messages: DataFrame, subscription: str, target: Target) -> Streami
 
 
 def start_schema_driven(
-    messages: DataFrame, subscription: str, definition: str, target: Target, on_error: str = "fail"
+    messages: DataFrame,
+    subscription: str,
+    definition: str,
+    target: Target,
+    on_error: str = "fail",
+    micros_as_millis: bool = False,
 ) -> StreamingQuery:
     """One table. The definition is fixed for the life of the query.
 
     With ``on_error="quarantine"`` unreadable messages go to a dead-letter table.
     """
-    parsed = parse_schema_driven(messages, subscription, definition, on_error=on_error)
+    parsed = parse_schema_driven(
+        messages, subscription, definition, on_error=on_error, micros_as_millis=micros_as_millis
+    )
     schema = avro.table_struct(definition)
     if on_error == "quarantine":
         return _start_with_dead_letters(parsed, schema, target)
     tables.require_table(messages.sparkSession, target.table, schema)
 
-    def write(rows: DataFrame, batch_id: int) -> None:
-        tables.append_batch(rows, target.table, batch_id, "publish_time", rebalance=target.rebalance)
+    def write(rows: DataFrame, writer: str, batch_id: int) -> None:
+        tables.append_batch(rows, target.table, writer, batch_id, "publish_time", rebalance=target.rebalance)
 
     return target.start(parsed, write)
 
@@ -125,15 +148,13 @@ def start_relay(
     relayed = validate.relay(messages, allowed, schema_name)
     relayed = relayed.observe("relay", *validate.relay_counts())
     writer = relayed.withColumn("outcome", validate.outcome()).writeStream.format("parquet").partitionBy("outcome")
-    writer = writer.option("checkpointLocation", checkpoint).option("path", topic).queryName("relay")
+    writer = writer.option("checkpointLocation", checkpoint).option("path", topic).queryName(_query_name("relay", checkpoint))
     return writer.trigger(**(trigger or FLUSH)).start()
 
 
 def stream_topic(spark: SparkSession, topic: str, max_files: int | None = None) -> DataFrame:
     """Accepted messages of a relay's topic folder; rejected files are never opened."""
-    reader = spark.readStream.schema(validate.TOPIC)
-    if max_files is not None:
-        reader = reader.option("maxFilesPerTrigger", max_files)
+    reader = bounded_stream(spark, validate.TOPIC, max_files, None)
     return validate.accepted(reader.parquet(topic).where("outcome = 'accepted'"))
 
 
@@ -146,27 +167,40 @@ def evolve(
     running: StreamingQuery | None,
     messages: Callable[[], DataFrame],
     subscription: str,
+    on_error: str = "fail",
+    micros_as_millis: bool = False,
 ) -> tuple[StreamingQuery, list[revisions.Revision]]:
     """Bring a schema-driven job to a new revision and restart it on its checkpoint.
 
     Steps, in order: commit the revision, widen the allowed range to it, stop the running query,
     add the table's new columns, start the query with the new definition. Only then may a
-    producer send the new fields; sent earlier they would be accepted but not extracted. Returns
-    the query and the widened range for the relay.
+    producer send the new fields; sent earlier they would be accepted but not extracted. Each step
+    changes nothing if it was done before, so a call that failed can be repeated. Returns the query and
+    the widened range for the relay.
     """
     revisions.commit(spark, registry, schema_name, definition)
     allowed = revisions.load(spark, registry, schema_name)
     if running is not None:
         running.stop()
     tables.evolve_table(spark, target.table, avro.table_struct(definition), "publish_time")
-    return start_schema_driven(messages(), subscription, definition, target), allowed
+    query = start_schema_driven(messages(), subscription, definition, target, on_error, micros_as_millis)
+    return query, allowed
 
 
-def replay(spark: SparkSession, raw_location: str) -> DataFrame:
-    """History of the raw table as a stream of messages, for any of the jobs above.
+def replay(
+    spark: SparkSession, raw_table: str, target: Target, parse: Callable[[DataFrame, str], DataFrame] = parse_standard
+) -> int:
+    """Parse the raw table's history again, into ``target``; returns the number of batches.
 
-    A stream of bounded micro-batches rather than one batch, so that a table of any size is
-    replayed without keeping it, and goes on where it stopped.
+    Works batch by batch, so it needs no more room than ingestion did. A batch becomes the same batch of a
+    writer of its own: repeating a replay, or going on with one that stopped, replaces what was written.
     """
-    schema = f"{tables.ddl(RAW)}, {tables.BATCH} BIGINT, publish_date DATE"
-    return as_messages(spark.readStream.schema(schema).parquet(raw_location))
+    write = fan_out(target)
+    listed = tables.batches(spark, raw_table)
+    for writer, batch_id in listed:
+        rows = spark.table(raw_table).where((F.col(tables.WRITER) == writer) & (F.col(tables.BATCH) == batch_id))
+        # All rows of a batch come from one job, and so from one subscription.
+        first = rows.select("subscription_name").first()
+        if first is not None:
+            write(parse(as_messages(rows), first.subscription_name), f"replay-{writer}", batch_id)
+    return len(listed)

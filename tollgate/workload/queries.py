@@ -315,7 +315,7 @@ def part_daily_counts(spark, sf_dir):
 
 def batch_by_count(spark, sf_dir):
     events = workload.table(spark, sf_dir, "events").select("event_id")
-    numbered = batching.number_batches(events, F.expr("event_id % 5"), ["event_id"])
+    numbered = batching.number_batches(events, F.expr("event_id % 5"), ["event_id"], F.expr("event_id div 50000"))
     return numbered.groupBy("shard", "batch_no").agg(F.count("*").alias("n"))
 
 
