@@ -9,11 +9,16 @@ more than that many cells, and all that share a few lines or a passage drop out
 
 Within a cell, members are ordered by a hash, and serve as pivots in windows of growing length: the first,
 the next 3, the next 12, and so on. In each round the members are compared with the window's pivots, except
-those that are known to be in the pivot's component, and those that the triangle inequality excludes: by
-their distances to the cell's first pivot, which differ by more than the join's radius. The join recurs with the
+those that are known to be in the pivot's component, and those that the triangle inequality of the symmetric
+difference excludes: sets whose sizes, which are their distances from the empty set, are too far apart. The join recurs with the
 cells that hold more than one component, until their pivots are used up; then every pair has been compared,
 excluded or connected. A cell of copies so costs a comparison per member, not one per pair.
 
+Most pairs are settled by parity sketches, in which common shingles cancel out: the bits in which two of them
+differ are no more than the shingles in which the sets differ. What is left is intersected, first one pair for
+each node, and then those that this has not connected. The sets lie in a table bucketed by node, so that no round
+shuffles them again.
+
 Equal sets are one node. Node ids are 64-bit hashes, checked against 128-bit ones; on a clash the join starts
 anew with another seed.
 
@@ -25,6 +30,7 @@ no rows; other columns are dropped.
 from __future__ import annotations
 
 import hashlib
+import uuid
 from collections.abc import Iterator
 from itertools import repeat
 
@@ -126,8 +132,25 @@ def _cells(sets: DataFrame, percent: int) -> DataFrame:
     return saved(several.join(chosen, "cell").select("cell", "node", rank.alias("rank")), "near-regions")
 
 
-def _members(docs: DataFrame, sets: DataFrame, nodes: DataFrame, width: int, seed: int) -> DataFrame:
-    """Sets of ``nodes``: node, n, s. A document is read for each."""
+def sketch(s: np.ndarray) -> np.ndarray:
+    """Parity of the shingles in each of about four times as many places, packed into bytes."""
+    bits = max(64, 1 << (4 * len(s)).bit_length())
+    return np.packbits(np.bincount((s & np.uint64(bits - 1)).astype(np.int64), minlength=bits) & 1, bitorder="little")
+
+
+def differing(a: bytes, b: bytes) -> int:
+    """Places in which two sketches differ: at most the number of shingles that only one set has."""
+    x, y = np.frombuffer(a, np.uint8), np.frombuffer(b, np.uint8)
+    while len(x) != len(y):  # a sketch of half the places is the sum of its halves
+        if len(x) > len(y):
+            x = x[: len(x) // 2] ^ x[len(x) // 2 :]
+        else:
+            y = y[: len(y) // 2] ^ y[len(y) // 2 :]
+    return int(np.bitwise_count(x ^ y).sum())
+
+
+def _members(docs: DataFrame, sets: DataFrame, nodes: DataFrame, width: int, seed: int, table: str) -> DataFrame:
+    """Sets of ``nodes`` as a bucketed table: node, n, k (sketch), s. A document is read for each."""
     wanted = sets.join(nodes, "node", "left_semi").groupBy("node").agg(F.min("doc_id").alias("doc_id"), F.min("n").alias("n"))
     wanted = saved(wanted, "near-wanted")
     slots = wanted.select(F.pmod(F.xxhash64("doc_id"), F.lit(_BITS)).alias("slot")).selectExpr("slot DIV 64 AS at", "shiftleft(1L, CAST(slot % 64 AS INT)) AS bit")
@@ -145,11 +168,20 @@ def _members(docs: DataFrame, sets: DataFrame, nodes: DataFrame, width: int, see
                 found = [shingles(t, width, seed) for t in batch["text"].iloc[begin : begin + 512]]
                 found = [s for s in found if len(s)]
                 node = [int.from_bytes(hashlib.blake2b(s.tobytes(), digest_size=16).digest()[:8], "little", signed=True) for s in found]
-                yield pd.DataFrame({"node": np.array(node, np.int64), "s": [s.view(np.int64) for s in found]})
+                yield pd.DataFrame(
+                    {
+                        "node": np.array(node, np.int64), "n": np.array([len(s) for s in found], np.int64),
+                        "k": [sketch(s).tobytes() for s in found], "s": [s.view(np.int64) for s in found],
+                    }
+                )
 
     slotted = docs.select("text", F.pmod(F.xxhash64("doc_id"), F.lit(_BITS)).alias("slot"))
-    fetched = slotted.mapInPandas(fetch, "node long, s array<long>").join(wanted.select("node"), "node", "left_semi")
-    return saved(fetched.groupBy("node").agg(F.first("s").alias("s")), "near-members")
+    spark = docs.sparkSession
+    fetched = slotted.mapInPandas(fetch, "node long, n long, k binary, s array<long>")
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    fetched = fetched.repartition(parts, "node").join(wanted.select("node"), "node", "left_semi").dropDuplicates(["node"])
+    fetched.write.bucketBy(parts, "node").sortBy("node").format("parquet").saveAsTable(table)
+    return spark.table(table)
 
 
 def _same(a: DataFrame, b: DataFrame) -> bool:
@@ -175,6 +207,37 @@ def components(edges: DataFrame) -> DataFrame:
         edges = small
 
 
+def _labelled(df: DataFrame, labels: DataFrame | None, node: str, name: str) -> DataFrame:
+    """Add the component that a node is known to be in."""
+    if labels is None:
+        return df.withColumn(name, F.col(node))
+    return df.join(labels.selectExpr(f"u AS {node}", "v AS _v"), node, "left").withColumn(name, F.coalesce("_v", node)).drop("_v")
+
+
+def _sketched(pairs: DataFrame, members: DataFrame, percent: int) -> DataFrame:
+    """Pairs with x (places in which their sketches differ) and near (whether they still can be linked)."""
+
+    @F.pandas_udf("long")
+    def differ(a: pd.Series, b: pd.Series) -> pd.Series:
+        return pd.Series([differing(x, y) for x, y in zip(a, b)], dtype="int64")
+
+    left = members.selectExpr("node AS a", "n AS a_n", "k AS a_k")
+    right = members.selectExpr("node AS b", "n AS b_n", "k AS b_k")
+    joined = pairs.join(left, "a").join(right, "b").select("a", "b", "a_n", "b_n", differ("a_k", "b_k").alias("x"))
+    # Similar sets differ in at most (1 - t) / (1 + t) of both sizes.
+    near = F.expr(f"x * (100 + {percent}) <= (a_n + b_n) * (100 - {percent})")
+    return joined.select("a", "b", "x", near.alias("near"))
+
+
+def _intersected(pairs: DataFrame, members: DataFrame, percent: int) -> DataFrame:
+    """Pairs that are linked."""
+    left, right = members.selectExpr("node AS a", "s AS x"), members.selectExpr("node AS b", "s AS y")
+    sizes = pairs.join(left, "a").join(right, "b").select(
+        "a", "b", F.size(F.array_intersect("x", "y")).alias("common"), (F.size("x") + F.size("y")).alias("total")
+    )
+    return sizes.where(f"100 * common >= {percent} * (total - common)").select("a", "b")
+
+
 def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 75) -> DataFrame:
     """Components of documents (doc_id, text) with a similarity of ``percent`` or more.
 
@@ -189,57 +252,43 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 75) -> DataF
             break
         seed += 1
     regions = _cells(sets, percent)
-    members = _members(docs, sets, regions.select("node").distinct(), width, seed)
-    radius = (100 - percent) / 100
-    sizes = members.select("node", F.size("s").alias("n"))
-    regions = regions.join(sizes, "node")
-    # label: the component of a node so far; d: distance to the region's first pivot.
-    regions = saved(regions.select("cell", "node", "rank", "n", F.lit(None).cast("double").alias("d")), "near-regions")
-    labels = links = None
+    table = f"near_members_{uuid.uuid4().hex}"
+    members = _members(docs, sets, regions.select("node").distinct(), width, seed, table)
+    regions = saved(regions.join(members.select("node", "n"), "node"), "near-regions")
+    links = labels = None
+    compared: list[DataFrame] = []
     low, high = 1, 1
-    compared = None
     while True:
-        current = regions.withColumn("label", F.col("node"))
-        if labels is not None:
-            current = regions.join(labels.select(F.col("u").alias("node"), "v"), "node", "left")
-            current = current.withColumn("label", F.coalesce("v", "node")).drop("v")
-        # Regions of one component are done.
+        # Cells of one component are done, and those whose pivots are used up.
+        current = _labelled(regions, labels, "node", "label")
         open_ = current.groupBy("cell").agg(F.min("label").alias("a"), F.max("label").alias("b"), F.max("rank").alias("m"))
         open_ = open_.where("a <> b").where(F.col("m") >= low).select("cell")
         current = saved(current.join(open_, "cell", "left_semi"), "near-open")
         if current.isEmpty():
             break
-        pivots = current.where(F.col("rank").between(low, high)).select(
-            "cell", F.col("node").alias("p"), F.col("n").alias("p_n"), F.col("label").alias("p_label"), F.col("d").alias("p_d")
-        )
-        pairs = current.join(pivots, "cell").where("label <> p_label AND node <> p")
+        pivots = current.where(F.col("rank").between(low, high)).selectExpr("cell", "node AS p", "n AS p_n", "label AS p_label")
+        pairs = current.join(pivots, "cell").where("label <> p_label")
         pairs = pairs.where(f"100 * least(n, p_n) >= {percent} * greatest(n, p_n)")
-        if low > 1:
-            pairs = pairs.where(f"d IS NULL OR p_d IS NULL OR abs(d - p_d) <= {radius} + 1e-9")
-        pairs = pairs.select(F.least("node", "p").alias("a"), F.greatest("node", "p").alias("b")).distinct()
-        if compared is not None:
-            pairs = pairs.join(compared.select("a", "b"), ["a", "b"], "left_anti")
-        left = members.select(F.col("node").alias("a"), F.col("s").alias("x"))
-        right = members.select(F.col("node").alias("b"), F.col("s").alias("y"))
-        both = F.size(F.array_intersect("x", "y"))
-        common = pairs.join(left, "a").join(right, "b").select("a", "b", both.alias("common"), (F.size("x") + F.size("y")).alias("total"))
-        common = saved(common.withColumn("d", 1 - F.col("common") / (F.col("total") - F.col("common"))), "near-compared")
-        linked = common.where(f"100 * common >= {percent} * (total - common)").select("a", "b")
-        compared = common if compared is None else compared.unionByName(common)
-        links = linked if links is None else links.unionByName(linked)
-        if not linked.isEmpty():
-            edges = linked.select(F.col("a").alias("u"), F.col("b").alias("v"))
-            if labels is not None:
-                edges = edges.unionByName(labels)
-            labels = components(edges)
-        if low == 1:
-            # Distances to the first pivot bound those between members from now on.
-            first = regions.where("rank = 1").select("cell", F.col("node").alias("p"))
-            placed = regions.drop("d").join(first, "cell").withColumns({"a": F.least("node", "p"), "b": F.greatest("node", "p")})
-            placed = placed.join(common.select("a", "b", "d"), ["a", "b"], "left")
-            placed = placed.withColumn("d", F.when(F.col("node") == F.col("p"), 0.0).otherwise(F.col("d")))
-            regions = saved(placed.select("cell", "node", "rank", "n", "d"), "near-regions")
+        pairs = pairs.selectExpr("least(node, p) AS a", "greatest(node, p) AS b").distinct()
+        for earlier in compared:
+            pairs = pairs.join(earlier, ["a", "b"], "left_anti")
+        alive = saved(_sketched(pairs, members, percent), "near-alive")
+        compared.append(alive.select("a", "b"))
+        nearest = F.row_number().over(Window.partitionBy("b").orderBy("x", "a"))
+        alive = saved(alive.where("near").withColumn("turn", F.when(nearest == 1, 1).otherwise(2)), "near-turns")
+        for turn in (1, 2):
+            asked = alive.where(F.col("turn") == turn)
+            if turn > 1:
+                asked = _labelled(_labelled(asked, labels, "a", "a_label"), labels, "b", "b_label")
+                asked = asked.where("a_label <> b_label")
+            found = saved(_intersected(asked.select("a", "b"), members, percent), "near-links")
+            if not found.isEmpty():
+                links = found if links is None else links.unionByName(found)
+                edges = found.selectExpr("a AS u", "b AS v")
+                labels = components(edges if labels is None else edges.unionByName(labels))
         low, high = high + 1, high * 4
+    spark = docs.sparkSession
+    spark.sql(f"DROP TABLE {table}")
     rooted = sets.drop("cells", "full")
     if labels is not None:
         degree = links.select(F.explode(F.array("a", "b")).alias("node")).groupBy("node").agg(F.count("*").alias("n_links"))
