@@ -15,38 +15,36 @@ from tollgate.plans import avro
 from tollgate.plans.revisions import Revision
 
 
-def _violation(fields: list[avro.AvroField]) -> str:
-    """SQL text of the first rule a document in ``_cells`` breaks, or NULL.
+def _violation(f: avro.AvroField) -> str:
+    """SQL text of the rule that a document in ``_cells`` breaks at a field, or NULL.
 
     A required field must be present and not null; a present value must have the field's base
     type, whatever its logical type says; unknown fields are accepted.
     """
-    checks = []
-    for f in fields:
-        value = jsonx.cell(f.name)
-        if not f.nullable:
-            checks.append((jsonx.is_null(value), f"MISSING_FIELD:{f.name}"))
-        checks.append((f.nonconforming(value), f"TYPE_MISMATCH:{f.name}"))
-    return routing.first_failure(*checks)
+    value = jsonx.cell(f.name)
+    checks = [] if f.nullable else [(jsonx.is_null(value), f"MISSING_FIELD:{f.name}")]
+    return routing.first_failure(*checks, (f.nonconforming(value), f"TYPE_MISMATCH:{f.name}"))
 
 
 def check(messages: DataFrame, revisions: Sequence[Revision]) -> DataFrame:
     """Add ``revision_id`` and ``reject_reason`` to messages; exactly one of them is set.
 
     Revisions are tried from the newest to the oldest and the first match is stamped. The
-    reason of a rejected message is the one the newest revision gives.
+    reason of a rejected message is the one the newest revision gives. A field is checked once for
+    all revisions that declare it alike, so a further revision costs what it changes.
     """
     newest_first = sorted(revisions, key=lambda r: r.ordinal, reverse=True)
     fields = {f.name: f for r in newest_first for f in avro.fields_of(r.definition)}
     df = messages.select(*MESSAGE.fieldNames(), jsonx.decode_utf8(F.col("data")).alias("_text"))
     df = jsonx.with_cells(df, list(fields))
     unreadable = F.expr(routing.first_failure(*routing.UNREADABLE))
-    reasons = []
-    for number, revision in enumerate(newest_first):
-        runs = jsonx.chunks(avro.fields_of(revision.definition))
-        for part, run in enumerate(runs):
-            df = jsonx.once(df, **{f"_reason{number}_{part}": _violation(run)})
-        reasons.append(F.coalesce(unreadable, *[F.col(f"_reason{number}_{part}") for part in range(len(runs))]))
+    of_revision = [avro.fields_of(r.definition) for r in newest_first]
+    declared = [[(f.name, f.base, f.nullable) for f in own] for own in of_revision]
+    shared = {key: f for keys, own in zip(declared, of_revision) for key, f in zip(keys, own)}
+    columns = {key: f"_broken{number}" for number, key in enumerate(shared)}
+    for run in jsonx.chunks(list(shared)):
+        df = jsonx.once(df, **{columns[key]: _violation(shared[key]) for key in run})
+    reasons = [F.coalesce(unreadable, *[F.col(columns[key]) for key in keys]) for keys in declared]
     stamps = [F.when(why.isNull(), F.lit(r.revision_id)) for r, why in zip(newest_first, reasons)]
     revision_id = F.coalesce(*stamps)
     return df.select(
