@@ -33,16 +33,29 @@ def scratch(spark: SparkSession, name: str) -> str:
     return f"{shared_root(spark)}/{name}-{uuid.uuid4().hex}"
 
 
-def saved(df: DataFrame, name: str) -> DataFrame:
+_temporary: dict[str, list[str]] = {}
+
+
+def saved(df: DataFrame, name: str, keep: bool = False) -> DataFrame:
     """Write a table to the shared folder and read it back: its lineage ends there.
 
-    Parquet rather than ``checkpoint()``, so that later steps read only the columns they use.
+    Parquet rather than ``checkpoint()``, so that later steps read only the columns they use. ``discard``
+    removes it, unless it is to ``keep``.
     """
     path = scratch(df.sparkSession, name)
     df.write.parquet(path)
+    if not keep:
+        _temporary.setdefault(df.sparkSession.sparkContext.applicationId, []).append(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def discard(spark: SparkSession) -> None:
+    """Remove this session's intermediate tables. What was derived from them must have been written."""
+    for path in _temporary.pop(spark.sparkContext.applicationId, []):
+        place = spark._jvm.org.apache.hadoop.fs.Path(path)
+        place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+
+
 def words(text: Column) -> Column:
     """The words of a text in order; none for NULL."""
     return F.array_remove(F.split(F.coalesce(text, F.lit("")), GAP), "")
