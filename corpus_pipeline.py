@@ -1,7 +1,8 @@
 """Documents to packed training sequences: five stages, each on all that the one before it kept.
 
 A stage takes (spark, docs, sf_dir) and returns a DataFrame; all but the last return the columns of documents.
-``run`` writes each stage's result to the shared folder and reads it again as the next stage's documents.
+``run`` writes each stage's result to the shared folder and reads it again as the next stage's documents. So a
+stage begins by removing the intermediate tables of those before it.
 """
 
 from __future__ import annotations
@@ -11,24 +12,30 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tollgate.llm import jaccard_join, line_dedup, mixing, packing, weak_quality
-from tollgate.llm.common import documents, saved, ship
+from tollgate.llm.common import discard, documents, saved, ship
+
+
+def _begin(spark: SparkSession) -> None:
+    ship(spark)
+    discard(spark)
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drop documents that the quality model or its base rule rejects."""
+    _begin(spark)
     return weak_quality.score(docs).where("kept").select(*docs.columns)
 
 
 def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drop lines that occur before; a document stays, with the lines that are left."""
-    ship(spark)
+    _begin(spark)
     left = line_dedup.dedup_lines(docs)
     return left.withColumn("n_chars", F.length("text").cast("long")).select(*docs.columns)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keep of each group of near-duplicates the document with the least id, with all rows of that id."""
-    ship(spark)
+    _begin(spark)
     found = jaccard_join.near_duplicates(docs)
     kept = found.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select("doc_id").distinct()
     return docs.join(kept, docs["doc_id"].eqNullSafe(kept["doc_id"]), "left_semi")
@@ -39,6 +46,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
     Rows of one doc_id count as one document. Documents without words are in no mix.
     """
+    _begin(spark)
     known, mixed = mixing.mix(docs)
     of = mixing.taken(known, mixed).groupBy("doc_id").agg(F.sum("taken").alias("taken"), F.sum("size").alias("size"))
     copies = F.floor(F.col("taken") / F.col("size") + 0.5).cast("int")
@@ -50,7 +58,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pack the mix into sequences of 4096 tokens; a row per piece of a document."""
-    ship(spark)
+    _begin(spark)
     return packing.pack(docs, public_tokenizers.path("word_bpe_49k.json"), 2)
 
 
@@ -69,5 +77,5 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir)
     for name, stage in STAGES[:-1]:
-        docs = saved(stage(spark, docs, sf_dir), f"stage-{name}")
+        docs = saved(stage(spark, docs, sf_dir), f"stage-{name}", keep=True)
     return STAGES[-1][1](spark, docs, sf_dir)
