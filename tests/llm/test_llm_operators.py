@@ -348,6 +348,18 @@ def test_contexts_discover_unseen_identifiers(spark):
     assert found[at + 1] == "" and found[texts.index("buy 12 apples now")] == "" and found[texts.index("call line 555 now")] == ""
 
 
+def test_contexts_discover_identifiers_of_other_shapes(spark):
+    texts = [f"call line +1 ({i:03d}) 555-77{i:02d} now" for i in range(12)]
+    texts += ["call line 555-010-0203 now", "call line (017) 555-7713 now", "call line 555 now", "take (018) 555-7714 there"]
+    cards = [f"4539 1488 0343 {n}" for n in range(6000, 7000) if luhn(f"453914880343{n}")][:12]
+    texts += [f"pay with {card} today" for card in cards] + ["pay with 4539 1488 0343 6468 today"]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = {r.doc_id: r.spans for r in contextual_pii.digest(contextual_pii.find_personal_data(df)).collect()}
+    assert [found[i] for i in range(12, 16)] == ["phone:10:22", "phone:10:24", "", ""]
+    assert all(found[i] == "phone:10:27" for i in range(12))
+    assert found[len(texts) - 1] == "card:9:28"
+
+
 def test_personal_data_of_odd_rows(docs, rows, none):
     found = contextual_pii.digest(contextual_pii.find_personal_data(docs)).collect()
     assert len(found) == len(rows)
