@@ -8,6 +8,7 @@ stage begins by removing the intermediate tables of those before it.
 from __future__ import annotations
 
 import public_tokenizers
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -44,22 +45,45 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Repeat or drop documents: one row for each time that the mix takes at least half of a document.
 
-    Rows of one doc_id count as one document. Documents without words are in no mix.
+    Rows are in the order of the mix: a copy lies where the mix has its first piece of that epoch. Rows of one
+    doc_id count as one document. Documents without words are in no mix.
     """
     _begin(spark)
     known, mixed = mixing.mix(docs)
-    of = mixing.taken(known, mixed).groupBy("doc_id").agg(F.sum("taken").alias("taken"), F.sum("size").alias("size"))
+    place = F.min(F.struct("slot", "start")).alias("place")
+    passes = saved(mixed.groupBy("doc_id", "epoch").agg(place, F.sum("words").alias("words")), "mix-passes")
+    # As many passes as copies have pieces, the earliest epochs.
+    listed = F.array_sort(F.collect_list(F.struct("epoch", "place")))
+    taken = passes.groupBy("doc_id").agg(F.sum("words").alias("taken"), listed.alias("passes"))
+    sizes = known.groupBy(F.col("doc_id").alias("_doc")).agg(F.sum("size").alias("size"))
     copies = F.floor(F.col("taken") / F.col("size") + 0.5).cast("int")
-    of = of.where("taken > 0").select(F.col("doc_id").alias("_doc"), copies.alias("_copies")).where("_copies > 0")
+    of = taken.join(sizes, taken["doc_id"].eqNullSafe(sizes["_doc"])).withColumn("_copies", copies).where("_copies > 0")
+    of = saved(of.select("_doc", F.expr("slice(passes, 1, _copies).place").alias("_places")), "mix-copies")
     joined = docs.join(of, docs["doc_id"].eqNullSafe(of["_doc"]))
-    repeated = joined.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies"))))
-    return repeated.select(*[docs[f"`{name}`"] for name in docs.columns])
+    repeated = joined.withColumn("_place", F.explode("_places"))
+    # Rows of one doc_id share their place.
+    order = ["_place.slot", "_place.start", "doc_id"]
+    return repeated.repartitionByRange(*order).sortWithinPartitions(*order).select(*[docs[f"`{name}`"] for name in docs.columns])
+
+
+def _in_written_order(docs: DataFrame) -> DataFrame:
+    """Rows of written files in the order in which they were written; Spark reads large files first.
+
+    Rows that are in no files keep the order of their partitions.
+    """
+    part = F.regexp_extract("_metadata.file_name", r"part-([0-9]+)", 1).try_cast("long").alias("_part")
+    try:
+        placed = docs.select(*[F.col(f"`{name}`") for name in docs.columns], part, F.col("_metadata.file_name").alias("_file"), F.col("_metadata.row_index").alias("_row"))
+    except AnalysisException:
+        return docs
+    order = ["_part", "_file", "_row"]
+    return placed.repartitionByRange(*order).sortWithinPartitions(*order).drop(*order)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pack the mix into sequences of 4096 tokens; a row per piece of a document."""
+    """Pack the mix, in its order, into sequences of 4096 tokens; a row per piece of a document."""
     _begin(spark)
-    return packing.pack(docs, public_tokenizers.path("word_bpe_49k.json"), 2)
+    return packing.pack(_in_written_order(docs), public_tokenizers.path("word_bpe_49k.json"), 2)
 
 
 STAGES = [

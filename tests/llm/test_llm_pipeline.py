@@ -1,6 +1,10 @@
 """The pipeline's stages on the smallest tables."""
 
+import collections
+import random
+
 import corpus_pipeline
+from tollgate.llm import mixing
 from tollgate.llm.queries import ORACLES, QUERIES
 
 
@@ -29,6 +33,32 @@ def test_stages_of_nothing_and_of_null_texts(spark):
             assert stage(spark, table, "").count() >= 0
 
 
+def test_copies_lie_where_the_mix_has_them(spark, tmp_path):
+    rng = random.Random(5)
+    rows = [(i, " ".join(f"w{rng.randrange(900)}" for _ in range(rng.randint(5, 120))), "en", "abc"[i % 7 // 3], 0) for i in range(300)]
+    docs = spark.createDataFrame(rows, spark.read.parquet("/root/testdata/sf0.001/documents.parquet").schema)
+    _, mixed = mixing.mix(docs)
+    passes, taken, size = {}, collections.Counter(), {r[0]: len(r[1].split()) for r in rows}
+    for r in mixed.collect():
+        at = passes.setdefault((r.doc_id, r.epoch), (r.slot, r.start))
+        passes[r.doc_id, r.epoch] = min(at, (r.slot, r.start))
+        taken[r.doc_id] += r.words
+    want = sorted((place, doc) for (doc, epoch), place in passes.items() if epoch < int(taken[doc] / size[doc] + 0.5))
+    want = [doc for _, doc in want]
+    assert max(collections.Counter(want).values()) == 2
+    stage = corpus_pipeline.mix_sources(spark, docs, "")
+    assert [r.doc_id for r in stage.collect()] == want
+    stage.write.parquet(f"{tmp_path}/mix")
+    packed = corpus_pipeline.pack(spark, spark.read.parquet(f"{tmp_path}/mix"), "").collect()
+    source = {r[0]: r[3] for r in rows}
+    for name in "abc":
+        own = sorted((r.sequence_id, r.offset, r.start, r.doc_id) for r in packed if source[r.doc_id] == name)
+        begun = []
+        for _, _, _, doc in own:
+            begun += [doc] if not begun or begun[-1] != doc else []
+        assert begun == [doc for doc in want if source[doc] == name]
+
+
 def test_registry():
     assert {name.split("_")[0] for name in QUERIES} == {f"op{n}" for n in range(1, 11)}
     assert set(ORACLES) <= set(QUERIES) and corpus_pipeline.ORACLE_SQL is None
