@@ -60,5 +60,5 @@ def test_copies_lie_where_the_mix_has_them(spark, tmp_path):
 
 
 def test_registry():
-    assert {name.split("_")[0] for name in QUERIES} == {f"op{n}" for n in range(1, 11)}
+    assert {name.split("_")[0] for name in QUERIES} == {f"op{n}" for n in range(1, 14)}
     assert set(ORACLES) <= set(QUERIES) and corpus_pipeline.ORACLE_SQL is None

@@ -7,6 +7,7 @@ import os
 import tempfile
 import uuid
 import zipfile
+from collections.abc import Iterator
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -66,6 +67,18 @@ def n_words(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
 
 
+def pieces(data: bytes, size: int = 1 << 20) -> Iterator[bytes]:
+    """Cut text whose words are parted by spaces into pieces of about ``size`` bytes, at spaces only."""
+    begin = 0
+    while len(data) - begin > size:
+        end = data.find(b" ", begin + size)
+        if end < 0:
+            break
+        yield data[begin:end]
+        begin = end + 1
+    yield data[begin:]
+
+
 _shipped: set[str] = set()
 
 

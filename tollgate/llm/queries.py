@@ -8,7 +8,21 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tollgate.llm import contextual_pii, jaccard_join, license_scan, line_dedup, mixing, packing, token_files, topk_products, toxicity, weak_quality
+from tollgate.llm import (
+    contextual_pii,
+    importance_resampling,
+    jaccard_join,
+    license_scan,
+    line_dedup,
+    minhash_dedup,
+    mixing,
+    packing,
+    source_divergence,
+    token_files,
+    topk_products,
+    toxicity,
+    weak_quality,
+)
 from tollgate.llm.common import documents, scratch, ship
 
 
@@ -146,6 +160,104 @@ def op10_weak_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return source_divergence.audit(documents(spark, sf_dir))
+
+
+OP11_SQL = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS row, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+    regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+      '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS terms
+  FROM documents
+), o AS (
+  SELECT row, lang, source, unnest(terms) AS term FROM d
+), k AS (
+  SELECT lang, term, count(*)::BIGINT AS n FROM o GROUP BY lang, term HAVING count(DISTINCT row) >= 10
+), c AS (
+  SELECT o.lang, o.source, o.term, count(*)::BIGINT AS n FROM o SEMI JOIN k ON o.lang = k.lang AND o.term = k.term GROUP BY ALL
+), g AS (
+  SELECT DISTINCT lang, source FROM d
+), s AS (
+  SELECT g.lang, g.source, coalesce(sum(c.n), 0)::HUGEINT AS total,
+    coalesce(any_value(l.v), 0)::HUGEINT AS v, coalesce(any_value(l.total), 0)::HUGEINT AS lang_total
+  FROM g LEFT JOIN c ON g.lang = c.lang AND g.source = c.source
+    LEFT JOIN (SELECT lang, count(*) AS v, sum(n) AS total FROM k GROUP BY lang) l ON l.lang = g.lang
+  GROUP BY g.lang, g.source
+), p AS (
+  SELECT s.lang, s.source, k.term, coalesce(c.n, 0) AS n,
+    1 + (1000000000::HUGEINT * (coalesce(c.n, 0) + 2)) // (s.total + 2 * s.v) AS p,
+    1 + (1000000000::HUGEINT * (k.n + 2)) // (s.lang_total + 2 * s.v) AS q
+  FROM s JOIN k ON s.lang = k.lang LEFT JOIN c ON c.lang = s.lang AND c.source = s.source AND c.term = k.term
+), pairs AS (
+  SELECT a.lang, a.source, b.source AS item, coalesce(x.value, 0)::BIGINT AS value
+  FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source LEFT JOIN (
+    SELECT a.lang, a.source, b.source AS item, sum(((a.p - b.p) * (a.p - b.p)) // (a.p + b.p)) AS value
+    FROM p a JOIN p b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL
+  ) x ON x.lang = a.lang AND x.source = a.source AND x.item = b.source
+), best AS (
+  SELECT lang, source, term AS item, (((p - q) * (p - q)) // (p + q))::BIGINT AS value FROM p WHERE n > 0 AND p > q
+), r AS (
+  SELECT lang, source, 'pair' AS part, item, value FROM pairs UNION ALL SELECT lang, source, 'term', item, value FROM best
+)
+SELECT lang, source, part, item, value,
+  (row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, encode(item)))::INTEGER AS rank
+FROM r QUALIFY part = 'pair' OR rank <= 10
+"""
+
+
+def op12_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    target = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+    drawn = importance_resampling.resample(documents(spark, sf_dir), target)
+    return drawn.select("doc_id", "n_features", "weight", "score", "rank")
+
+
+#: The CRC of each different word comes from a table, byte by byte.
+OP12_SQL = r"""
+WITH tab AS (
+  SELECT list(c ORDER BY i) AS t FROM (SELECT i, list_reduce(range(8),
+    lambda c, step: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384::BIGINT) ELSE c >> 1 END, i::BIGINT) AS c FROM range(256) r(i))
+), w AS (
+  SELECT doc_id, 'd' AS kind, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words FROM documents
+  UNION ALL
+  SELECT NULL, 'b', regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') FROM benchmark
+), o AS (
+  SELECT row, doc_id, kind, unnest(words) AS word FROM (SELECT row_number() OVER () AS row, * FROM w)
+), hexed AS (
+  SELECT word, hex(encode(word)) AS h FROM (SELECT DISTINCT word FROM o)
+), v AS (
+  SELECT word, xor(list_reduce(list_transform(range(length(h) // 2), lambda i: ('0x' || substr(h, 2 * i + 1, 2))::BIGINT),
+    lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1]), 4294967295::BIGINT), 4294967295::BIGINT) % 10000 AS bucket
+  FROM hexed, tab
+), n AS (
+  SELECT bucket, count(*) FILTER (kind = 'd') AS s, count(*) FILTER (kind = 'b') AS t FROM o JOIN v USING (word) GROUP BY bucket
+), gain AS (
+  SELECT bucket, floor(1000 * ln(((t + 1) * (sum(s) OVER () + 10000))::DOUBLE / ((s + 1) * (sum(t) OVER () + 10000))::DOUBLE))::BIGINT AS g
+  FROM n
+), f AS (
+  SELECT row, count(*) AS n_features, floor(sum(g)::DOUBLE / count(*))::BIGINT AS weight
+  FROM o JOIN v USING (word) JOIN gain USING (bucket) WHERE kind = 'd' GROUP BY row
+), x AS (
+  SELECT doc_id, coalesce(n_features, 0)::BIGINT AS n_features, coalesce(weight, 0)::BIGINT AS weight,
+    ('0x' || substr(sha256('2024:' || coalesce(doc_id::VARCHAR, '')), 1, 8))::BIGINT AS h
+  FROM (SELECT row_number() OVER () AS row, * FROM w) LEFT JOIN f USING (row) WHERE kind = 'd'
+), y AS (
+  SELECT doc_id, n_features, weight, weight + floor(-1000 * ln(-ln((h + 0.5) / 4294967296)))::BIGINT AS score FROM x
+), z AS (
+  SELECT *, row_number() OVER (PARTITION BY n_features >= 20 ORDER BY score DESC, doc_id) AS place,
+    count(*) FILTER (n_features >= 20) OVER () AS eligible FROM y
+)
+SELECT doc_id, n_features, weight, score, CASE WHEN n_features >= 20 AND place <= 10 * eligible // 100 THEN place END AS rank FROM z
+"""
+
+
+def op13_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = minhash_dedup.near_duplicates(documents(spark, sf_dir))
+    return found.withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_source_mixing": op1_source_mixing,
     "op2_toxicity": op2_toxicity,
@@ -157,10 +269,15 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_top_products": op8_top_products,
     "op9_license_scan": op9_license_scan,
     "op10_weak_quality": op10_weak_quality,
+    "op11_source_divergence": op11_source_divergence,
+    "op12_importance_resampling": op12_importance_resampling,
+    "op13_minhash_dedup": op13_minhash_dedup,
 }
 
 ORACLES: dict[str, str] = {
     "op1_source_mixing": OP1_SQL,
     "op7_line_dedup": OP7_SQL,
     "op8_top_products": OP8_SQL,
+    "op11_source_divergence": OP11_SQL,
+    "op12_importance_resampling": OP12_SQL,
 }
