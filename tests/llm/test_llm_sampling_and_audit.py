@@ -265,3 +265,29 @@ def test_pairs_at_the_threshold(spark):
 
 def test_near_duplicates_of_nothing(docs):
     assert minhash_dedup.near_duplicates(docs.limit(0)).collect() == []
+
+
+def test_blocks_compare_sketches_of_any_length():
+    rng = np.random.default_rng(3)
+    made = [minhash_dedup.sketch(rng.integers(0, 2**63, n, dtype=np.uint64)).tobytes() for n in (1, 2, 9, 10, 40, 700, 5000)]
+    want = [[minhash_dedup.differing(a, b) for b in made] for a in made]
+    assert minhash_dedup.differences(made, made).tolist() == want
+    assert minhash_dedup.differences(made[:2], made[:3]).tolist() == [row[:3] for row in want[:2]]
+
+
+def test_hot_cells_are_cut_into_blocks(spark, monkeypatch):
+    """A large group under the threshold, a chain and copies, with blocks of a few rows."""
+    monkeypatch.setattr(minhash_dedup, "_PIVOTS", 3)
+    monkeypatch.setattr(minhash_dedup, "_MEMBERS", 5)
+    rng = random.Random(9)
+    base = [f"w{i}" for i in range(200)]
+    rows = []
+    for i in range(60):
+        text = list(base)
+        for at in rng.sample(range(0, 200, 4), 6 if i % 3 else 2):
+            text[at] = f"x{i}y{at}"
+        rows.append((i, " ".join(text), "en", "a", 0))
+    got = [tuple(r) for r in minhash_dedup.near_duplicates(spark.createDataFrame(rows, SCHEMA).repartition(4)).collect()]
+    want = plain_components(rows, 4, 80)
+    assert sorted(got) == sorted(want)
+    assert 2 < len({r[2] for r in want}) < 60

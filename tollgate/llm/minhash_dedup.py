@@ -9,11 +9,12 @@ the share of coordinates that agree is as concentrated about the Jaccard similar
 ``bands`` bands of ``rows`` coordinates are the cells. With 40 bands of 5, two sets at the threshold of 0.8 share no
 cell in one of ten million pairs; that is the only loss, and higher similarities have less.
 
-Each cell's members are compared with pivots of the cell, in windows of growing length (the first, the next 3, the
-next 12 and so on), and links join components between the windows. A member that is in a pivot's component already is
-not compared with it, nor is a pair compared twice, and a cell is done when it holds one component. So a group of
-copies costs one comparison a member. Pairs that cannot reach the threshold by size, or by the parity sketches of
-their sets, which bound the symmetric difference from below, drop out; all others are confirmed on the full sets.
+In each cell some members are pivots, 1 at first and four times as many in each further round. A pivot is compared
+with all members of the cell that are not in its component and then leaves the cell; links join components between
+the rounds. Pivots are taken outside the cell's largest component, and a cell is done when its members are of one
+component. So a group of copies costs one comparison a member, and a few strangers among them one each. Comparisons
+are made in blocks of pivots and members, by size and by the parity sketches of the sets, which bound the symmetric
+difference from below; only pairs that pass leave a block, and these are confirmed on the full sets.
 
 Equal sets are one node from the start. Node ids are 64-bit hashes that are checked against 128-bit ones; on a clash
 the join starts anew with another seed. The full sets of nodes that share a cell are computed again from the texts,
@@ -32,7 +33,6 @@ from collections.abc import Iterator
 from functools import reduce
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -45,8 +45,10 @@ from tollgate.llm.jaccard_join import components, differing, shingles, sketch
 _BITS = 1 << 23
 #: Distinct sets that a task remembers, so as not to emit their cells again.
 _SEEN = 200_000
-#: Parts of a hot key: a cell's members when they are numbered, a node's documents when they get their component.
-_PARTS, _SALTS = 64, 8
+#: Pivots and members (about) that a block compares.
+_PIVOTS, _MEMBERS = 256, 1024
+#: Parts of a node's documents when they get their component.
+_SALTS = 8
 
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 _VALUE = np.uint64((1 << 48) - 1)
@@ -134,22 +136,14 @@ def _sketched(docs: DataFrame, width: int, bands: int, rows: int, seed: int) ->
 
 
 def _regions(sets: DataFrame) -> DataFrame:
-    """Cells with several nodes, once for each set of members: cell, node, rank (from 1, in order of the node)."""
+    """Cells with several nodes, once for each set of members: cell, node."""
     entered = sets.where("cells IS NOT NULL").select(F.explode("cells").alias("cell"), "node")
     # Copies that several tasks have seen enter a cell more than once: least and greatest tell if it has another node.
     alike = entered.groupBy("cell").agg(F.min("node").alias("a"), F.max("node").alias("b")).where("a <> b").select("cell")
     several = saved(entered.join(alike, "cell").distinct(), "minhash-shared")
     same = several.groupBy("cell").agg(F.count("*").alias("m"), F.bit_xor("node").alias("x"), F.bit_xor(F.xxhash64("node")).alias("y"))
     chosen = same.groupBy("m", "x", "y").agg(F.min("cell").alias("cell")).select("cell")
-    # Members are numbered in parts of the order, after the members of earlier parts, so that no task has a whole cell.
-    part = F.expr(f"pmod(shiftright(node, 32), {_PARTS})").alias("part")
-    members = several.join(chosen, "cell").select("cell", "node", part)
-    held = members.groupBy("cell", "part").agg(F.count("*").alias("held"))
-    earlier = Window.partitionBy("cell").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
-    before = held.select("cell", "part", F.coalesce(F.sum("held").over(earlier), F.lit(0)).alias("before"))
-    within = F.row_number().over(Window.partitionBy("cell", "part").orderBy("node"))
-    numbered = members.withColumn("within", within).join(before, ["cell", "part"])
-    return numbered.select("cell", "node", (F.col("before") + F.col("within")).alias("rank"))
+    return several.join(chosen, "cell")
 
 
 def _members(docs: DataFrame, sets: DataFrame, nodes: DataFrame, width: int, seed: int) -> DataFrame:
@@ -185,18 +179,96 @@ def _labelled(df: DataFrame, labels: DataFrame | None, node: str, name: str) ->
     return df.join(of, node, "left").withColumn(name, F.coalesce("_v", node)).drop("_v")
 
 
-def _possible(pairs: DataFrame, sketches: DataFrame, percent: int) -> DataFrame:
-    """Pairs (a, b) whose parity sketches differ in no more places than linked sets can."""
+def _stacked(sketches: list[bytes]) -> dict[int, tuple[np.ndarray, np.ndarray]]:
+    """Sketches by their length: their numbers and a row each."""
+    length = np.fromiter(map(len, sketches), np.int64, len(sketches))
+    found = {}
+    for size in np.unique(length).tolist():
+        numbers = np.flatnonzero(length == size)
+        found[size] = numbers, np.frombuffer(b"".join([sketches[i] for i in numbers]), np.uint64).reshape(len(numbers), -1)
+    return found
+
+
+def _folded(rows: np.ndarray, width: int) -> np.ndarray:
+    while rows.shape[1] > width:  # a sketch of half the places is the sum of its halves
+        half = rows.shape[1] // 2
+        rows = rows[:, :half] ^ rows[:, half:]
+    return rows
+
+
+def differences(pivots: list[bytes], members: list[bytes]) -> np.ndarray:
+    """Places in which the sketches of pivots (rows) and members (columns) differ."""
+    out = np.zeros((len(pivots), len(members)), np.int64)
+    if out.size <= 8:
+        for i, a in enumerate(pivots):
+            out[i] = [differing(a, b) for b in members]
+        return out
+    groups = _stacked(members).values()
+    for numbers, rows in _stacked(pivots).values():
+        for others, columns in groups:
+            width = min(rows.shape[1], columns.shape[1])
+            a, b = _folded(rows, width), _folded(columns, width)
+            for number, row in zip(numbers, a):
+                out[number, others] = np.bitwise_count(b ^ row).sum(axis=1)
+    return out
+
 
-    @F.pandas_udf("long")
-    def differ(a: pd.Series, b: pd.Series) -> pd.Series:
-        return pd.Series([differing(x, y) for x, y in zip(a, b)], dtype="int64")
+def _compared(blocks: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b) of each block's pivots and members that can be linked.
 
-    left = sketches.selectExpr("node AS a", "n AS a_n", "k AS a_k")
-    right = sketches.selectExpr("node AS b", "n AS b_n", "k AS b_k")
-    joined = pairs.join(left, "a").join(right, "b").withColumn("x", differ("a_k", "b_k"))
-    # Linked sets differ in at most (1 - t) / (1 + t) of both sizes.
-    return joined.where(f"x * (100 + {percent}) <= (a_n + b_n) * (100 - {percent})").select("a", "b")
+    ``blocks`` has cell, block and chunk, which name a block, kind (0 for pivots, 1 for members), turn (place among
+    the cell's pivots of this round, 0 for others), node, label, n and k.
+    """
+    name = ["cell", "block", "chunk"]
+
+    def within(rows: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
+        kind, turn, node, label, n = (rows.column(i).to_numpy(zero_copy_only=False) for i in range(3, 8))
+        k, p = rows.column(8).to_pylist(), int((kind == 0).sum())
+        possible = label[:p, None] != label[p:]
+        # Of two pivots the earlier one does it.
+        possible &= (turn[p:] == 0) | (turn[p:] > turn[:p, None])
+        possible &= 100 * np.minimum(n[:p, None], n[p:]) >= percent * np.maximum(n[:p, None], n[p:])
+        if not possible.any():
+            return node[:0], node[:0]
+        x = differences(k[:p], k[p:])
+        # Linked sets differ in at most (1 - t) / (1 + t) of both sizes.
+        i, j = np.nonzero(possible & (x * (100 + percent) <= (n[:p, None] + n[p:]) * (100 - percent)))
+        return node[:p][i], node[p:][j]
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []  # rows of the last block, which may go on
+
+        def done(rows: pa.RecordBatch, ends: list[int]) -> pa.RecordBatch:
+            found = [within(rows.slice(begin, end - begin)) for begin, end in zip([0, *ends], ends)]
+            a, b = (np.concatenate(side) for side in zip(*found))
+            return pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], ["a", "b"])
+
+        for batch in batches:
+            rows = pa.concat_batches([*held, batch])
+            keys = [rows.column(i).to_numpy(zero_copy_only=False) for i in range(3)]
+            new = reduce(np.logical_or, [key[1:] != key[:-1] for key in keys])
+            ends = (np.flatnonzero(new) + 1).tolist()
+            if ends:
+                yield done(rows, ends)
+            held = [rows.slice(ends[-1] if ends else 0)]
+        if held and held[0].num_rows:
+            yield done(held[0], [held[0].num_rows])
+
+    ordered = blocks.repartition(*name).sortWithinPartitions(*name, "kind")
+    return ordered.select(*name, "kind", "turn", "node", "label", "n", "k").mapInArrow(compare, "a long, b long").distinct()
+
+
+def _blocks(current: DataFrame, pivots: DataFrame, sketches: DataFrame, many: int) -> DataFrame:
+    """Members of open cells, cut into chunks, and for each chunk the cell's pivots, cut into blocks."""
+    chunks = F.expr(f"size DIV {_MEMBERS} + 1")
+    blocks = F.expr(f"CAST((least({many}, size - major_n) + {_PIVOTS - 1}) DIV {_PIVOTS} AS INT)")
+    turns = pivots.select("cell", "node", "turn")
+    members = current.join(turns, ["cell", "node"], "left").withColumns({"turn": F.coalesce("turn", F.lit(0)), "kind": F.lit(1)})
+    members = members.withColumn("chunk", F.pmod(F.xxhash64("node"), chunks)).withColumn("block", F.explode(F.sequence(F.lit(0), blocks - 1)))
+    firsts = pivots.withColumns({"kind": F.lit(0), "block": F.expr(f"CAST((turn - 1) DIV {_PIVOTS} AS INT)")})
+    firsts = firsts.withColumn("chunk", F.explode(F.sequence(F.lit(0).cast("long"), chunks - 1)))
+    columns = ["cell", "block", "chunk", "kind", "turn", "node", "label"]
+    return members.select(*columns).unionByName(firsts.select(*columns)).join(sketches, "node")
 
 
 def _linked(pairs: DataFrame, members: DataFrame, percent: int) -> DataFrame:
@@ -237,27 +309,22 @@ def near_duplicates(docs: DataFrame, width: int = 4, percent: int = 80, bands: i
     members = _members(docs, sets, nodes, width, seed)
     sketches = sets.where("k IS NOT NULL").join(nodes, "node", "left_semi").groupBy("node").agg(F.first("n").alias("n"), F.first("k").alias("k"))
     sketches = saved(sketches, "minhash-sketches")
-    regions = saved(regions.join(sketches.select("node", "n"), "node"), "minhash-regions")
-    labels, compared = None, []
-    low, high = 1, 1
+    labels, many = None, 1
     while True:
-        # Cells of one component are done, and those whose pivots are used up.
         current = _labelled(regions, labels, "node", "label")
-        open_ = current.groupBy("cell").agg(F.min("label").alias("a"), F.max("label").alias("b"), F.max("rank").alias("m"))
-        current = saved(current.join(open_.where("a <> b").where(F.col("m") > low).select("cell"), "cell", "left_semi"), "minhash-open")
+        held = current.groupBy("cell", "label").agg(F.count("*").alias("m"))
+        major = F.max(F.struct("m", "label")).alias("major")
+        open_ = held.groupBy("cell").agg(F.sum("m").alias("size"), major, F.count("*").alias("parts")).where("parts > 1")
+        open_ = open_.selectExpr("cell", "size", "major.m AS major_n", "major.label AS major")
+        current = saved(current.join(open_, "cell"), "minhash-open")
         if current.isEmpty():
             return _with_components(sets, labels)
-        pivots = current.where(F.col("rank").between(low, high)).selectExpr("cell", "node AS p", "n AS p_n", "label AS p_label", "rank AS p_rank")
-        # A pivot meets the members behind it; earlier pivots have met it.
-        pairs = current.join(pivots, "cell").where("rank > p_rank AND label <> p_label")
-        pairs = pairs.where(f"100 * least(n, p_n) >= {percent} * greatest(n, p_n)")
-        pairs = pairs.selectExpr("least(node, p) AS a", "greatest(node, p) AS b").distinct()
-        if compared:
-            pairs = pairs.join(reduce(DataFrame.unionByName, compared), ["a", "b"], "left_anti")
-        pairs = saved(pairs, "minhash-pairs")
-        compared.append(pairs)
-        found = saved(_linked(saved(_possible(pairs, sketches, percent), "minhash-possible"), members, percent), "minhash-links")
+        turn = F.row_number().over(Window.partitionBy("cell").orderBy("node"))
+        pivots = saved(current.where("label <> major").withColumn("turn", turn).where(F.col("turn") <= many), "minhash-pivots")
+        possible = saved(_compared(_blocks(current, pivots, sketches, many), percent), "minhash-possible")
+        found = saved(_linked(possible, members, percent), "minhash-links")
         if not found.isEmpty():
             edges = found.selectExpr("a AS u", "b AS v")
             labels = components(edges if labels is None else edges.unionByName(labels))
-        low, high = high + 1, high * 4
+        regions = current.select("cell", "node").join(pivots.select("cell", "node"), ["cell", "node"], "left_anti")
+        many *= 4
