@@ -14,7 +14,6 @@ from pyspark.sql import functions as F
 
 from tollgate.llm import importance_resampling, minhash_dedup, source_divergence
 from tollgate.llm.common import pieces, ship
-from tollgate.llm.jaccard_join import shingles
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
 CLASHING = ["n", "m", "p", "q", "node", "cell", "rank", "score", "weight", "name", "term", "value", "item", "part", "slot", "label", "_n"]
@@ -204,7 +203,11 @@ def test_sketch_in_one_go_equals_round_by_round():
 
 
 def plain_components(rows, width, percent):
-    sets = [frozenset(shingles(r[1], width).tolist()) for r in rows]
+    def shingled(text):
+        words = re.findall(r"[^\x20\x09-\x0D]+", lowered(text))
+        return frozenset(tuple(words[i : i + width]) for i in range(max(1, len(words) - width + 1))) if words else frozenset()
+
+    sets = [shingled(r[1]) for r in rows]
     least = list(range(len(rows)))
 
     def root(i):

@@ -37,9 +37,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from xxhash import xxh3_64_intdigest
 
 from tollgate.llm.common import saved
-from tollgate.llm.jaccard_join import components, differing, shingles, sketch
+from tollgate.llm.jaccard_join import components, differing, sketch
 
 #: Bits of the map of documents whose sets are fetched.
 _BITS = 1 << 23
@@ -62,6 +63,18 @@ def _mixed(x: np.ndarray) -> np.ndarray:
         return x ^ (x >> np.uint64(31))
 
 
+def shingles(text: str | None, width: int, seed: int = 0) -> np.ndarray:
+    """Sorted distinct 64-bit hashes of a text's shingles (uint64). Words are not remembered: vocabularies are large."""
+    words = (text or "").encode("utf-8", "surrogatepass").lower().split()  # bytes: A-Z and ASCII white space only
+    h = np.fromiter(map(xxh3_64_intdigest, words), np.uint64, len(words))
+    reach = min(width, len(h))
+    out = np.full(len(h) - reach + 1 if reach else 0, 1 + seed * 1_000 + reach, np.uint64)
+    for i in range(reach):
+        with np.errstate(over="ignore"):
+            out = _mixed((out ^ h[i : i + len(out)]) * _STEP)
+    return np.unique(out)
+
+
 def similarity_sketch(s: np.ndarray, t: int) -> np.ndarray:
     """The fast similarity sketch of a set of hashes (uint64, not empty) with ``t`` coordinates."""
     out = np.full(t, _EMPTY)
