@@ -3,13 +3,17 @@
 import json
 import os
 import time
-from datetime import datetime
+from datetime import date, datetime
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from sample import ADDED, RIDE
 from tollgate.model import MESSAGE, RAW, STANDARD
+from tollgate.operators.raw import parse_raw
+from tollgate.operators.routing import table_rows
+from tollgate.operators.standard import parse_standard
 from tollgate.plans import avro, revisions, tables
 from tollgate.sources.messages import merge_streams, stream_landing
 from tollgate.streaming import jobs
@@ -17,6 +21,7 @@ from tollgate.workload.definitions import RIDE_V1, RIDE_V2, SCHEMA_NAME
 from tollgate.workload.messages import events_as_messages
 
 SF_DIR = "/root/testdata/sf0.001"
+FAR = date(2100, 1, 1)
 
 
 def land(spark, folder, payloads, start=0):
@@ -37,8 +42,8 @@ def names(tmp_path, spark):
 
     yield make
     for name in created:
-        spark.sql(f"DROP TABLE IF EXISTS {name}")
-        spark.sql(f"DROP TABLE IF EXISTS {name}_dlq")
+        tables.drop_table(spark, name)
+        tables.drop_table(spark, f"{name}_dlq")
 
 
 def finish(query):
@@ -75,8 +80,6 @@ def test_a_job_never_creates_its_table(spark, tmp_path):
 def test_a_retried_batch_replaces_itself(spark, tmp_path, names):
     table = names("rides_retry")
     jobs.create_tables(spark, table, RAW, str(tmp_path / "table"))
-    from tollgate.operators.raw import parse_raw
-
     messages = events_as_messages(spark, SF_DIR)
     write = jobs.fan_out(jobs.Target(table, "unused"))
     for batch_id in (0, 1, 1, 0):
@@ -89,20 +92,73 @@ def test_a_retried_batch_replaces_itself(spark, tmp_path, names):
 def test_rows_of_a_file_are_in_time_order(spark, tmp_path, names):
     table = names("rides_sorted")
     jobs.create_tables(spark, table, RAW, str(tmp_path / "table"))
-    from tollgate.operators.raw import parse_raw
-    from tollgate.operators.routing import table_rows
-
     rows = table_rows(parse_raw(events_as_messages(spark, SF_DIR).orderBy(F.rand(1)), "sub"))
-    tables.append_batch(rows, table, "w", 0, "publish_time", rebalance=True)
-    stored = spark.table(table).select("publish_date", "publish_time", F.input_file_name().alias("f")).collect()
-    by_file = {}
-    for r in stored:
-        by_file.setdefault(r.f, []).append(r.publish_time)
-    assert all(times == sorted(times) for times in by_file.values())
+    tables.append_batch(rows, table, "w", 0, "publish_time")
+
+    def by_file(part):
+        found = {}
+        for r in spark.table(table + part).select("publish_time", F.input_file_name().alias("f")).collect():
+            found.setdefault(r.f, []).append(r.publish_time)
+        assert all(times == sorted(times) for times in found.values())
+        return found
+
+    assert len(by_file("_recent")) <= 8  # a file per task, though the rows are of many days
+    assert tables.compact(spark, table, FAR, ["w"]) == 1
+    days = spark.table(table).select("publish_date").distinct().count()
+    assert len(by_file("_days")) == days > 8
     start, end = F.lit("2024-01-05").cast("timestamp"), F.lit("2024-01-06").cast("timestamp")
     pruned = spark.table(table).where(tables.between("publish_time", start, end))
     plan = pruned._jdf.queryExecution().executedPlan().toString()
-    assert "publish_date" in plan.split("PartitionFilters: [")[1].split("]")[0]
+    assert any("publish_date" in part.split("]")[0] for part in plan.split("PartitionFilters: [")[1:])
+
+
+def test_compaction_loses_and_doubles_nothing(spark, tmp_path, names, monkeypatch):
+    """Run twice, cut off at each step, beside a retried batch, late rows, and a new column."""
+    table = names("rides_compacted")
+    jobs.create_tables(spark, table, RAW, str(tmp_path / "table"))
+    rows = table_rows(parse_raw(events_as_messages(spark, SF_DIR), "sub")).cache()
+    batch = [rows.where(F.expr(f"CAST(message_id AS LONG) % 4 = {i}")) for i in range(4)]
+
+    def seen():
+        return sorted((r.message_id, r.publish_time) for r in spark.table(table).collect())
+
+    everything = sorted((r.message_id, r.publish_time) for r in rows.collect())
+    for i in range(3):
+        tables.append_batch(batch[i], table, "a" if i < 2 else "b", i, "publish_time")
+    some = seen()
+    middle = date(2024, 1, 15)
+
+    class Cut(Exception):
+        pass
+
+    def cut(*args):
+        raise Cut
+
+    for step in ("_list_run", "_clean"):  # written but not listed; then listed but not cleaned
+        kept = getattr(tables, step)
+        # _clean also runs first, for runs before.
+        monkeypatch.setattr(tables, step, cut if step == "_list_run" else (lambda *a, n=[0]: kept(*a) if n.append(0) or len(n) < 3 else cut()))
+        with pytest.raises(Cut):
+            tables.compact(spark, table, middle)
+        monkeypatch.setattr(tables, step, kept)
+        assert seen() == some
+    # Nothing is left to move: the last batch of each writer stays.
+    assert tables.compact(spark, table, middle) == 0 and seen() == some
+    held = spark.table(f"{table}_recent")
+    assert held.where("writer = 'a' AND batch_id = 0 AND publish_date < DATE '2024-01-15'").count() > 0  # its open days stay
+    assert spark.table(f"{table}_days").where("publish_date >= DATE '2024-01-15'").count() == 0
+    tables.append_batch(batch[1], table, "a", 1, "publish_time")
+    tables.append_batch(batch[2], table, "b", 2, "publish_time")
+    assert seen() == some
+    tables.append_batch(batch[3], table, "a", 2, "publish_time")  # late rows of days that are closed
+    assert seen() == everything
+    assert tables.compact(spark, table, FAR, ["a", "b"]) == 2
+    assert seen() == everything and tables.batches(spark, table) == []
+    assert not [f for _, _, files in os.walk(tmp_path / "table" / "recent") for f in files if f.endswith(".parquet")]
+    tables.append_batch(batch[0], table, "c", 0, "publish_time")
+    wider = StructType([*RAW.fields, StructField("note", StringType())])
+    assert tables.evolve_table(spark, table, wider, "publish_time") == ["note"]
+    assert len(seen()) == len(everything) + batch[0].count()
 
 
 def test_every_subscription_sees_every_message(spark, tmp_path, names):
@@ -123,7 +179,7 @@ def test_replay_of_the_raw_table_gives_the_typed_rows(spark, tmp_path, names):
     landing = tmp_path / "landing"
     events_as_messages(spark, SF_DIR).repartition(6).write.parquet(str(landing))
     finish(jobs.start_raw(stream_landing(spark, str(landing), max_files=3), "sub", jobs.Target(raw_table, str(tmp_path / "cp1"), jobs.CATCH_UP)))
-    assert jobs.replay(spark, raw_table, jobs.Target(typed, "unused")) > 1
+    assert jobs.replay(spark, raw_table, jobs.Target(typed, "unused"), max_bytes=100_000) > 1
     raw_rows = spark.table(raw_table).count()
     assert spark.table(typed).count() + spark.table(f"{typed}_dlq").count() == raw_rows
     assert {r[0] for r in spark.table(typed).select("subscription_name").distinct().collect()} == {"sub"}
@@ -137,6 +193,48 @@ def test_replay_of_the_raw_table_gives_the_typed_rows(spark, tmp_path, names):
     assert spark.table(typed).count() + spark.table(f"{typed}_dlq").count() == raw_rows
 
 
+def test_replay_takes_few_jobs_for_many_batches(spark, tmp_path, names):
+    """A thousand tiny batches of several writers, part of them compacted, in less than twenty jobs; and again."""
+    raw_table, typed = names("rides_tiny"), names("rides_tiny_typed")
+    jobs.create_tables(spark, raw_table, RAW, str(tmp_path / "raw"))
+    jobs.create_tables(spark, typed, STANDARD, str(tmp_path / "typed"))
+    messages = events_as_messages(spark, SF_DIR).drop("publish_time").withColumn("publish_time", F.timestamp_seconds(F.col("message_id").cast("long") * 4_000))
+    rows = table_rows(parse_raw(messages, "sub")).selectExpr("*", "concat('w', CAST(message_id AS LONG) % 3) AS writer", "CAST(message_id AS LONG) DIV 3 AS batch_id")
+    tables.replace_batches(rows, raw_table, "publish_time")
+    n = len(tables.batches(spark, raw_table))
+    assert n > 950
+    assert tables.compact(spark, raw_table, date(1970, 1, 20)) == 1
+    assert 0 < len(tables.batches(spark, raw_table)) < n
+
+    def jobs_of(action):
+        spark.sparkContext.setJobGroup("replay", "replay")
+        try:
+            action()
+        finally:
+            spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+        return len(spark.sparkContext.statusTracker().getJobIdsForGroup("replay"))
+
+    def stored():
+        return sorted(map(repr, spark.table(typed).drop("processing_time").collect()))
+
+    target = jobs.Target(typed, "unused")
+    assert jobs_of(lambda: jobs.replay(spark, raw_table, target)) < 20
+    first = stored()
+    assert len(first) + spark.table(f"{typed}_dlq").count() == n
+    # Other groups, and a parse that refuses some batches' only row: these batches go.
+    assert jobs.replay(spark, raw_table, target, max_bytes=20_000) > 5
+    assert stored() == first
+
+    def stricter(messages, subscription):
+        return parse_standard(messages.where("CAST(message_id AS LONG) % 5 > 0"), subscription)
+
+    jobs.replay(spark, raw_table, target, stricter)
+    assert len(stored()) < len(first)
+    tables.compact(spark, typed, FAR)
+    with pytest.raises(tables.TableError, match="compacted"):
+        jobs.replay(spark, raw_table, target)
+
+
 def test_schema_driven_fails_or_quarantines(spark, tmp_path, names):
     table = names("rides_strict")
     landing = tmp_path / "landing"

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # Attribute names the schema registry stamps on a validated message.
@@ -10,6 +10,14 @@ SCHEMA_NAME_KEY = "googclient_schemaname"
 SCHEMA_REVISION_KEY = "googclient_schemarevisionid"
 SCHEMA_ENCODING_KEY = "googclient_schemaencoding"
 
+# A column that messages may have beyond their own: the batch of a table that they are read from again.
+ORIGIN = "_origin"
+
+
+def carried(df: DataFrame) -> list[str]:
+    """The origin, if the rows have one; the paths hand it on."""
+    return [ORIGIN] if ORIGIN in df.columns else []
+
 
 def attributes_json(attributes: Column) -> Column:
     """The attribute map as JSON text; ``{}`` for a missing or empty map."""

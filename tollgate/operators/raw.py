@@ -13,7 +13,7 @@ from tollgate.operators import routing
 def parse_raw(messages: DataFrame, subscription: str, clock: Column | None = None) -> DataFrame:
     """DataFrame[MESSAGE] to the six raw columns plus ``_error`` and ``_payload``."""
     clock = F.current_timestamp() if clock is None else clock
-    df = messages.select(*MESSAGE.fieldNames(), jsonx.decode_utf8(F.col("data")).alias("_text"))
+    df = messages.select(*MESSAGE.fieldNames(), *envelope.carried(messages), jsonx.decode_utf8(F.col("data")).alias("_text"))
     df = jsonx.with_cells(df, [])
     error = routing.first_failure(*routing.UNREADABLE[:2])
     return df.select(
@@ -21,6 +21,7 @@ def parse_raw(messages: DataFrame, subscription: str, clock: Column | None = Non
         envelope.attributes_json(F.col("attributes")).alias("attributes"),
         F.col("_text").alias("payload"),
         *routing.outcome(error),
+        *envelope.carried(messages),
     )
 
 
@@ -31,4 +32,5 @@ def as_messages(raw: DataFrame) -> DataFrame:
         F.from_json("attributes", "map<string,string>").alias("attributes"),
         "message_id",
         "publish_time",
+        *envelope.carried(raw),
     )

@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tollgate.functions import envelope
 from tollgate.model import DEAD_LETTER
 
 ERROR = "_error"
@@ -71,7 +72,8 @@ def dead_letters(parsed: DataFrame) -> DataFrame:
         "original_payload": F.col(PAYLOAD),
     }
     return failed.select(
-        *[columns.get(name, F.col(name)).alias(name) for name in DEAD_LETTER.fieldNames()]
+        *[columns.get(name, F.col(name)).alias(name) for name in DEAD_LETTER.fieldNames()],
+        *envelope.carried(parsed),
     )
 
 

@@ -31,7 +31,7 @@ def parse_schema_driven(
     fields = avro.fields_of(definition)
     clock = F.current_timestamp() if clock is None else clock
 
-    df = messages.select(*MESSAGE.fieldNames(), jsonx.decode_utf8(F.col("data")).alias("_text"))
+    df = messages.select(*MESSAGE.fieldNames(), *envelope.carried(messages), jsonx.decode_utf8(F.col("data")).alias("_text"))
     df = jsonx.with_cells(df, [f.name for f in fields])
     errors = [routing.first_failure(*routing.UNREADABLE)]
     columns = {}
@@ -45,6 +45,7 @@ def parse_schema_driven(
         *envelope.governance(),
         *[columns[f.name].alias(f.name) for f in fields],
         *routing.outcome(f"coalesce({', '.join(errors)})"),
+        *envelope.carried(messages),
     )
     return routing.fail_on_error(parsed) if on_error == "fail" else parsed
 

@@ -22,7 +22,7 @@ def parse_standard(
     object, timestamp, then each field in column order.
     """
     clock = F.current_timestamp() if clock is None else clock
-    df = messages.select(*MESSAGE.fieldNames(), jsonx.decode_utf8(F.col("data")).alias("_text"))
+    df = messages.select(*MESSAGE.fieldNames(), *envelope.carried(messages), jsonx.decode_utf8(F.col("data")).alias("_text"))
     df = jsonx.with_cells(df, [f.name for f in RIDE_FIELDS])
     moment = jsonx.cell("timestamp")
     not_text = f"{jsonx.kind(moment)} NOT IN ('STRING', 'VOID')"
@@ -48,6 +48,7 @@ def parse_standard(
         *envelope.metadata(subscription, clock),
         *[values[name].alias(name) for name in STANDARD.fieldNames() if name in values],
         *routing.outcome("_error"),
+        *envelope.carried(messages),
     )
 
 

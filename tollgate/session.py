@@ -1,4 +1,4 @@
-"""Session settings the parse expressions depend on."""
+"""Session settings that the parse expressions and the tables depend on."""
 
 from __future__ import annotations
 
@@ -10,6 +10,9 @@ REQUIRED_CONF = {
     "spark.sql.session.timeZone": "UTC",
     # A repeated key in a JSON object keeps its last value instead of failing the document.
     "spark.sql.variant.allowDuplicateKeys": "true",
+    # An INSERT OVERWRITE that names no partition replaces those it has rows for, not the table. A writer's
+    # option for this does not reach a table of the catalog.
+    "spark.sql.sources.partitionOverwriteMode": "dynamic",
 }
 
 

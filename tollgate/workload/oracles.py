@@ -183,6 +183,8 @@ WHERE fault NOT IN (1, 2, 3, 4, 8, 9) AND passengers > 0""",
 UNION ALL SELECT * FROM ({_events(False, ALL)} SELECT {_V2} FROM m)""",
     "part_daily_counts": f"""{_M} SELECT CAST(publish_time AS DATE) AS publish_date, count(*) AS n
 FROM m WHERE {_OK} GROUP BY 1""",
+    "append_two_writers": f"""{_M} SELECT 'w' || CAST(event_id % 2 AS VARCHAR) AS writer, event_id % 4 // 2 AS batch_id,
+  CASE WHEN {_OK} THEN 'table' ELSE 'dead_letter' END AS routed_to, count(*) AS n FROM m GROUP BY ALL""",
     "batch_by_count": """
 SELECT shard, batch_no, count(*) AS n FROM (
   SELECT event_id % 5 AS shard,

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
 from datetime import datetime, timezone
 
@@ -9,10 +10,12 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tollgate.functions import jsonx
-from tollgate.model import STANDARD
+from tollgate.model import RAW, STANDARD
 from tollgate.operators import batching, enrich, raw, routing, schema_driven, standard, validate
-from tollgate.plans import reports
+from tollgate.plans import reports, tables
+from tollgate.session import configure
 from tollgate.sources import messages as sources
+from tollgate.streaming import jobs
 from tollgate.workload import messages as workload
 from tollgate.workload.definitions import (
     EPOCH_MICROS,
@@ -308,9 +311,45 @@ def evolve_union_v1_v2(spark, sf_dir):
     return _plain(after.unionByName(before, allowMissingColumns=True).select(*RIDE_V2_NAMES))
 
 
+def _new_table(spark: SparkSession, name: str, schema) -> str:
+    """Empty tables of this application, in the place of those of an earlier call."""
+    configure(spark)
+    name = f"{name}_{re.sub(r'[^A-Za-z0-9]', '_', spark.sparkContext.applicationId)}"
+    for table in (name, f"{name}_dlq"):
+        tables.drop_table(spark, table)
+    jobs.create_tables(spark, name, schema)
+    return name
+
+
+def _in_batches(parsed: DataFrame, writers: int) -> DataFrame:
+    """Rows with a writer and a batch each: two thousand messages to a batch, dealt to the writers in turn."""
+    number = F.expr("coalesce(try_cast(message_id AS BIGINT), 0) DIV 2000")
+    writer = F.concat(F.lit("w"), (number % writers).cast("string"))
+    return parsed.withColumns({tables.WRITER: writer, tables.BATCH: (number / writers).cast("bigint")})
+
+
 def part_daily_counts(spark, sf_dir):
-    day = F.to_date("publish_time").alias("publish_date")
-    return routing.table_rows(_standard(spark, sf_dir)).groupBy(day).agg(F.count("*").alias("n"))
+    """Days of a table that two writers have filled and that has been compacted up to the middle of its days."""
+    name = _new_table(spark, "part_daily_counts", STANDARD)
+    rows = _in_batches(routing.table_rows(_standard(spark, sf_dir)), 2)
+    tables.replace_batches(rows, name, "publish_time")
+    first, last = rows.agg(F.to_date(F.min("publish_time")), F.to_date(F.max("publish_time"))).first()
+    if first is not None:
+        tables.compact(spark, name, first + (last - first) / 2, ["w0"])
+    return tables.read_table(spark, name).groupBy("publish_date").agg(F.count("*").alias("n"))
+
+
+def append_two_writers(spark, sf_dir):
+    """Two jobs append to a table; one repeats its first batch, the other its last, after a cut-off."""
+    name = _new_table(spark, "append_two_writers", STANDARD)
+    messages = workload.events_as_messages(spark, sf_dir)
+    for remainder, writer in enumerate(("w0", "w1")):
+        for batch_id in (0, 1, remainder):
+            own = messages.where(F.expr(f"CAST(message_id AS BIGINT) % 4 = {2 * batch_id + remainder}"))
+            jobs.fan_out(jobs.Target(name, ""))(standard.parse_standard(own, SUBSCRIPTION, _clock()), writer, batch_id)
+    kept = spark.table(name).select("writer", "batch_id", F.lit("table").alias("routed_to"))
+    dead = spark.table(f"{name}_dlq").select("writer", "batch_id", F.lit("dead_letter").alias("routed_to"))
+    return kept.unionByName(dead).groupBy("writer", "batch_id", "routed_to").agg(F.count("*").alias("n"))
 
 
 def batch_by_count(spark, sf_dir):
@@ -320,9 +359,14 @@ def batch_by_count(spark, sf_dir):
 
 
 def replay_raw_to_typed(spark, sf_dir):
-    history = raw.as_messages(routing.table_rows(_raw(spark, sf_dir)))
-    replayed = standard.parse_standard(history, SUBSCRIPTION, _clock())
-    return _plain(routing.table_rows(replayed).select(*STANDARD.fieldNames()))
+    """The typed table that a replay makes from a raw table of many batches, part of them compacted."""
+    raw_table, typed = _new_table(spark, "replayed_raw", RAW), _new_table(spark, "replayed_typed", STANDARD)
+    rows = _in_batches(routing.table_rows(_raw(spark, sf_dir)), 3)
+    tables.replace_batches(rows, raw_table, "publish_time")
+    tables.compact(spark, raw_table, NOW.date().replace(day=1))
+    parse = lambda messages, subscription: standard.parse_standard(messages, subscription, _clock())
+    jobs.replay(spark, raw_table, jobs.Target(typed, ""), parse, max_bytes=4 << 20)
+    return _plain(spark.table(typed).select(*STANDARD.fieldNames()))
 
 
 def typed_view(spark, sf_dir):
@@ -391,6 +435,7 @@ QUERIES: dict[str, Query] = {
     "merge_v1_v2_streams": merge_v1_v2_streams,
     "evolve_union_v1_v2": evolve_union_v1_v2,
     "part_daily_counts": part_daily_counts,
+    "append_two_writers": append_two_writers,
     "batch_by_count": batch_by_count,
     "replay_raw_to_typed": replay_raw_to_typed,
     "typed_view": typed_view,
