@@ -14,9 +14,10 @@ from tollgate.model import MESSAGE, RAW, STANDARD
 from tollgate.operators.raw import parse_raw
 from tollgate.operators.routing import table_rows
 from tollgate.operators.standard import parse_standard
-from tollgate.plans import avro, revisions, tables
+from tollgate.operators import schema_driven, validate
+from tollgate.plans import avro, reports, revisions, tables
 from tollgate.sources.messages import merge_streams, stream_landing
-from tollgate.streaming import jobs
+from tollgate.streaming import jobs, monitor, stateful
 from tollgate.workload.definitions import RIDE_V1, RIDE_V2, SCHEMA_NAME
 from tollgate.workload.messages import events_as_messages
 
@@ -340,3 +341,90 @@ def test_a_backlog_comes_in_several_batches(spark, tmp_path, names):
     target = jobs.Target(table, str(tmp_path / "cp"), jobs.CATCH_UP)
     finish(jobs.start_raw(stream_landing(spark, str(tmp_path / "landing"), max_bytes=1), "sub", target))
     assert spark.table(table).count() == 6 and len(tables.batches(spark, table)) == 3
+
+
+def test_repeats_within_the_watermark_are_dropped(spark, tmp_path, names):
+    """Across a restart: a repeat inside the delay goes, one outside it is a message again; no id, no repeat."""
+    table, landing = names("rides_once"), tmp_path / "landing"
+    jobs.create_tables(spark, table, RAW, str(tmp_path / "t"))
+    target = jobs.Target(table, str(tmp_path / "cp"), jobs.CATCH_UP)
+
+    def deliver(*rows):
+        made = [(bytearray(json.dumps(RIDE).encode()), {}, key, at and datetime(2026, 2, 10, *at)) for key, at in rows]
+        spark.createDataFrame(made, MESSAGE).coalesce(1).write.mode("append").parquet(str(landing))
+        finish(jobs.start_raw(stateful.first_deliveries(stream_landing(spark, str(landing)), "10 minutes"), "sub", target))
+        return sorted(r.message_id for r in spark.table(table).collect())
+
+    assert deliver(("a", (12, 0)), ("a", (12, 0)), (None, (12, 0)), (None, (12, 0)), ("u", None), ("u", None)) == ["", "", "a", "u", "u"]
+    assert deliver(("a", (12, 5)), ("b", (12, 6))) == ["", "", "a", "b", "u", "u"]
+    # The watermark passes 12:10, where the first delivery expires.
+    assert deliver(("c", (13, 0)), ("u", None)) == ["", "", "a", "b", "c", "u", "u", "u"]
+    assert deliver(("a", (13, 1)), ("c", (13, 2))) == ["", "", "a", "a", "b", "c", "u", "u", "u"]
+
+
+def test_closed_minutes_equal_the_report(spark, tmp_path, names):
+    table, landing, progress = names("rides_minutes"), tmp_path / "landing", "rides_minutes_progress"
+    tables.create_table(spark, table, stateful.MINUTES, "minute_time", str(tmp_path / "t"))
+    target = jobs.Target(table, str(tmp_path / "cp"), jobs.CATCH_UP)
+    monitor.Monitor.create_table(spark, progress)
+    listener = monitor.Monitor(spark, progress)
+    clean = events_as_messages(spark, SF_DIR, faults=False).orderBy("publish_time").cache()
+    start = clean.agg(F.min("publish_time")).first()[0]
+    days = [clean.where(f"publish_time IS NULL OR publish_time {order} TIMESTAMP '2024-01-15'") for order in ("<", ">=")]
+
+    def run(messages):
+        messages.coalesce(1).write.mode("append").parquet(str(landing))
+        parsed = schema_driven.parse_schema_driven(stream_landing(spark, str(landing)), "sub", RIDE_V2)
+        finish(stateful.start_minutes(parsed, target))
+
+    spark.streams.addListener(listener)
+    try:
+        run(days[0])
+        run(days[1])
+        late = clean.where(F.col("publish_time") == F.lit(start))
+        run(late)
+        deadline = time.time() + 60
+        while spark.table(progress).agg(F.sum("late_rows")).first()[0] != late.count() and time.time() < deadline:
+            time.sleep(1)
+            listener.flush()
+    finally:
+        spark.streams.removeListener(listener)
+    assert spark.table(progress).agg(F.sum("late_rows")).first()[0] == late.count() > 0
+    rows = schema_driven.parse_schema_driven(clean, "sub", RIDE_V2).where("publish_time <> processing_time")
+    minutes = rows.groupBy(F.date_trunc("minute", "publish_time").alias("minute_time")).agg(*reports.minute_counts())
+    end = rows.agg(F.max("publish_time")).first()[0]
+    want = minutes.where(F.col("minute_time") + F.expr("INTERVAL 11 MINUTES") <= F.lit(end))
+    got = spark.table(table).select(*want.columns)
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect())) and want.count() > 800
+    newest = minutes.orderBy(F.desc("minute_time")).limit(reports.MINUTES).collect()
+    assert [tuple(r)[1:] for r in reports.minute_timeline(rows).collect()] == [tuple(r)[1:] for r in newest]
+    spark.sql(f"DROP TABLE {progress}")
+
+
+def test_monitor_keeps_what_jobs_count(spark, tmp_path, names):
+    progress, landing, table = "job_progress", tmp_path / "landing", names("rides_watched")
+    monitor.Monitor.create_table(spark, progress)
+    messages = events_as_messages(spark, SF_DIR)
+    messages.repartition(4).write.parquet(str(landing))
+    listener = monitor.Monitor(spark, progress, group=2)
+    jobs.create_tables(spark, table, STANDARD, str(tmp_path / "t"))
+    first = revisions.make_revision(SCHEMA_NAME, 1, RIDE_V1)
+    spark.streams.addListener(listener)
+    try:
+        stream = stream_landing(spark, str(landing), max_files=2)
+        finish(jobs.start_relay(stream, [first], SCHEMA_NAME, str(tmp_path / "topic"), str(tmp_path / "cp"), jobs.CATCH_UP))
+        finish(jobs.start_standard(stream, "sub", jobs.Target(table, str(tmp_path / "cp2"), jobs.CATCH_UP)))
+        deadline = time.time() + 60
+        while spark.table(progress).agg(F.sum("input_rows")).first()[0] != 2000 and time.time() < deadline:
+            time.sleep(1)
+            listener.flush()
+    finally:
+        spark.streams.removeListener(listener)
+    rows = spark.table(progress).collect()
+    total = lambda key: sum(r.metrics.get(key, 0) for r in rows)
+    want = validate.relay(messages, [first], SCHEMA_NAME).agg(*validate.relay_counts()).first()
+    assert (total("relay.published"), total("relay.errors")) == tuple(want)
+    assert total("ingest.rows") == spark.table(table).count() and total("ingest.dead_letters") == spark.table(f"{table}_dlq").count()
+    watched = [r for r in rows if "ingest.rows" in r.metrics and r.input_rows]
+    assert len(watched) == 2 and all(r.metrics["ingest.p95_lag_seconds"] > 0 and r.processed_rows_per_second > 0 for r in watched)
+    spark.sql(f"DROP TABLE {progress}")

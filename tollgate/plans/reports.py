@@ -107,13 +107,18 @@ def mixed_overview_short(table: DataFrame) -> DataFrame:
     return mixed_overview(table).drop("first_seen", "last_seen")
 
 
-def minute_timeline(table: DataFrame) -> DataFrame:
-    """Enriched, plain and all messages of the latest minutes that have any."""
-    minutes = table.groupBy(F.date_trunc("minute", "publish_time").alias("minute")).agg(
+def minute_counts() -> list[Column]:
+    """Aggregates of a minute: enriched, plain and all messages."""
+    return [
         F.count_if(_is_enriched()).alias("v2_count"),
         F.count_if(~_is_enriched()).alias("v1_count"),
         F.count("*").alias("total"),
-    )
+    ]
+
+
+def minute_timeline(table: DataFrame) -> DataFrame:
+    """Enriched, plain and all messages of the latest minutes that have any."""
+    minutes = table.groupBy(F.date_trunc("minute", "publish_time").alias("minute")).agg(*minute_counts())
     return minutes.orderBy(F.desc("minute")).limit(MINUTES)
 
 

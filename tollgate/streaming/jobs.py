@@ -90,11 +90,23 @@ def fan_out(target: Target) -> Callable[[DataFrame, str, int], None]:
     return write
 
 
+def _observed(parsed: DataFrame) -> DataFrame:
+    """Metrics of each micro-batch in the query's progress, under ``ingest``: both outcomes, and the lag."""
+    lag = F.expr("timestampdiff(MICROSECOND, publish_time, processing_time)") / 1_000_000
+    failed = F.col(routing.ERROR).isNotNull() if routing.ERROR in parsed.columns else F.lit(False)
+    return parsed.observe(
+        "ingest",
+        F.count_if(~failed).alias("rows"),
+        F.count_if(failed).alias("dead_letters"),
+        F.percentile_approx(lag, 0.95).alias("p95_lag_seconds"),
+    )
+
+
 def _start_with_dead_letters(parsed: DataFrame, schema, target: Target) -> StreamingQuery:
     spark = parsed.sparkSession
     tables.require_table(spark, target.table, schema)
     tables.require_table(spark, target.dead_letter_table, DEAD_LETTER)
-    return target.start(parsed, fan_out(target))
+    return target.start(_observed(parsed), fan_out(target))
 
 
 def start_standard(messages: DataFrame, subscription: str, target: Target) -> StreamingQuery:
@@ -128,7 +140,7 @@ def start_schema_driven(
     def write(rows: DataFrame, writer: str, batch_id: int) -> None:
         tables.append_batch(rows, target.table, writer, batch_id, "publish_time")
 
-    return target.start(parsed, write)
+    return target.start(_observed(parsed), write)
 
 
 def start_relay(

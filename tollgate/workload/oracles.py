@@ -191,6 +191,11 @@ SELECT shard, batch_no, count(*) AS n FROM (
     (row_number() OVER (PARTITION BY event_id % 5 ORDER BY event_id) - 1) // 100 AS batch_no FROM events
 ) GROUP BY ALL""",
     "replay_raw_to_typed": _standard_rows(f"{NOW} AS processing_time,"),
+    "dedup_messages": f"{_M} SELECT message_id, 'table' AS routed_to, count(*) AS n FROM m WHERE {_RAW_OK} GROUP BY ALL",
+    "minute_stream": f"""{_CLEAN} SELECT date_trunc('minute', ts) AS minute, count(*) FILTER (WHERE enriched) AS v2_count,
+  count(*) FILTER (WHERE NOT enriched) AS v1_count, count(*) AS total
+FROM m WHERE event_id % 101 <> 0 GROUP BY 1
+HAVING date_trunc('minute', ts) + INTERVAL 11 MINUTE <= (SELECT max(ts) FROM m WHERE event_id % 101 <> 0)""",
     "typed_view": f"""{_CLEAN} SELECT 'rides-sub' AS subscription_name, message_id, publish_time,
   {NOW} AS processing_time, {_V1} FROM m""",
     "mixed_overview_short": f"""{_CLEAN} SELECT {_VERSION}, count(*) AS message_count,

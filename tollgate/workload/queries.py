@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+import uuid
 from collections.abc import Callable
 from datetime import datetime, timezone
 
@@ -15,7 +16,7 @@ from tollgate.operators import batching, enrich, raw, routing, schema_driven, st
 from tollgate.plans import reports, tables
 from tollgate.session import configure
 from tollgate.sources import messages as sources
-from tollgate.streaming import jobs
+from tollgate.streaming import jobs, stateful
 from tollgate.workload import messages as workload
 from tollgate.workload.definitions import (
     EPOCH_MICROS,
@@ -365,10 +366,43 @@ def replay_raw_to_typed(spark, sf_dir):
     tables.replace_batches(rows, raw_table, "publish_time")
     tables.compact(spark, raw_table, NOW.date().replace(day=1))
     parse = lambda messages, subscription: standard.parse_standard(messages, subscription, _clock())
-    jobs.replay(spark, raw_table, jobs.Target(typed, ""), parse, max_bytes=4 << 20)
+    jobs.replay(spark, raw_table, jobs.Target(typed, ""), parse, max_bytes=32 << 20)
     return _plain(spark.table(typed).select(*STANDARD.fieldNames()))
 
 
+def _landed(spark: SparkSession, name: str, messages: DataFrame) -> tuple[DataFrame, str]:
+    """Messages in a landing folder, as a stream, and a new checkpoint beside it."""
+    name = f"{name}_{re.sub(r'[^A-Za-z0-9]', '_', spark.sparkContext.applicationId)}"
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
+    messages.write.format("parquet").saveAsTable(name)
+    folder = spark.sql(f"DESCRIBE FORMATTED {name}").where("col_name = 'Location'").first()["data_type"]
+    return sources.stream_landing(spark, folder), f"{folder}_checkpoints/{uuid.uuid4().hex}"
+
+
+def dedup_messages(spark, sf_dir):
+    """A stream in which every tenth message is delivered three times, half a minute apart, first deliveries kept."""
+    messages = workload.events_as_messages(spark, sf_dir)
+    repeat = F.explode(F.when(F.expr("CAST(message_id AS BIGINT) % 10 = 3"), F.array(F.lit(0), F.lit(30), F.lit(60))).otherwise(F.array(F.lit(0))))
+    again = messages.withColumn("_late", repeat)
+    again = again.withColumn("publish_time", F.col("publish_time") + F.make_dt_interval(secs=F.col("_late"))).drop("_late")
+    # A message without a publish time has no place among the others, so it is delivered once only.
+    again = again.where("publish_time IS NOT NULL").unionByName(messages.where("publish_time IS NULL"))
+    stream, checkpoint = _landed(spark, "dedup_landing", again)
+    name = _new_table(spark, "dedup_messages", RAW)
+    jobs.start_raw(stateful.first_deliveries(stream), SUBSCRIPTION, jobs.Target(name, checkpoint, jobs.CATCH_UP)).awaitTermination()
+    kept = spark.table(name).select("message_id", F.lit("table").alias("routed_to"))
+    return kept.groupBy("message_id", "routed_to").agg(F.count("*").alias("n"))
+
+
+def minute_stream(spark, sf_dir):
+    """Closed minutes of the schema-driven stream, as a stateful job writes them."""
+    stream, checkpoint = _landed(spark, "minute_landing", _clean(spark, sf_dir))
+    name = _new_table(spark, "minute_stream", stateful.MINUTES)
+    parsed = schema_driven.parse_schema_driven(stream, SUBSCRIPTION, RIDE_V2, _clock())
+    stateful.start_minutes(parsed, jobs.Target(name, checkpoint, jobs.CATCH_UP)).awaitTermination()
+    return _plain(spark.table(name).select(F.col("minute_time").alias("minute"), "v2_count", "v1_count", "total"))
+
+
 def typed_view(spark, sf_dir):
     return _plain(reports.typed_view(routing.table_rows(_raw(spark, sf_dir, faults=False))))
 
@@ -438,6 +472,8 @@ QUERIES: dict[str, Query] = {
     "append_two_writers": append_two_writers,
     "batch_by_count": batch_by_count,
     "replay_raw_to_typed": replay_raw_to_typed,
+    "dedup_messages": dedup_messages,
+    "minute_stream": minute_stream,
     "typed_view": typed_view,
     "mixed_overview_short": _over_v2(reports.mixed_overview_short),
     "mixed_overview": _over_v2(reports.mixed_overview),
