@@ -156,11 +156,12 @@ def test_toxicity_without_labels(spark, docs, none):
 
 def encoded(rows, name, end):
     tokenizer = Tokenizer.from_file(public_tokenizers.path(name))
-    tokenizer.encode_special_tokens = True
     return [np.array(tokenizer.encode(r[1] or "", add_special_tokens=False).ids + [end], "<u4") for r in rows]
 
 
 ODD = ["a  b", "a   b", " a ", "a \n b", "a\n\n b", "a\t b", "don't  |stop| ", "<|endoftext|> x", "\x1c a", "x　 y", "É É", "  ", "a |", "| | a"]
+SPECIAL = ["<|endoftext|>", "<|startoftext|>", "<|ENDOFTEXT|>", "<|endoftext|", "|endoftext|>"]
+ODD += [text.replace("@", s) for s in SPECIAL for text in ("@", "@ x", "a @ b", "a@b  c", "x @", "x@", "\n@\n", " @ ", "@@ @", "| @|")]
 
 
 @pytest.mark.parametrize("name, end", [("byte_bpe_50k.json", 0), ("word_bpe_49k.json", 2)])

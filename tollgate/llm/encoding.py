@@ -1,7 +1,8 @@
 """Token ids of many texts with the ``tokenizers`` library.
 
 A text is cut before each space, which no token of the two vocabularies crosses, and every different
-word is encoded once per worker. Texts where a cut could change a run of white space are encoded whole.
+word is encoded once per worker. Texts where a cut could change a run of white space, and those that hold the string
+of an added token, are encoded whole.
 """
 
 from __future__ import annotations
@@ -28,8 +29,10 @@ class WordEncoder:
         # Spark's tasks fill the cores; threads of one task would only wait for each other.
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         self._tokenizer = Tokenizer.from_file(path)
-        # The strings of special tokens are ordinary text.
-        self._tokenizer.encode_special_tokens = True
+        # The strings of added tokens are found anywhere in a text, some before and some after it is normalised.
+        added = [token.content for token in self._tokenizer.get_added_tokens_decoder().values()]
+        self._begins = {re.match(r"[^a-zA-Z]*", content)[0] for content in added}
+        self._added = re.compile("|".join(map(re.escape, added)) or r"(?!)", re.IGNORECASE)
         separator = self._tokenizer.encode(_SEPARATOR, add_special_tokens=False).ids
         if len(separator) != 1:
             raise ValueError("the vocabulary has no single token for the separator")
@@ -77,7 +80,7 @@ class WordEncoder:
             text = text or ""
             if self._drops_newlines:
                 text = text.replace("\n", " ")
-            if _UNSAFE.search(text):
+            if _UNSAFE.search(text) or any(b in text for b in self._begins) and self._added.search(text):
                 heads.append(text)
             else:
                 head, *tail = text.split(" ")
