@@ -9,7 +9,7 @@ the share of coordinates that agree is as concentrated about the Jaccard similar
 ``bands`` bands of ``rows`` coordinates are the cells. With 40 bands of 5, two sets at the threshold of 0.8 share no
 cell in one of ten million pairs; that is the only loss, and higher similarities have less.
 
-In each cell some members are pivots, 1 at first and eight times as many in each further round. A pivot is compared
+In each cell some members are pivots, 1 at first and 32 times as many in each further round. A pivot is compared
 with all members of the cell that are not in its component and then leaves the cell; links join components between
 the rounds. Pivots are taken outside the cell's largest component, and a cell is done when its members are of one
 component. So a group of copies costs one comparison a member, and a few strangers among them one each. Comparisons
@@ -339,5 +339,6 @@ def near_duplicates(docs: DataFrame, width: int = 4, percent: int = 80, bands: i
         if not found.isEmpty():
             edges = found.selectExpr("a AS u", "b AS v")
             labels = components(edges if labels is None else edges.unionByName(labels))
-        regions = current.select("cell", "node").join(pivots.select("cell", "node"), ["cell", "node"], "left_anti")
-        many *= 8
+        left = current.select("cell", "node").join(pivots.select("cell", "node"), ["cell", "node"], "left_anti")
+        regions = saved(left, "minhash-regions")  # read twice in the next round
+        many *= 32
