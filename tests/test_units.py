@@ -283,7 +283,7 @@ def test_typed_view_in_the_catalog(spark, tmp_path):
     assert spark.table("rides_typed").count() == 1
     spark.sql("DROP TABLE rides_typed")
     spark.sql("DROP VIEW rides_view")
-    spark.sql("DROP TABLE raw_for_view")
+    tables.drop_table(spark, "raw_for_view")
 
 
 def test_json_is_parsed_once_per_row(spark):
