@@ -288,6 +288,45 @@ def test_near_duplicates_of_odd_rows(spark, docs, rows, none):
     assert jaccard_join.near_duplicates(none).count() == 0
 
 
+def family(rng, size, length, kept):
+    """Texts over one base, each with words of its own in place of some."""
+    base = [f"b{rng.randrange(10**9)}" for _ in range(length)]
+    return [" ".join(w if rng.random() < kept else f"o{rng.randrange(10**9)}" for w in base) for _ in range(size)]
+
+
+def test_blocks_and_regions_equal_brute_force(spark, monkeypatch):
+    """Groups under the threshold, cut into small blocks and regions of few centres."""
+    for name, value in (("_BLOCK", 7), ("_CENTRES", 3), ("_SMALL", 12), ("_TOGETHER", 40)):
+        monkeypatch.setattr(jaccard_join, name, value)
+    rng = random.Random(8)
+    texts = [t for kept in (0.9, 0.95, 0.985, 0.97) for t in family(rng, 45, rng.randint(30, 140), kept)]
+    rows = list(enumerate(texts + texts[:5]))
+    found = jaccard_join.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string").repartition(4)).collect()
+    assert collections.Counter((r.doc_id, r.n_shingles, r.component_id) for r in found) == brute_components(rows)
+
+
+def test_voronoi_regions_lose_no_pair(monkeypatch):
+    """Sketches of several families: the same pairs as all distances give, in far fewer comparisons."""
+    rng = np.random.default_rng(4)
+    sets = []
+    for _ in range(12):
+        base = rng.integers(0, 2**63, 120, dtype=np.uint64)
+        for _ in range(50):
+            own = base.copy()
+            change = rng.integers(0, 25)
+            own[:change] = rng.integers(0, 2**63, change, dtype=np.uint64)
+            sets.append(np.unique(rng.permutation(own)[: rng.integers(100, 120)]))
+    k = np.stack([jaccard_join.sketch(s).view(np.uint64) for s in sets])
+    n = np.array([len(s) for s in sets])
+    compared, distances = [], jaccard_join._distances
+    monkeypatch.setattr(jaccard_join, "_distances", lambda a, b: compared.append(len(a) * len(b)) or distances(a, b))
+    i, j, x = jaccard_join.voronoi_pairs(k[:400], n[:400], k, n, 75)
+    all_ = distances(k[:400], k)
+    p, q = np.nonzero(all_ * 175 <= (n[:400, None] + n) * 25)
+    assert sorted(zip(i.tolist(), j.tolist(), x.tolist())) == sorted(zip(p.tolist(), q.tolist(), all_[p, q].tolist()))
+    assert sum(compared) < 400 * 600 / 3
+
+
 def test_components_of_a_long_chain(spark):
     edges = spark.range(300).selectExpr("id + 1 AS u", "id AS v")
     assert {(r.u, r.v) for r in jaccard_join.components(edges).collect()} == {(i, 0) for i in range(1, 301)}

@@ -1,23 +1,27 @@
 """Near-duplicate documents by a metric-space join under the Jaccard distance of their shingle sets.
 
-Nearly all documents are at distance 1 of any one document, so cells around sampled documents would each
-receive everything. The outer pivots are therefore the shingles: a document lies in the cells of its foremost
+Nearly all documents are at distance 1 of any one document, so regions around sampled documents would each
+receive everything. The outermost pivots are therefore the shingles: a document lies in the cells of its foremost
 shingles in a global order, that of their hashes. Two sets with a similarity of ``t`` have at least ``t |x|``
 shingles in common, so their first common one is among the first ``|x| - ceil(t |x|) + 1`` of both: that is the
 window by which documents are replicated. It is made a twentieth of the set longer; then near documents meet in
 more than that many cells, and all that share a few lines or a passage drop out before they are compared.
 
-Within a cell, members are ordered by a hash, and serve as pivots in windows of growing length: the first,
-the next 3, the next 12, and so on. In each round the members are compared with the window's pivots, except
-those that are known to be in the pivot's component, and those that the triangle inequality of the symmetric
-difference excludes: sets whose sizes, which are their distances from the empty set, are too far apart. The join recurs with the
-cells that hold more than one component, until their pivots are used up; then every pair has been compared,
-excluded or connected. A cell of copies so costs a comparison per member, not one per pair.
-
-Most pairs are settled by parity sketches, in which common shingles cancel out: the bits in which two of them
-differ are no more than the shingles in which the sets differ. What is left is intersected, first one pair for
-each node, and then those that this has not connected. The sets lie in a table bucketed by node, so that no round
-shuffles them again.
+Within a cell the metric is the number of places in which parity sketches differ, in which common shingles cancel
+out. It is at most the symmetric difference of the sets, which for linked ones is at most ``(1 - t) / (1 + t)`` of both
+sizes: their reach. The least member of a cell is its first pivot, and linked members make one component with it.
+Then in each round 32 times as many pivots, outside the cell's largest component, are compared with the members and
+leave the cell, until its members are of one component or its pivots are used up. A cell of copies so costs a
+comparison per member, not one per pair.
+
+Pivots and members are compared in blocks, and large blocks by recursion: some pivots are centres, each pivot is of
+the Voronoi region of its nearest centre, and a member enters the regions that the triangle inequality leaves open:
+those no further than its nearest centre by twice its reach, and whose distances from the centre it is within reach of.
+Regions are split again until they are small, or until a split no longer halves the comparisons. A pair that is first
+together in a cell has no earlier shingle in common, so its two places there add up to at most its reach; in other
+cells it need not be compared. What is left of a block are the pairs whose sketches are within reach: these are
+intersected in full, first one pair for each node, and then those that this has not connected. The sets lie in a table
+bucketed by node, so that no round shuffles them again.
 
 Equal sets are one node. Node ids are 64-bit hashes, checked against 128-bit ones; on a clash the join starts
 anew with another seed.
@@ -36,6 +40,7 @@ from itertools import repeat
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -49,6 +54,14 @@ _EXTRA = 20
 _BITS = 1 << 23
 #: Distinct sets that a task remembers, so as not to emit their cells again.
 _SEEN = 200_000
+#: Pivots and members (about) that a block compares.
+_BLOCK = 2048
+#: Centres of a split, and comparisons below which a region is not split.
+_CENTRES, _SMALL = 16, 1 << 14
+#: Pairs of small blocks that are compared together.
+_TOGETHER = 1 << 16
+#: Parts of a node's documents when they get their component.
+_SALTS = 8
 
 _hashes: dict[bytes, int] = {}
 
@@ -102,8 +115,8 @@ def _sets(docs: DataFrame, width: int, percent: int, seed: int) -> DataFrame:
                         if len(seen) >= _SEEN:
                             seen.clear()
                         seen.add(full)
-                        # Hashes ascend, which is the global order.
-                        cells = s[: n - -(-percent * n // 100) + 1 + _extra(n)].view(np.int64)
+                        # Hashes ascend, which is the global order; it is kept when they are signed.
+                        cells = (s[: n - -(-percent * n // 100) + 1 + _extra(n)] ^ np.uint64(1 << 63)).view(np.int64)
                     rows.append((doc, n, int.from_bytes(full[:8], "little", signed=True), full, cells))
                 yield pd.DataFrame(rows, columns=schema.names)
 
@@ -111,25 +124,23 @@ def _sets(docs: DataFrame, width: int, percent: int, seed: int) -> DataFrame:
 
 
 def _cells(sets: DataFrame, percent: int) -> DataFrame:
-    """Cells with more than one node, once for each set of members: cell, node, rank.
+    """Cells with more than one node, once for each set of members: cell, node, place (of the cell in the window).
 
     Nodes that have too few cells in company to be near any other are left out.
     """
-    entered = sets.where("cells IS NOT NULL").select(F.explode("cells").alias("cell"), "node")
-    members = entered.repartition("cell").groupBy("cell", "node").agg(F.lit(1).alias("one"))
+    entered = sets.where("cells IS NOT NULL").select(F.posexplode("cells").alias("place", "cell"), "node")
+    members = entered.repartition("cell").groupBy("cell", "node").agg(F.first("place").alias("place"))
     several = members.withColumn("m", F.count("*").over(Window.partitionBy("cell"))).where("m > 1")
-    several = saved(several.select("cell", "node"), "near-shared")
+    several = saved(several.select("cell", "node", "place"), "near-shared")
     company = several.groupBy("node").agg(F.count("*").alias("k"))
     # A partner has at least this part of the shingles, so both windows hold as many common ones as its extra.
     least = f"greatest(1, 1 + ceil({percent} * n / 100) div {_EXTRA})"
     near = company.join(sets.where("cells IS NOT NULL").select("node", "n").distinct(), "node").where(f"k >= {least}")
-    several = several.join(near.select("node"), "node", "left_semi")
-    several = several.withColumn("m", F.count("*").over(Window.partitionBy("cell"))).where("m > 1")
-    several = saved(several, "near-cells")
-    alike = several.groupBy("cell").agg(F.first("m").alias("m"), F.bit_xor("node").alias("x"), F.bit_xor(F.xxhash64("node")).alias("y"))
-    chosen = alike.groupBy("m", "x", "y").agg(F.min("cell").alias("cell")).select("cell")
-    rank = F.row_number().over(Window.partitionBy("cell").orderBy("node"))
-    return saved(several.join(chosen, "cell").select("cell", "node", rank.alias("rank")), "near-regions")
+    several = saved(several.join(near.select("node", "n"), "node"), "near-cells")
+    same = several.groupBy("cell").agg(F.count("*").alias("m"), F.bit_xor("node").alias("x"), F.bit_xor(F.xxhash64("node")).alias("y"))
+    # The least of such cells, as a pair's first cell must stay.
+    chosen = same.where("m > 1").groupBy("m", "x", "y").agg(F.min("cell").alias("cell")).select("cell")
+    return saved(several.join(chosen, "cell"), "near-regions")
 
 
 def sketch(s: np.ndarray) -> np.ndarray:
@@ -214,19 +225,155 @@ def _labelled(df: DataFrame, labels: DataFrame | None, node: str, name: str) ->
     return df.join(labels.selectExpr(f"u AS {node}", "v AS _v"), node, "left").withColumn(name, F.coalesce("_v", node)).drop("_v")
 
 
-def _sketched(pairs: DataFrame, members: DataFrame, percent: int) -> DataFrame:
-    """Pairs with x (places in which their sketches differ) and near (whether they still can be linked)."""
-
-    @F.pandas_udf("long")
-    def differ(a: pd.Series, b: pd.Series) -> pd.Series:
-        return pd.Series([differing(x, y) for x, y in zip(a, b)], dtype="int64")
-
-    left = members.selectExpr("node AS a", "n AS a_n", "k AS a_k")
-    right = members.selectExpr("node AS b", "n AS b_n", "k AS b_k")
-    joined = pairs.join(left, "a").join(right, "b").select("a", "b", "a_n", "b_n", differ("a_k", "b_k").alias("x"))
-    # Similar sets differ in at most (1 - t) / (1 + t) of both sizes.
-    near = F.expr(f"x * (100 + {percent}) <= (a_n + b_n) * (100 - {percent})")
-    return joined.select("a", "b", "x", near.alias("near"))
+def _folded(rows: np.ndarray, width: int) -> np.ndarray:
+    while rows.shape[1] > width:  # a sketch of half the places is the sum of its halves
+        half = rows.shape[1] // 2
+        rows = rows[:, :half] ^ rows[:, half:]
+    return rows
+
+
+def _distances(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Places in which the rows of ``a`` differ from each row of ``b``."""
+    out = np.empty((len(a), len(b)), np.int32)
+    for i, row in enumerate(a):
+        out[i] = np.bitwise_count(b ^ row).sum(axis=1)
+    return out
+
+
+def voronoi_pairs(a: np.ndarray, a_n: np.ndarray, b: np.ndarray, b_n: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Rows i of ``a`` and j of ``b``, sketches of sets of the given sizes, that are within reach, and their distance."""
+    found, open_ = [], [(np.arange(len(a)), np.arange(len(b)))]
+    while open_:
+        i, j = open_.pop()
+        regions = []
+        if len(i) * len(j) > _SMALL and len(i) > 2 * _CENTRES:
+            centres = a[i[:: len(i) // _CENTRES][:_CENTRES]]
+            inner, outer = _distances(centres, a[i]), _distances(centres, b[j])
+            region = inner.argmin(axis=0)
+            reach = b_n[j] * (100 - percent) / percent  # of the largest set that could be linked
+            near = outer <= outer.min(axis=0) + 2 * reach
+            for c in range(len(centres)):
+                own = region == c
+                if own.any():
+                    d = inner[c, own]
+                    entered = near[c] & (outer[c] <= d.max() + reach) & (outer[c] >= d.min() - reach)
+                    regions.append((i[own], j[entered]))
+            if 2 * sum(len(x) * len(y) for x, y in regions) <= len(i) * len(j):
+                open_ += [(x, y) for x, y in regions if len(y)]
+                continue
+        x = _distances(a[i], b[j])
+        p, q = np.nonzero(x * (100 + percent) <= (a_n[i][:, None] + b_n[j]) * (100 - percent))
+        found.append((i[p], j[q], x[p, q]))
+    if not found:
+        return np.arange(0), np.arange(0), np.arange(0)
+    return tuple(np.concatenate(column) for column in zip(*found))
+
+
+class _Rows:
+    """Rows of blocks as arrays: whether they are brought as pivots, are pivots, and what is known of them."""
+
+    def __init__(self, rows: pa.RecordBatch, percent: int):
+        self.percent = percent
+        self.kind, self.pivot, self.node, self.label, self.n, self.place = (rows.column(c).to_numpy(zero_copy_only=False) for c in range(3, 9))
+        k = rows.column(9)
+        ends = np.frombuffer(k.buffers()[1], np.int32)[k.offset : k.offset + len(k) + 1].astype(np.int64)
+        self.words = np.frombuffer(k.buffers()[2], np.uint64, int(ends[-1]) // 8)
+        self.begin, self.size = ends[:-1] // 8, np.diff(ends) // 8
+
+    def sketches(self, rows: np.ndarray, size: int) -> np.ndarray:
+        """Sketches of rows that have ``size`` words each."""
+        return self.words[self.begin[rows][:, None] + np.arange(size)]
+
+    def worth(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """Which pairs of a pivot and a member are to be compared here."""
+        p, least, most = self.percent, np.minimum(self.n[a], self.n[b]), np.maximum(self.n[a], self.n[b])
+        good = (self.label[a] != self.label[b]) & (100 * least >= p * most)
+        good &= (self.place[a] + self.place[b]) * (100 + p) <= (least + most) * (100 - p)
+        # Of two pivots one does it.
+        return good & ((self.pivot[b] == 0) | (self.node[a] < self.node[b]))
+
+    def few(self, a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Pairs within reach of given ones."""
+        good = self.worth(a, b)
+        a, b = a[good], b[good]
+        x = np.zeros(len(a), np.int64)
+        sizes = self.size[a] * (1 << 32) + self.size[b]
+        for both in np.unique(sizes).tolist():
+            at, (p, q) = np.flatnonzero(sizes == both), divmod(both, 1 << 32)
+            for begin in range(0, len(at), 4096):
+                part = at[begin : begin + 4096]
+                left, right = self.sketches(a[part], p), self.sketches(b[part], q)
+                x[part] = np.bitwise_count(_folded(left, min(p, q)) ^ _folded(right, min(p, q))).sum(axis=1)
+        good = x * (100 + self.percent) <= (self.n[a] + self.n[b]) * (100 - self.percent)
+        return a[good], b[good], x[good]
+
+    def many(self, a: np.ndarray, b: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        """Pairs within reach of all pivots ``a`` and members ``b``."""
+        for p in np.unique(self.size[a]).tolist():
+            for q in np.unique(self.size[b]).tolist():
+                # Sketches of linked sets differ in length by less than this, as those lengths are powers of two.
+                if max(p, q) * self.percent > 200 * min(p, q):
+                    continue
+                i, j = a[self.size[a] == p], b[self.size[b] == q]
+                left, right = _folded(self.sketches(i, p), min(p, q)), _folded(self.sketches(j, q), min(p, q))
+                x, y, d = voronoi_pairs(left, self.n[i], right, self.n[j], self.percent)
+                good = self.worth(i[x], j[y])
+                yield i[x][good], j[y][good], d[good]
+
+    def pairs(self, ends: list[int]) -> pa.RecordBatch:
+        """Pairs within reach of all blocks: a, b, x."""
+        found, left, right, held = [], [], [], 0
+        for begin, end in zip([0, *ends], ends):
+            p = int((self.kind[begin:end] == 0).sum())
+            i, j = np.arange(begin, begin + p), np.arange(begin + p, end)
+            if len(i) * len(j) > 256:
+                found += self.many(i, j)
+                continue
+            left.append(np.repeat(i, len(j)))
+            right.append(np.tile(j, len(i)))
+            held += len(i) * len(j)
+            if held > _TOGETHER:
+                found.append(self.few(np.concatenate(left), np.concatenate(right)))
+                left, right, held = [], [], 0
+        if left:
+            found.append(self.few(np.concatenate(left), np.concatenate(right)))
+        a, b, x = (np.concatenate(column) for column in zip(*found)) if found else (np.arange(0),) * 3
+        a, b = self.node[a], self.node[b]
+        columns = [np.minimum(a, b), np.maximum(a, b), x.astype(np.int64)]
+        return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], ["a", "b", "x"])
+
+
+def _within_reach(current: DataFrame, members: DataFrame, percent: int) -> DataFrame:
+    """Pairs of pivots and members of a cell that are within reach: a, b, x (distance).
+
+    ``current`` has cell, node, place, n, label, pivot, size and firsts (about how many members and pivots the cell has).
+    """
+    name = ["cell", "block", "chunk"]
+    chunks, blocks = F.expr(f"size DIV {_BLOCK} + 1"), F.expr(f"firsts DIV {_BLOCK} + 1")
+    hashed = current.withColumns({"chunks": chunks, "blocks": blocks, "h": F.xxhash64("node")})
+    first = F.lit(0).cast("long")
+    rows = hashed.withColumns({"kind": F.lit(1), "chunk": F.expr("pmod(h, chunks)"), "block": F.explode(F.sequence(first, F.col("blocks") - 1))})
+    firsts = hashed.where("pivot = 1").withColumns({"kind": F.lit(0), "block": F.expr("pmod(h, blocks)"), "chunk": F.explode(F.sequence(first, F.col("chunks") - 1))})
+    columns = [*name, "kind", "pivot", "node", "label", "n", "place"]
+    rows = rows.select(*columns).unionByName(firsts.select(*columns)).join(members.select("node", "k"), "node")
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []  # rows of the last block, which may go on
+        for batch in batches:
+            rows = pa.concat_batches([*held, batch])
+            new = np.zeros(max(0, rows.num_rows - 1), bool)
+            for c in range(3):
+                key = rows.column(c).to_numpy(zero_copy_only=False)
+                new |= key[1:] != key[:-1]
+            ends = (np.flatnonzero(new) + 1).tolist()
+            if ends:
+                yield _Rows(rows, percent).pairs(ends)
+            held = [rows.slice(ends[-1] if ends else 0)]
+        if held and held[0].num_rows:
+            yield _Rows(held[0], percent).pairs([held[0].num_rows])
+
+    ordered = rows.repartition(*name).sortWithinPartitions(*name, "kind").select(*columns, "k")
+    return ordered.mapInArrow(compare, "a long, b long, x long").groupBy("a", "b").agg(F.min("x").alias("x"))
 
 
 def _intersected(pairs: DataFrame, members: DataFrame, percent: int) -> DataFrame:
@@ -238,44 +385,39 @@ def _intersected(pairs: DataFrame, members: DataFrame, percent: int) -> DataFram
     return sizes.where(f"100 * common >= {percent} * (total - common)").select("a", "b")
 
 
-def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 75) -> DataFrame:
-    """Components of documents (doc_id, text) with a similarity of ``percent`` or more.
+def _with_components(sets: DataFrame, labels: DataFrame | None) -> DataFrame:
+    """doc_id, n_shingles and component_id of all documents. Only nodes with copies or links are looked up, in parts."""
+    firsts = sets.where("node IS NOT NULL").groupBy("node").agg(F.min("doc_id").alias("least"), F.count("*").alias("copies"))
+    firsts = _labelled(firsts, labels, "node", "root")
+    shared = firsts.groupBy("root").agg(F.min("least").alias("component_id"), F.sum("copies").alias("size")).where("size > 1")
+    known = firsts.join(shared.select("root", "component_id"), "root").select("node", "component_id")
+    known = known.withColumn("salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(_SALTS - 1).cast("long"))))
+    rows = sets.select("doc_id", F.col("n").alias("n_shingles"), "node", F.pmod(F.xxhash64("doc_id"), F.lit(_SALTS)).alias("salt"))
+    joined = rows.join(known, ["node", "salt"], "left")
+    return joined.select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
 
-    Returns doc_id, n_shingles, component_id (least doc_id of the component), n_links (compared documents of other
-    content that this content is linked with; a spanning part of all links).
-    """
-    seed = 0
-    while True:
-        sets = _sets(docs, width, percent, seed)
-        clash = sets.where("node IS NOT NULL").groupBy("node").agg(F.min("full").alias("a"), F.max("full").alias("b"))
-        if clash.where("a <> b").isEmpty():
-            break
-        seed += 1
-    regions = _cells(sets, percent)
-    table = f"near_members_{uuid.uuid4().hex}"
-    members = _members(docs, sets, regions.select("node").distinct(), width, seed, table)
-    regions = saved(regions.join(members.select("node", "n"), "node"), "near-regions")
-    links = labels = None
-    compared: list[DataFrame] = []
-    low, high = 1, 1
+
+def _joined(regions: DataFrame, members: DataFrame, percent: int) -> DataFrame | None:
+    """Components (u, v) of the nodes of all cells; None if nothing is linked."""
+    labels, many = None, 1
     while True:
         # Cells of one component are done, and those whose pivots are used up.
         current = _labelled(regions, labels, "node", "label")
-        open_ = current.groupBy("cell").agg(F.min("label").alias("a"), F.max("label").alias("b"), F.max("rank").alias("m"))
-        open_ = open_.where("a <> b").where(F.col("m") >= low).select("cell")
-        current = saved(current.join(open_, "cell", "left_semi"), "near-open")
+        parts = current.groupBy("cell", "label").agg(F.count("*").alias("m"), F.min("node").alias("least"))
+        open_ = parts.groupBy("cell").agg(F.sum("m").alias("size"), F.max(F.struct("m", "label")).alias("major"), F.min("least").alias("least"), F.count("*").alias("parts"))
+        open_ = open_.where("parts > 1").selectExpr("cell", "size", "major.label AS major", "size - major.m AS others", "least")
+        if many == 1:
+            pivot, firsts = F.expr("node = least"), F.lit(1).cast("long")
+        else:  # nodes are hashes, so about so many are below; the same ones in all cells
+            share = f"(CAST(node AS DOUBLE) + 9223372036854775808D) / 18446744073709551616D < {many}D / others"
+            pivot, firsts = F.expr(f"label <> major AND (others <= {many} OR {share})"), F.expr(f"least(others, {many}L)")
+        current = current.join(open_, "cell").withColumns({"pivot": pivot.cast("int"), "firsts": firsts})
+        current = saved(current.drop("major", "others", "least"), "near-open")
         if current.isEmpty():
-            break
-        pivots = current.where(F.col("rank").between(low, high)).selectExpr("cell", "node AS p", "n AS p_n", "label AS p_label")
-        pairs = current.join(pivots, "cell").where("label <> p_label")
-        pairs = pairs.where(f"100 * least(n, p_n) >= {percent} * greatest(n, p_n)")
-        pairs = pairs.selectExpr("least(node, p) AS a", "greatest(node, p) AS b").distinct()
-        for earlier in compared:
-            pairs = pairs.join(earlier, ["a", "b"], "left_anti")
-        alive = saved(_sketched(pairs, members, percent), "near-alive")
-        compared.append(alive.select("a", "b"))
+            return labels
+        alive = _within_reach(current, members, percent)
         nearest = F.row_number().over(Window.partitionBy("b").orderBy("x", "a"))
-        alive = saved(alive.where("near").withColumn("turn", F.when(nearest == 1, 1).otherwise(2)), "near-turns")
+        alive = saved(alive.withColumn("turn", F.when(nearest == 1, 1).otherwise(2)), "near-turns")
         for turn in (1, 2):
             asked = alive.where(F.col("turn") == turn)
             if turn > 1:
@@ -283,21 +425,29 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 75) -> DataF
                 asked = asked.where("a_label <> b_label")
             found = saved(_intersected(asked.select("a", "b"), members, percent), "near-links")
             if not found.isEmpty():
-                links = found if links is None else links.unionByName(found)
                 edges = found.selectExpr("a AS u", "b AS v")
                 labels = components(edges if labels is None else edges.unionByName(labels))
-        low, high = high + 1, high * 4
-    spark = docs.sparkSession
-    spark.sql(f"DROP TABLE {table}")
-    rooted = sets.drop("cells", "full")
-    if labels is not None:
-        degree = links.select(F.explode(F.array("a", "b")).alias("node")).groupBy("node").agg(F.count("*").alias("n_links"))
-        known = labels.select(F.col("u").alias("node"), F.col("v").alias("root")).join(degree, "node", "full")
-        rooted = rooted.join(known, "node", "left")
-        rooted = rooted.withColumns({"root": F.coalesce("root", "node"), "n_links": F.coalesce("n_links", F.lit(0))})
-    else:
-        rooted = rooted.withColumns({"root": F.col("node"), "n_links": F.lit(0).cast("long")})
-    least = rooted.where("root IS NOT NULL").groupBy("root").agg(F.min("doc_id").alias("least"))
-    joined = rooted.join(least, "root", "left")
-    component = F.when(F.col("root").isNull(), F.col("doc_id")).otherwise(F.col("least"))
-    return joined.select("doc_id", F.col("n").alias("n_shingles"), component.alias("component_id"), "n_links")
+        regions = current.where("pivot = 0").select("cell", "node", "place", "n")
+        many *= 32
+
+
+def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 75) -> DataFrame:
+    """Components of documents (doc_id, text) with a similarity of ``percent`` or more.
+
+    Returns doc_id, n_shingles, component_id (least doc_id of the component).
+    """
+    seed = 0
+    while True:
+        sets = _sets(docs, width, percent, seed)
+        clash = sets.where("node IS NOT NULL").groupBy("node").agg(F.min("full").alias("a"), F.max("full").alias("b"))
+        if clash.where("a <> b").isEmpty():
+            break
+        seed += 1
+    regions = _cells(sets, percent)
+    table = f"near_members_{uuid.uuid4().hex}"
+    try:
+        members = _members(docs, sets, regions.select("node").distinct(), width, seed, table)
+        labels = _joined(regions, members, percent)
+    finally:
+        docs.sparkSession.sql(f"DROP TABLE IF EXISTS {table}")
+    return _with_components(sets, labels)
