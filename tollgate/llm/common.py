@@ -47,14 +47,26 @@ def saved(df: DataFrame, name: str, keep: bool = False) -> DataFrame:
     df.write.parquet(path)
     if not keep:
         _temporary.setdefault(df.sparkSession.sparkContext.applicationId, []).append(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    table = df.sparkSession.read.schema(df.schema).parquet(path)
+    table.saved_at = path
+    return table
+
+
+def _remove(spark: SparkSession, path: str) -> None:
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+
+
+def drop(*tables: DataFrame) -> None:
+    """Remove tables that ``saved`` returned, when all that is derived from them has been written."""
+    for table in tables:
+        _remove(table.sparkSession, table.saved_at)
 
 
 def discard(spark: SparkSession) -> None:
     """Remove this session's intermediate tables. What was derived from them must have been written."""
     for path in _temporary.pop(spark.sparkContext.applicationId, []):
-        place = spark._jvm.org.apache.hadoop.fs.Path(path)
-        place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+        _remove(spark, path)
 
 
 def words(text: Column) -> Column:

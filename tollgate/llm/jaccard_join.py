@@ -46,7 +46,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tollgate.llm.common import saved
+from tollgate.llm.common import drop, saved
 
 #: A window is longer than the least by one in so many of a set's shingles.
 _EXTRA = 20
@@ -131,16 +131,19 @@ def _cells(sets: DataFrame, percent: int) -> DataFrame:
     entered = sets.where("cells IS NOT NULL").select(F.posexplode("cells").alias("place", "cell"), "node")
     members = entered.repartition("cell").groupBy("cell", "node").agg(F.first("place").alias("place"))
     several = members.withColumn("m", F.count("*").over(Window.partitionBy("cell"))).where("m > 1")
-    several = saved(several.select("cell", "node", "place"), "near-shared")
-    company = several.groupBy("node").agg(F.count("*").alias("k"))
+    shared = saved(several.select("cell", "node", "place"), "near-shared")
+    company = shared.groupBy("node").agg(F.count("*").alias("k"))
     # A partner has at least this part of the shingles, so both windows hold as many common ones as its extra.
     least = f"greatest(1, 1 + ceil({percent} * n / 100) div {_EXTRA})"
     near = company.join(sets.where("cells IS NOT NULL").select("node", "n").distinct(), "node").where(f"k >= {least}")
-    several = saved(several.join(near.select("node", "n"), "node"), "near-cells")
+    several = saved(shared.join(near.select("node", "n"), "node"), "near-cells")
+    drop(shared)
     same = several.groupBy("cell").agg(F.count("*").alias("m"), F.bit_xor("node").alias("x"), F.bit_xor(F.xxhash64("node")).alias("y"))
     # The least of such cells, as a pair's first cell must stay.
     chosen = same.where("m > 1").groupBy("m", "x", "y").agg(F.min("cell").alias("cell")).select("cell")
-    return saved(several.join(chosen, "cell"), "near-regions")
+    regions = saved(several.join(chosen, "cell"), "near-regions")
+    drop(several)
+    return regions
 
 
 def sketch(s: np.ndarray) -> np.ndarray:
@@ -160,6 +163,12 @@ def differing(a: bytes, b: bytes) -> int:
     return int(np.bitwise_count(x ^ y).sum())
 
 
+def _short(s: np.ndarray) -> bytes:
+    """A set's sketch folded once: cells hold one for each of their members."""
+    words = sketch(s).view(np.uint64)[None]
+    return _folded(words, max(1, words.shape[1] // 2)).tobytes()
+
+
 def _members(docs: DataFrame, sets: DataFrame, nodes: DataFrame, width: int, seed: int, table: str) -> DataFrame:
     """Sets of ``nodes`` as a bucketed table: node, n, k (sketch), s. A document is read for each."""
     wanted = sets.join(nodes, "node", "left_semi").groupBy("node").agg(F.min("doc_id").alias("doc_id"), F.min("n").alias("n"))
@@ -182,7 +191,7 @@ def _members(docs: DataFrame, sets: DataFrame, nodes: DataFrame, width: int, see
                 yield pd.DataFrame(
                     {
                         "node": np.array(node, np.int64), "n": np.array([len(s) for s in found], np.int64),
-                        "k": [sketch(s).tobytes() for s in found], "s": [s.view(np.int64) for s in found],
+                        "k": [_short(s) for s in found], "s": [s.view(np.int64) for s in found],
                     }
                 )
 
@@ -399,7 +408,7 @@ def _with_components(sets: DataFrame, labels: DataFrame | None) -> DataFrame:
 
 def _joined(regions: DataFrame, members: DataFrame, percent: int) -> DataFrame | None:
     """Components (u, v) of the nodes of all cells; None if nothing is linked."""
-    labels, many = None, 1
+    labels, many, last = None, 1, regions
     while True:
         # Cells of one component are done, and those whose pivots are used up.
         current = _labelled(regions, labels, "node", "label")
@@ -413,6 +422,8 @@ def _joined(regions: DataFrame, members: DataFrame, percent: int) -> DataFrame |
             pivot, firsts = F.expr(f"label <> major AND (others <= {many} OR {share})"), F.expr(f"least(others, {many}L)")
         current = current.join(open_, "cell").withColumns({"pivot": pivot.cast("int"), "firsts": firsts})
         current = saved(current.drop("major", "others", "least"), "near-open")
+        drop(last)  # all that the cells are now is in the table of open ones
+        last = current
         if current.isEmpty():
             return labels
         alive = _within_reach(current, members, percent)
@@ -427,6 +438,8 @@ def _joined(regions: DataFrame, members: DataFrame, percent: int) -> DataFrame |
             if not found.isEmpty():
                 edges = found.selectExpr("a AS u", "b AS v")
                 labels = components(edges if labels is None else edges.unionByName(labels))
+            drop(found)
+        drop(alive)
         regions = current.where("pivot = 0").select("cell", "node", "place", "n")
         many *= 32
 
