@@ -14,7 +14,7 @@ from tollgate.model import MESSAGE, RAW, STANDARD
 from tollgate.operators.raw import parse_raw
 from tollgate.operators.routing import table_rows
 from tollgate.operators.standard import parse_standard
-from tollgate.operators import schema_driven, validate
+from tollgate.operators import enrich, schema_driven, transforms, validate
 from tollgate.plans import avro, reports, revisions, tables
 from tollgate.sources.messages import merge_streams, stream_landing
 from tollgate.streaming import jobs, monitor, stateful
@@ -295,6 +295,94 @@ def test_relay_then_evolution(spark, tmp_path, names):
     assert {r.schema_name for r in rows} == {SCHEMA_NAME}
 
 
+def test_evolution_resumes_after_a_cut_at_any_step(spark, tmp_path, names, monkeypatch):
+    """Whatever step a call stopped after, repeating it ends as one whole call does."""
+    table, wider = names("rides_cut"), [c.name for c in avro.table_struct(RIDE_V2)]
+    first = revisions.commit(spark, str(tmp_path / "registry"), SCHEMA_NAME, RIDE_V1)
+    for number, (owner, step) in enumerate([
+        (revisions, "commit"), (revisions, "set_range"), (revisions, "load"), (tables, "evolve_table"), (jobs, "start_schema_driven"),
+    ]):
+        own = tmp_path / str(number)
+        registry, topics, name = str(own / "registry"), str(own / "topics"), f"{table}_{number}"
+        names(name)
+        assert revisions.commit(spark, registry, SCHEMA_NAME, RIDE_V1) == first
+        revisions.set_range(spark, topics, "rides", SCHEMA_NAME, 1, 1)
+        tables.evolve_table(spark, name, avro.table_struct(RIDE_V1), "publish_time", str(own / "table"))
+        land(spark, own / "landing", [json.dumps({**RIDE, **ADDED})])
+        target = jobs.Target(name, str(own / "cp"), jobs.CATCH_UP)
+        call = lambda: jobs.evolve(  # noqa: B023, E731
+            spark, registry, SCHEMA_NAME, RIDE_V2, target, None, lambda: stream_landing(spark, str(own / "landing")), "sub",
+            topics=topics, topic="rides",
+        )
+        done = getattr(owner, step)
+
+        def cut(*args, **kwargs):
+            result = done(*args, **kwargs)  # noqa: B023
+            if step == "start_schema_driven":  # noqa: B023
+                result.stop()
+            raise ConnectionError(step)  # noqa: B023
+
+        with monkeypatch.context() as patched:
+            patched.setattr(owner, step, cut)
+            with pytest.raises(ConnectionError):
+                call()
+        query, allowed = call()
+        finish(query)
+        assert [r.ordinal for r in allowed] == [2, 1]
+        assert [(r.first, r.last) for r in revisions.ranges(spark, topics, "rides")] == [(1, 1), (1, 2)]
+        assert set(wider) <= set(spark.table(name).columns)
+        assert [r.region for r in spark.table(name).collect()] == [ADDED["region"]]
+
+
+def test_evolution_keeps_a_raised_first_revision(spark, tmp_path, names):
+    registry, topics, table = str(tmp_path / "registry"), str(tmp_path / "topics"), names("rides_raised")
+    for definition in (RIDE_V1, RIDE_V2):
+        revisions.commit(spark, registry, SCHEMA_NAME, definition)
+    revisions.set_range(spark, topics, "rides", SCHEMA_NAME, 2, 2)
+    tables.evolve_table(spark, table, avro.table_struct(RIDE_V2), "publish_time", str(tmp_path / "table"))
+    third = json.loads(RIDE_V2)
+    third["fields"].append({"name": "note", "type": ["null", "string"], "default": None})
+    land(spark, tmp_path / "landing", [json.dumps(RIDE)])
+    query, allowed = jobs.evolve(
+        spark, registry, SCHEMA_NAME, json.dumps(third), jobs.Target(table, str(tmp_path / "cp"), jobs.CATCH_UP), None,
+        lambda: stream_landing(spark, str(tmp_path / "landing")), "sub", topics=topics, topic="rides",
+    )
+    finish(query)
+    assert [r.ordinal for r in allowed] == [3, 2]
+    assert [(r.first, r.last) for r in revisions.ranges(spark, topics, "rides")] == [(2, 2), (2, 3)]
+
+
+def test_jobs_take_transforms(spark, tmp_path, names):
+    """Before delivery: refused messages are dead letters, filtered ones are counted. Before validation: refused are rejected."""
+    table, landing = names("rides_linked"), tmp_path / "landing"
+    jobs.create_tables(spark, table, STANDARD, str(tmp_path / "table"))
+    point = lambda d: d["point_idx"].try_cast("bigint")
+    links = [
+        transforms.Link("point", refuses=lambda d: F.when(point(d) < 0, "TYPE_MISMATCH:point_idx")),
+        enrich.ride_enrichment(),
+        transforms.Link("north", keeps=lambda d: d["region"].try_cast("string") == "north", sets=lambda d: {"point_idx": point(d) + 1}),
+    ]
+    south, negative = {**RIDE, "latitude": 1.0}, {**RIDE, "point_idx": -1}
+    land(spark, landing, [json.dumps({**RIDE, "point_idx": 7})] * 2 + [json.dumps(south), json.dumps(negative), "{broken", "[]"])
+    target = jobs.Target(table, str(tmp_path / "cp"), jobs.CATCH_UP)
+    query = jobs.start_standard(stream_landing(spark, str(landing)), "sub", target, links)
+    finish(query)
+    assert [r.point_idx for r in spark.table(table).collect()] == [8, 8]
+    dead = {r.original_payload: r.error_message for r in spark.table(f"{table}_dlq").collect()}
+    assert dead == {
+        json.dumps(negative): "value does not have the type of the column: point_idx",
+        "{broken": "payload is not exactly one JSON value",
+    }
+    counted = [p["observedMetrics"]["transforms"].asDict() for p in query.recentProgress if "transforms" in p["observedMetrics"]]
+    assert counted == [{"delivered": 2, "filtered": 2, "refused": 2}]
+
+    topic, first = str(tmp_path / "topic"), revisions.commit(spark, str(tmp_path / "registry"), SCHEMA_NAME, RIDE_V1)
+    messages = stream_landing(spark, str(landing))
+    finish(jobs.start_relay(messages, [first], SCHEMA_NAME, topic, str(tmp_path / "cp_relay"), jobs.CATCH_UP, links))
+    reasons = [r.reject_reason for r in spark.read.parquet(topic).collect()]
+    assert sorted(reasons, key=str) == ["INVALID_JSON", None, None, "TYPE_MISMATCH:point_idx"]
+
+
 def test_two_producers_merge_into_one_stream(spark, tmp_path, names):
     table = names("rides_merged")
     jobs.create_tables(spark, table, RAW, str(tmp_path / "t"))

@@ -1,14 +1,15 @@
 """Schemas, revisions, governance checks, enrichment and batching."""
 
 import json
-from datetime import date, datetime
+from datetime import date, datetime, timezone
 
 import pytest
 from pyspark.sql import functions as F
 
 from sample import ADDED, RIDE
 from tollgate.model import DEAD_LETTER, ENVELOPE, MESSAGE, RAW, STANDARD
-from tollgate.operators import batching, enrich, routing, schema_driven, validate
+from tollgate.operators import batching, enrich, routing, schema_driven, transforms, validate
+from tollgate.operators.transforms import Link
 from tollgate.plans import avro, reports, revisions
 from tollgate.sources.messages import from_kafka
 from tollgate.workload.definitions import REVISION_1, REVISION_2, RIDE_V1, RIDE_V2
@@ -19,7 +20,7 @@ def record(*fields):
 
 
 def messages(spark, payloads, attributes=None):
-    rows = [(bytearray((p if isinstance(p, str) else json.dumps(p)).encode()), attributes, str(i), None) for i, p in enumerate(payloads)]
+    rows = [(bytearray(p if isinstance(p, bytes) else (p if isinstance(p, str) else json.dumps(p)).encode()), attributes, str(i), None) for i, p in enumerate(payloads)]
     return spark.createDataFrame(rows, MESSAGE)
 
 
@@ -180,7 +181,7 @@ def test_enrichment_keeps_other_members_byte_for_byte(spark):
 
 
 def test_a_filter_delivers_json_only(spark):
-    keep = enrich.keep_if(lambda cells: cells["p"].try_cast("bigint") > 0, "p")
+    keep = enrich.chain([enrich.keep_if(lambda document: document["p"].try_cast("bigint") > 0)])
     texts = ['{"p":1}', '{"p":1},2', '{"p":1},{"$digest":"x"}', '{"p":0}', "[1]"]
     assert [r.message_id for r in keep(messages(spark, texts)).collect()] == ["0"]
 
@@ -202,7 +203,61 @@ def test_enrichment(spark):
 
 def test_a_chain_has_five_transforms():
     with pytest.raises(ValueError, match="at most 5"):
-        enrich.chain([lambda df: df] * 6)
+        enrich.chain([enrich.ride_enrichment()] * 6)
+
+
+def test_a_chain_parses_once_and_writes_once(spark):
+    links = [Link(f"l{n}", sets=lambda d, n=n: {f"m{n}": (F.lit(n) if n == 0 else d[f"m{n - 1}"].try_cast("int") + 1)}) for n in range(5)]
+    df = transforms.apply(messages(spark, ['{"a":1e400}', "[7]", '{"m3":null,"b":2}']), links)
+    spark.conf.set("spark.sql.debug.maxToStringFields", 10_000)
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    spark.conf.unset("spark.sql.debug.maxToStringFields")
+    assert plan.count("parseJson") == 1 and plan.count("to_json(") <= 6
+    rows = {r.message_id: bytes(r.data).decode() for r in df.collect()}
+    assert rows["0"] == '{"a":1e400,"m0":0,"m1":1,"m2":2,"m3":3,"m4":4}' and rows["1"] == "[7]"
+    assert json.loads(rows["2"]) == {"b": 2, **{f"m{n}": n for n in range(5)}}
+
+
+def test_the_first_link_to_refuse_or_filter_decides(spark):
+    """Later links are not evaluated: dividing by what an earlier one refused would fail."""
+    number = lambda d: d["n"].try_cast("int")
+    links = [
+        Link("text", refuses=lambda d: F.when(number(d).isNull(), "TYPE_MISMATCH:n")),
+        Link("zero", keeps=lambda d: number(d) != 0),
+        Link("share", sets=lambda d: {"n": 100 / number(d), "it's": F.lit('"\\')}),
+        Link("small", refuses=lambda d: F.when(d["n"].try_cast("double") > 50, "TYPE_MISMATCH:n"), keeps=lambda d: d["n"].try_cast("double") < 40),
+    ]
+    texts = ['{"n":5}', '{"n":0}', '{"n":"x"}', '{"n":1}', '{"n":2}', '{"n":null}', "null", " null\n", "{", b"\xff", "", "[]"]
+    rows = {int(r.message_id): r for r in transforms.apply(messages(spark, texts), links).collect()}
+    assert json.loads(bytes(rows[0].data)) == {"n": 20.0, "it's": '"\\'}
+    assert {n: r._dropped_by for n, r in rows.items() if r._dropped_by} == {1: "zero", 4: "small"}
+    assert {n: r._error for n, r in rows.items() if r._error} == {
+        2: "TYPE_MISMATCH:n", 3: "TYPE_MISMATCH:n", 5: "TYPE_MISMATCH:n", 6: "NOT_AN_OBJECT", 7: "NOT_AN_OBJECT",
+        8: "INVALID_JSON", 9: "INVALID_UTF8", 10: "INVALID_JSON", 11: "TYPE_MISMATCH:n",
+    }
+    assert bytes(rows[3].data).decode() == texts[3] and rows[3]._payload == texts[3] and rows[9]._payload == "0xFF"
+    assert transforms.apply(messages(spark, []), links).count() == 0
+
+
+def test_ranges_of_a_topic(spark, tmp_path):
+    path = str(tmp_path / "topics")
+    at = lambda day: datetime(2026, 1, day, tzinfo=timezone.utc)
+    assert revisions.ranges(spark, path, "t") == []
+    first = revisions.set_range(spark, path, "t", "rides", 1, 1, at(5))
+    assert revisions.set_range(spark, path, "t", "rides", 1, 1) == first
+    second = revisions.set_range(spark, path, "t", "rides", 2, 2, at(9))
+    revisions.set_range(spark, path, "other", "rides", 1, 2, at(1))
+    assert revisions.ranges(spark, path, "t") == [first, second]
+    with pytest.raises(ValueError, match="cannot be changed"):
+        revisions.set_range(spark, path, "t", "rides", 1, 2, at(8))
+    with pytest.raises(ValueError, match="no range"):
+        revisions.set_range(spark, path, "t", "rides", 2, 1)
+    source = messages(spark, [RIDE] * 4 + ["{"])
+    days = F.element_at(F.array(*[F.lit(t) for t in (at(1), at(5), at(8), at(9), at(1))]), F.col("message_id").cast("int") + 1)
+    checked = validate.check(source.withColumn("publish_time", days), [REVISION_1, REVISION_2], [first, second])
+    got = [(r.revision_id, r.reject_reason) for r in checked.orderBy("message_id").collect()]
+    one, two = REVISION_1.revision_id, REVISION_2.revision_id
+    assert got == [(None, "NO_REVISION"), (one, None), (one, None), (two, None), (None, "INVALID_JSON")]
 
 
 def test_enrichment_may_run_before_or_after_validation(spark):

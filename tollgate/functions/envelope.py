@@ -13,10 +13,13 @@ SCHEMA_ENCODING_KEY = "googclient_schemaencoding"
 # A column that messages may have beyond their own: the batch of a table that they are read from again.
 ORIGIN = "_origin"
 
+# Another: the error and payload of a message that a chain of transforms refused, both NULL for the others.
+REFUSED = "_refused"
+
 
 def carried(df: DataFrame) -> list[str]:
-    """The origin, if the rows have one; the paths hand it on."""
-    return [ORIGIN] if ORIGIN in df.columns else []
+    """The origin and the refusal, if the rows have them; the paths hand them on."""
+    return [name for name in (ORIGIN, REFUSED) if name in df.columns]
 
 
 def attributes_json(attributes: Column) -> Column:

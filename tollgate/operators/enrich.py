@@ -1,4 +1,4 @@
-"""Per-message transforms: enrichment, filters, and chains of them."""
+"""Enrichment of rides, filters, and chains of them; see ``operators.transforms``."""
 
 from __future__ import annotations
 
@@ -9,12 +9,12 @@ from pyspark.sql import functions as F
 
 from tollgate.functions import jsonx
 from tollgate.model import MESSAGE
+from tollgate.operators import transforms
+from tollgate.operators.routing import ERROR
+from tollgate.operators.transforms import Document, Link
 
 Transform = Callable[[DataFrame], DataFrame]
 
-# Fixed value: how many transforms one topic or subscription may have.
-MAX_TRANSFORMS = 5
-
 # Text that JavaScript converts to a number when it is compared with one.
 _NUMERIC_TEXT = r"\A\s*([+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?)\s*\z"
 
@@ -44,69 +44,39 @@ def iso_millis(clock: Column) -> Column:
     return F.date_format(clock, "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'")
 
 
+def ride_enrichment(clock: Column | None = None) -> Link:
+    """The link that sets ``enrichment_timestamp`` and ``region`` by the clock and the latitude."""
+
+    def sets(document: Document) -> dict[str, Column]:
+        now = F.current_timestamp() if clock is None else clock
+        latitude = F.expr(latitude_of(document.sql("latitude")))
+        return {"enrichment_timestamp": iso_millis(now), "region": region_of(latitude)}
+
+    return Link("enrich_rides", sets=sets)
+
+
 def enrich_rides(messages: DataFrame, clock: Column | None = None) -> DataFrame:
     """Set ``enrichment_timestamp`` and ``region`` in each payload, keeping all other members.
 
-    A payload that has neither keeps its text byte for byte up to the closing brace. One that has either is
-    written anew, because the old value must go: its members stay equal, but not their spelling or order.
-
     A JSON payload that is not an object has no members to set and passes unchanged. One that is
     not JSON, or is ``null``, cannot be transformed and is not delivered; see
     ``untransformable``.
     """
-    clock = F.current_timestamp() if clock is None else clock
-    df = _with_members(messages).where(_transformable())
-    values = {
-        "enrichment_timestamp": iso_millis(clock),
-        "region": region_of(F.expr(latitude_of("_cells['latitude']"))),
-    }
-    # Neither value holds a character that JSON escapes.
-    members = F.concat(*[F.concat(F.lit(f',"{name}":"'), value, F.lit('"')) for name, value in values.items()])
-    # The text is one object: before its last brace the members are added, and nothing else changes.
-    body = F.regexp_replace("_text", r"[ \t\r\n]*\}[ \t\r\n]*\z", "")
-    members = F.when(F.size("_cells") == 0, F.substr(members, F.lit(2))).otherwise(members)
-    spliced = F.concat(body, members, F.lit("}"))
-    added = F.create_map(*[x for name, value in values.items() for x in (F.lit(name), value.cast("variant"))])
-    others = F.map_filter("_cells", lambda key, _: ~key.isin(*values))
-    replaced = F.to_json(F.map_concat(others, added))
-    has_either = F.exists(F.map_keys("_cells"), lambda key: key.isin(*values))
-    enriched = F.when(has_either, replaced).when(~has_either, spliced).cast("binary")
-    return df.withColumn("data", F.coalesce(enriched, F.col("data"))).select(*MESSAGE.fieldNames())
+    return transforms.delivered(transforms.apply(messages, [ride_enrichment(clock)]))
 
 
 def untransformable(messages: DataFrame) -> DataFrame:
-    """The messages ``enrich_rides`` cannot deliver."""
-    return _with_members(messages).where(~_transformable()).select(*MESSAGE.fieldNames())
-
-
-def _with_members(messages: DataFrame) -> DataFrame:
-    df = messages.select(*MESSAGE.fieldNames(), jsonx.decode_utf8(F.col("data")).alias("_text"))
-    return jsonx.with_members(df)
-
-
-def _transformable() -> Column:
-    return F.col("_is_json") & (F.trim("_text") != "null")
-
-
-def chain(transforms: Sequence[Transform]) -> Transform:
-    """One transform that applies up to five in order."""
-    if len(transforms) > MAX_TRANSFORMS:
-        raise ValueError(f"at most {MAX_TRANSFORMS} transforms, got {len(transforms)}")
-
-    def apply(messages: DataFrame) -> DataFrame:
-        for transform in transforms:
-            messages = transform(messages).select(*MESSAGE.fieldNames())
-        return messages
-
-    return apply
+    """The messages no transform can read."""
+    return transforms.apply(messages, []).where(F.col(ERROR).isNotNull()).select(*MESSAGE.fieldNames())
 
 
-def keep_if(predicate: Callable[[Column], Column], *names: str) -> Transform:
-    """A filter over payload members: ``predicate`` gets the struct of the named variants."""
+def chain(links: Sequence[Link]) -> Transform:
+    """One transform that applies up to five in order and delivers what goes through all of them."""
+    if len(links) > transforms.MAX_TRANSFORMS:
+        raise ValueError(f"at most {transforms.MAX_TRANSFORMS} transforms, got {len(links)}")
+    return lambda messages: transforms.delivered(transforms.apply(messages, links))
 
-    def apply(messages: DataFrame) -> DataFrame:
-        df = messages.select(*MESSAGE.fieldNames(), jsonx.decode_utf8(F.col("data")).alias("_text"))
-        # What is not JSON has no members, whatever its beginning looks like.
-        return jsonx.with_cells(df, names).where(F.col("_is_json") & predicate(F.col("_cells")))
 
-    return apply
+def keep_if(predicate: Callable[[Document], Column], name: str = "keep_if") -> Link:
+    """The link that keeps messages for which ``predicate`` of the document is true."""
+    return Link(name, keeps=predicate)

@@ -12,7 +12,7 @@ from tollgate.functions import envelope, jsonx
 from tollgate.model import MESSAGE
 from tollgate.operators import routing
 from tollgate.plans import avro
-from tollgate.plans.revisions import Revision
+from tollgate.plans.revisions import Range, Revision
 
 
 def _violation(f: avro.AvroField) -> str:
@@ -26,18 +26,33 @@ def _violation(f: avro.AvroField) -> str:
     return routing.first_failure(*checks, (f.nonconforming(value), f"TYPE_MISMATCH:{f.name}"))
 
 
-def check(messages: DataFrame, revisions: Sequence[Revision]) -> DataFrame:
+def _range_of(ranges: Sequence[Range]) -> Column:
+    """The range that holds at a message's publish time; the last for a message without one.
+
+    A message from before the first range has none, and matches no revision.
+    """
+    known = F.array(*[F.struct(F.lit(r.since).alias("since"), F.lit(r.first).alias("first"), F.lit(r.last).alias("last")) for r in ranges])
+    begun = F.filter(known, lambda r: F.col("publish_time").isNull() | (r["since"] <= F.col("publish_time")))
+    return F.try_element_at(begun, F.lit(-1))
+
+
+def check(messages: DataFrame, revisions: Sequence[Revision], ranges: Sequence[Range] = ()) -> DataFrame:
     """Add ``revision_id`` and ``reject_reason`` to messages; exactly one of them is set.
 
+    With ``ranges``, in the order in which they hold, a message is checked against the revisions that its topic allowed
+    when it was published; where there are none, the reason is ``NO_REVISION``.
+
     Revisions are tried from the newest to the oldest and the first match is stamped. The
     reason of a rejected message is the one the newest revision gives. A field is checked once for
     all revisions that declare it alike, so a further revision costs what it changes.
     """
     newest_first = sorted(revisions, key=lambda r: r.ordinal, reverse=True)
     fields = {f.name: f for r in newest_first for f in avro.fields_of(r.definition)}
-    df = messages.select(*MESSAGE.fieldNames(), jsonx.decode_utf8(F.col("data")).alias("_text"))
+    df = messages.select(*MESSAGE.fieldNames(), *envelope.carried(messages), jsonx.decode_utf8(F.col("data")).alias("_text"))
     df = jsonx.with_cells(df, list(fields))
     unreadable = F.expr(routing.first_failure(*routing.UNREADABLE))
+    if envelope.REFUSED in messages.columns:
+        unreadable = F.coalesce(f"{envelope.REFUSED}.error", unreadable)
     of_revision = [avro.fields_of(r.definition) for r in newest_first]
     declared = [[(f.name, f.base, f.nullable) for f in own] for own in of_revision]
     shared = {key: f for keys, own in zip(declared, of_revision) for key, f in zip(keys, own)}
@@ -45,22 +60,29 @@ def check(messages: DataFrame, revisions: Sequence[Revision]) -> DataFrame:
     for run in jsonx.chunks(list(shared)):
         df = jsonx.once(df, **{columns[key]: _violation(shared[key]) for key in run})
     reasons = [F.coalesce(unreadable, *[F.col(columns[key]) for key in keys]) for keys in declared]
-    stamps = [F.when(why.isNull(), F.lit(r.revision_id)) for r, why in zip(newest_first, reasons)]
+    allowed = [F.lit(True)] * len(reasons)
+    if ranges:
+        df = jsonx.once(df, _range=_range_of(ranges))
+        allowed = [F.lit(r.ordinal).between(F.col("_range.first"), F.col("_range.last")) for r in newest_first]
+    stamps = [F.when(may & why.isNull(), F.lit(r.revision_id)) for r, why, may in zip(newest_first, reasons, allowed)]
     revision_id = F.coalesce(*stamps)
+    reason = reasons[0]
+    if ranges:
+        reason = F.coalesce(unreadable, *[F.when(may, why) for why, may in zip(reasons, allowed)], F.lit("NO_REVISION"))
     return df.select(
         *MESSAGE.fieldNames(),
         revision_id.alias("revision_id"),
-        F.when(revision_id.isNull(), reasons[0]).alias("reject_reason"),
+        F.when(revision_id.isNull(), reason).alias("reject_reason"),
     )
 
 
-def relay(messages: DataFrame, revisions: Sequence[Revision], schema_name: str) -> DataFrame:
+def relay(messages: DataFrame, revisions: Sequence[Revision], schema_name: str, ranges: Sequence[Range] = ()) -> DataFrame:
     """Re-publish messages to a validated topic: MESSAGE columns and ``reject_reason``.
 
     Only the payload is re-published. An accepted message carries the three governance
     attributes and nothing else; a rejected one carries none.
     """
-    checked = check(messages, revisions)
+    checked = check(messages, revisions, ranges)
     stamps = envelope.stamped(F.lit(None), schema_name, F.col("revision_id"))
     return checked.select(
         "data",

@@ -6,6 +6,7 @@ A schema has at most twenty revisions, so reading one schema's rows on the drive
 from __future__ import annotations
 
 from dataclasses import dataclass
+from datetime import datetime, timezone
 from hashlib import sha256
 
 from pyspark.errors import AnalysisException
@@ -18,6 +19,7 @@ from tollgate.plans import avro
 MAX_REVISIONS = 20
 ID_LENGTH = 8
 
+RANGES = "topic string, schema_name string, first int, last int, since timestamp, version int"
 SCHEMA = "schema_name string, revision_id string, ordinal int, definition string"
 
 
@@ -35,6 +37,57 @@ def make_revision(schema_name: str, ordinal: int, definition: str) -> Revision:
     return Revision(schema_name, digest[:ID_LENGTH], ordinal, definition)
 
 
+@dataclass(frozen=True)
+class Range:
+    """The revisions that a topic allows from ``since`` until the next range."""
+
+    topic: str
+    schema_name: str
+    first: int
+    last: int
+    since: datetime
+    version: int
+
+
+def ranges(spark: SparkSession, path: str, topic: str) -> list[Range]:
+    """All ranges a topic has had, in the order in which they hold; the last is the current one.
+
+    A range is set by hand, or once a revision, so a topic has few.
+    """
+    try:
+        table = spark.read.schema(RANGES).parquet(path)
+    except AnalysisException as error:
+        if error.getCondition() == "PATH_NOT_FOUND":
+            return []
+        raise
+    # Instants leave Spark as numbers: rows would hold them in the clock of this process.
+    rows = table.where(F.col("topic") == topic).withColumn("since", F.unix_micros("since")).orderBy("since", "version").collect()
+    return [Range(**{**row.asDict(), "since": datetime.fromtimestamp(row["since"] / 1e6, timezone.utc)}) for row in rows]
+
+
+def set_range(
+    spark: SparkSession, path: str, topic: str, schema_name: str, first: int, last: int, since: datetime | None = None
+) -> Range:
+    """Allow the revisions ``first`` to ``last`` on a topic, from ``since`` (now) on.
+
+    The current range is returned as it is if it has these limits, so a call can be repeated.
+    """
+    if not 1 <= first <= last:
+        raise ValueError(f"no range of revisions: {first} to {last}")
+    stored = ranges(spark, path, topic)
+    if stored and (stored[-1].schema_name, stored[-1].first, stored[-1].last) == (schema_name, first, last):
+        return stored[-1]
+    since = since or datetime.now(timezone.utc)
+    if stored and since < stored[-1].since:
+        raise ValueError(f"the range of {topic} since {stored[-1].since} cannot be changed for earlier messages")
+    new = Range(topic, schema_name, first, last, since, len(stored) + 1)
+    row = spark.createDataFrame([tuple(vars(new).values())], RANGES)
+    row.coalesce(1).write.mode("append").parquet(path)
+    if sum(r.version == new.version for r in ranges(spark, path, topic)) > 1:
+        raise ValueError(f"another range of {topic} was set at the same time")
+    return new
+
+
 def load(
     spark: SparkSession,
     path: str,

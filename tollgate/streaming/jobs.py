@@ -8,7 +8,7 @@ changed projection.
 from __future__ import annotations
 
 import re
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 from concurrent.futures import Future
 from dataclasses import dataclass
 from datetime import date
@@ -21,10 +21,11 @@ from pyspark.sql.streaming import StreamingQuery
 
 from tollgate.functions import envelope
 from tollgate.model import DEAD_LETTER, RAW, STANDARD
-from tollgate.operators import routing, validate
+from tollgate.operators import routing, transforms, validate
 from tollgate.operators.raw import as_messages, parse_raw
 from tollgate.operators.schema_driven import parse_schema_driven
 from tollgate.operators.standard import parse_standard
+from tollgate.operators.transforms import Link
 from tollgate.plans import avro, revisions, tables
 from tollgate.sources.messages import bounded_stream
 
@@ -109,12 +110,19 @@ def _start_with_dead_letters(parsed: DataFrame, schema, target: Target) -> Strea
     return target.start(_observed(parsed), fan_out(target))
 
 
-def start_standard(messages: DataFrame, subscription: str, target: Target) -> StreamingQuery:
-    return _start_with_dead_letters(parse_standard(messages, subscription), STANDARD, target)
+def _through(links: Sequence[Link], messages: DataFrame, parse: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """Parsed messages of a subscription whose transforms run before delivery, refused ones among the dead letters."""
+    return transforms.after(parse(transforms.before(messages, links))) if links else parse(messages)
 
 
-def start_raw(messages: DataFrame, subscription: str, target: Target) -> StreamingQuery:
-    return _start_with_dead_letters(parse_raw(messages, subscription), RAW, target)
+def start_standard(messages: DataFrame, subscription: str, target: Target, links: Sequence[Link] = ()) -> StreamingQuery:
+    parsed = _through(links, messages, lambda df: parse_standard(df, subscription))
+    return _start_with_dead_letters(parsed, STANDARD, target)
+
+
+def start_raw(messages: DataFrame, subscription: str, target: Target, links: Sequence[Link] = ()) -> StreamingQuery:
+    parsed = _through(links, messages, lambda df: parse_raw(df, subscription))
+    return _start_with_dead_letters(parsed, RAW, target)
 
 
 def start_schema_driven(
@@ -124,14 +132,21 @@ def start_schema_driven(
     target: Target,
     on_error: str = "fail",
     micros_as_millis: bool = False,
+    links: Sequence[Link] = (),
 ) -> StreamingQuery:
     """One table. The definition is fixed for the life of the query.
 
-    With ``on_error="quarantine"`` unreadable messages go to a dead-letter table.
+    With ``on_error="quarantine"`` unreadable messages, and those the links refuse, go to a dead-letter table.
     """
-    parsed = parse_schema_driven(
-        messages, subscription, definition, on_error=on_error, micros_as_millis=micros_as_millis
+    if on_error not in ("fail", "quarantine"):
+        raise ValueError(f"on_error must be 'fail' or 'quarantine', not {on_error!r}")
+    parsed = _through(
+        links,
+        messages,
+        lambda df: parse_schema_driven(df, subscription, definition, on_error="quarantine", micros_as_millis=micros_as_millis),
     )
+    if on_error == "fail":
+        parsed = routing.fail_on_error(parsed)
     schema = avro.table_struct(definition)
     if on_error == "quarantine":
         return _start_with_dead_letters(parsed, schema, target)
@@ -150,14 +165,18 @@ def start_relay(
     topic: str,
     checkpoint: str,
     trigger: dict | None = None,
+    links: Sequence[Link] = (),
+    ranges: Sequence[revisions.Range] = (),
 ) -> StreamingQuery:
-    """Validate messages and publish them to a topic folder, accepted and rejected apart.
+    """Validate messages, after the topic's transforms if there are any, and publish them to a topic folder, accepted and rejected apart.
 
     The file sink's log makes each batch visible once, to the accepted and the rejected side
     together, and a stream that reads the folder follows that log. Counts of both sides are the
     observed metrics named ``relay`` of the query's progress.
     """
-    relayed = validate.relay(messages, allowed, schema_name)
+    if links:
+        messages = transforms.before(messages, links)
+    relayed = validate.relay(messages, allowed, schema_name, ranges)
     relayed = relayed.observe("relay", *validate.relay_counts())
     writer = relayed.withColumn("outcome", validate.outcome()).writeStream.format("parquet").partitionBy("outcome")
     writer = writer.option("checkpointLocation", checkpoint).option("path", topic).queryName(_query_name("relay", checkpoint))
@@ -181,6 +200,9 @@ def evolve(
     subscription: str,
     on_error: str = "fail",
     micros_as_millis: bool = False,
+    topics: str | None = None,
+    topic: str = "",
+    links: Sequence[Link] = (),
 ) -> tuple[StreamingQuery, list[revisions.Revision]]:
     """Bring a schema-driven job to a new revision and restart it on its checkpoint.
 
@@ -189,13 +211,21 @@ def evolve(
     producer send the new fields; sent earlier they would be accepted but not extracted. Each step
     changes nothing if it was done before, so a call that failed can be repeated. Returns the query and
     the widened range for the relay.
+
+    With a table of ``topics`` the range is stored there: its first revision stays what it was, the new one
+    becomes the last. Without one, all revisions are allowed.
     """
-    revisions.commit(spark, registry, schema_name, definition)
-    allowed = revisions.load(spark, registry, schema_name)
+    newest = revisions.commit(spark, registry, schema_name, definition)
+    first = None
+    if topics is not None:
+        stored = revisions.ranges(spark, topics, topic)
+        first = stored[-1].first if stored else 1
+        revisions.set_range(spark, topics, topic, schema_name, first, newest.ordinal)
+    allowed = revisions.load(spark, registry, schema_name, first)
     if running is not None:
         running.stop()
     tables.evolve_table(spark, target.table, avro.table_struct(definition), "publish_time")
-    query = start_schema_driven(messages(), subscription, definition, target, on_error, micros_as_millis)
+    query = start_schema_driven(messages(), subscription, definition, target, on_error, micros_as_millis, links)
     return query, allowed
 
 

@@ -16,6 +16,7 @@ SCHEMA_ERRORS = {
     1: "INVALID_JSON", 2: "INVALID_JSON", 5: "TYPE_MISMATCH", 6: "BAD_TIMESTAMP",
     8: "NOT_AN_OBJECT", 9: "INVALID_UTF8", 11: "BAD_TIMESTAMP",
 }
+LINK_ERRORS = {1: "INVALID_JSON", 2: "INVALID_JSON", 5: "TYPE_MISMATCH:point_idx", 9: "INVALID_UTF8"}
 V1_REASONS = {
     1: "INVALID_JSON", 2: "INVALID_JSON", 3: "MISSING_FIELD:passenger_count",
     4: "MISSING_FIELD:passenger_count", 5: "TYPE_MISMATCH:point_idx",
@@ -78,6 +79,8 @@ _V2 = f"""{_V1}, CASE WHEN enriched THEN ts END AS enrichment_timestamp,
   CASE WHEN enriched THEN area END AS region"""
 _VERSION = "CASE WHEN enriched THEN 'v2 (enriched)' ELSE 'v1 (plain)' END AS schema_version"
 _MINUTE = "date_trunc('minute', publish_time) AS minute"
+# An array has no members, so the last link's condition is not true of it.
+_GOES_ON = "(fault <> 8 AND (area <> 'downtown' OR event_id % 2 = 0))"
 _RAW_OK = "fault NOT IN (1, 2, 9)"
 _ENRICHED_RIDE = f"{_V1}, {NOW} AS enrichment_timestamp, area AS region"
 
@@ -95,19 +98,18 @@ def _rule(rule: str) -> str:
     return f"{_M} SELECT message_id, NOT {_in(broken)} AS ok FROM m"
 
 
-def _dlq() -> str:
-    classes = {fault: text.split(":")[0] for fault, text in STANDARD_ERRORS.items()}
+def _dlq(errors: dict[int, str]) -> str:
+    classes = {fault: text.split(":")[0] for fault, text in errors.items()}
     messages = {fault: DESCRIPTIONS[name] for fault, name in classes.items()}
     places = {
         fault: f"{text.split(':')[0]} at {text.split(':')[1] if ':' in text else 'payload'}"
-        for fault, text in STANDARD_ERRORS.items()
+        for fault, text in errors.items()
     }
     return f"""{_M} SELECT {NOW} AS processing_time, {_case(messages)} AS error_message,
   {_case(places)} AS stack_trace,
   CASE WHEN fault = 9 THEN '0xFF' || hex(encode(payload)) ELSE payload END AS original_payload,
   'rides-sub' AS subscription_name
-FROM m WHERE {_in(STANDARD_ERRORS)}"""
-
+FROM m WHERE {_in(errors)}"""
 
 
 def _standard_rows(processing_time: str = "") -> str:
@@ -134,7 +136,7 @@ SELECT 'documents' AS source, json_valid(text) AS is_valid, count(*) AS n FROM d
   CASE WHEN {_OK} THEN 'table' ELSE 'dead_letter' END AS routed_to FROM m""",
     "route_counts": f"""{_M} SELECT CASE WHEN {_OK} THEN 'table' ELSE 'dead_letter' END AS routed_to,
   count(*) AS n FROM m GROUP BY 1""",
-    "dlq_rows": _dlq(),
+    "dlq_rows": _dlq(STANDARD_ERRORS),
     "raw_payload_verbatim": f"""{_M} SELECT message_id, md5(payload) AS payload_md5,
   length(payload) AS n_chars FROM m WHERE {_RAW_OK}""",
     "envelope_publish_time": f"{_M} SELECT message_id, publish_time FROM m WHERE {_RAW_OK}",
@@ -165,12 +167,28 @@ FROM orders""",
     "transform_chain": f"{_CLEAN} SELECT message_id, area AS region FROM m WHERE area <> 'downtown'",
     "transform_filter": f"""{_M} SELECT message_id FROM m
 WHERE fault NOT IN (1, 2, 3, 4, 8, 9) AND passengers > 0""",
+    "transform_five": f"""{_M} SELECT message_id, ride_id, area AS region, CAST(event_id % 2 AS VARCHAR) AS parity,
+  area || CAST(event_id % 2 AS VARCHAR) AS mark FROM m WHERE NOT {_in(LINK_ERRORS)} AND {_GOES_ON}""",
+    "transform_outcomes": f"""{_M} SELECT count(*) FILTER (WHERE NOT {_in(LINK_ERRORS)} AND {_GOES_ON}) AS delivered,
+  count(*) FILTER (WHERE NOT {_in(LINK_ERRORS)} AND NOT {_GOES_ON}) AS filtered,
+  count(*) FILTER (WHERE {_in(LINK_ERRORS)}) AS refused FROM m""",
+    "transform_dead_letters": _dlq(LINK_ERRORS),
+    "enrich_order": f"""{_M} SELECT place, message_id, CASE WHEN {_in(V1_REASONS)} THEN NULL
+  WHEN fault = 12 AND place = 'subscription' THEN '{REVISION_1.revision_id}' ELSE '{REVISION_2.revision_id}' END AS revision,
+  CASE WHEN NOT {_in(V1_REASONS)} THEN area END AS region, {_case(V1_REASONS)} AS reason
+FROM m, (VALUES ('topic'), ('subscription')) AS p(place)""",
     "validate_required": _rule("MISSING_FIELD"),
     "validate_types": _rule("TYPE_MISMATCH"),
     "validate_extra_ok": f"{_M} SELECT message_id, NOT {_in(V1_REASONS)} AS ok FROM m",
     "revision_stamp": f"""{_M} SELECT CASE WHEN {_in(V1_REASONS)} THEN 'rejected'
   WHEN fault = 12 THEN '{REVISION_1.revision_id}' ELSE '{REVISION_2.revision_id}' END AS revision,
   count(*) AS n FROM m GROUP BY 1""",
+    "revision_ranges": f"""{_M}, r AS (SELECT *, CASE WHEN publish_time < TIMESTAMP '2024-01-05' THEN 0
+  WHEN publish_time < TIMESTAMP '2024-01-12' THEN 1 WHEN publish_time < TIMESTAMP '2024-01-20' THEN 2 ELSE 3 END AS held FROM m),
+c AS (SELECT *, CASE WHEN held = 0 AND fault NOT IN (1, 2, 8, 9) THEN 'NO_REVISION'
+  WHEN held = 3 THEN {_case(_plus_v2(V1_REASONS))} ELSE {_case(V1_REASONS)} END AS reject_reason FROM r)
+SELECT message_id, reject_reason, CASE WHEN reject_reason IS NOT NULL THEN NULL
+  WHEN held = 1 OR held = 2 AND fault = 12 THEN '{REVISION_1.revision_id}' ELSE '{REVISION_2.revision_id}' END AS revision_id FROM c""",
     "relay_accepted": f"""{_M} SELECT message_id, '{REVISION_1.revision_id}' AS revision,
   CAST(3 AS BIGINT) AS n_attributes FROM m WHERE NOT {_in(V1_REASONS)}""",
     "relay_rejected": f"{_M} SELECT message_id, {_case(V1_REASONS)} AS reason FROM m WHERE {_in(V1_REASONS)}",

@@ -12,8 +12,9 @@ from pyspark.sql import functions as F
 
 from tollgate.functions import jsonx
 from tollgate.model import RAW, STANDARD
-from tollgate.operators import batching, enrich, raw, routing, schema_driven, standard, validate
+from tollgate.operators import batching, enrich, raw, routing, schema_driven, standard, transforms, validate
 from tollgate.plans import reports, tables
+from tollgate.plans.revisions import Range
 from tollgate.session import configure
 from tollgate.sources import messages as sources
 from tollgate.streaming import jobs, stateful
@@ -228,17 +229,69 @@ def enrich_roundtrip(spark, sf_dir):
     return _plain(_read_v2(_enriched(spark, sf_dir)).select("message_id", *RIDE_V2_NAMES))
 
 
+def _uptown(document):
+    return document["region"].try_cast("string") != "downtown"
+
+
 def transform_chain(spark, sf_dir):
-    uptown = enrich.keep_if(lambda cells: cells["region"].try_cast("string") != "downtown", "region")
-    apply = enrich.chain([lambda messages: enrich.enrich_rides(messages, _clock()), uptown])
+    apply = enrich.chain([enrich.ride_enrichment(_clock()), enrich.keep_if(_uptown)])
     return _read_v2(apply(_clean(spark, sf_dir, workload.NONE))).select("message_id", "region")
 
 
 def transform_filter(spark, sf_dir):
-    occupied = enrich.keep_if(lambda cells: cells["passenger_count"].try_cast("bigint") > 0, "passenger_count")
+    occupied = enrich.chain([enrich.keep_if(lambda document: document["passenger_count"].try_cast("bigint") > 0)])
     return occupied(workload.events_as_messages(spark, sf_dir)).select("message_id")
 
 
+def _through_five(spark, sf_dir):
+    """Faulty messages after five links: one refuses, one enriches, two set members, one reads them and filters."""
+    point = F.expr("try_cast(_cells['point_idx'] AS bigint)")
+    links = [
+        transforms.Link("points", refuses=lambda d: F.when(d["point_idx"].isNotNull() & point.isNull(), "TYPE_MISMATCH:point_idx")),
+        enrich.ride_enrichment(_clock()),
+        transforms.Link("parity", sets=lambda d: {"parity": point % 2}),
+        transforms.Link("mark", sets=lambda d: {"mark": F.concat(d["region"].try_cast("string"), d["parity"].try_cast("string"))}),
+        enrich.keep_if(lambda d: d["mark"].try_cast("string") != "downtown1", "odd downtown"),
+    ]
+    return transforms.apply(workload.events_as_messages(spark, sf_dir), links)
+
+
+def transform_five(spark, sf_dir):
+    document = F.try_parse_json(F.col("data").cast("string"))
+    members = [F.try_variant_get(document, f"$.{name}", "string").alias(name) for name in ("ride_id", "region", "parity", "mark")]
+    return transforms.delivered(_through_five(spark, sf_dir)).select("message_id", *members)
+
+
+def transform_outcomes(spark, sf_dir):
+    return _through_five(spark, sf_dir).agg(*transforms.counts())
+
+
+def transform_dead_letters(spark, sf_dir):
+    return _plain(transforms.dead_letters(_through_five(spark, sf_dir), SUBSCRIPTION, _clock()))
+
+
+def enrich_order(spark, sf_dir):
+    """Enrichment as a topic's transform, before validation, and as a subscription's, after it."""
+    messages, link = workload.events_as_messages(spark, sf_dir), [enrich.ride_enrichment(_clock())]
+    both = [REVISION_1, REVISION_2]
+    topic = validate.relay(transforms.before(messages, link), both, SCHEMA_NAME)
+    relayed = validate.relay(messages, both, SCHEMA_NAME)
+    delivered = transforms.delivered(transforms.apply(validate.accepted(relayed), link))
+    region = F.try_variant_get(F.try_parse_json(F.col("data").cast("string")), "$.region", "string")
+    places = {
+        "topic": topic,
+        "subscription": delivered.withColumn("reject_reason", F.lit(None).cast("string")).unionByName(validate.rejected(relayed)),
+    }
+    rows = [
+        df.select(
+            F.lit(place).alias("place"), "message_id", F.col("attributes")["googclient_schemarevisionid"].alias("revision"),
+            F.when(F.col("reject_reason").isNull(), region).alias("region"), F.col("reject_reason").alias("reason"),
+        )
+        for place, df in places.items()
+    ]
+    return rows[0].unionByName(rows[1])
+
+
 def _checked(spark, sf_dir, *revisions):
     return validate.check(workload.events_as_messages(spark, sf_dir), revisions)
 
@@ -267,6 +320,17 @@ def revision_stamp(spark, sf_dir):
     return _checked(spark, sf_dir, REVISION_1, REVISION_2).groupBy(revision).agg(F.count("*").alias("n"))
 
 
+def revision_ranges(spark, sf_dir):
+    """Each message is checked against the revisions that its topic allowed when it was published."""
+    limits = [(1, 1, 2024, 1, 5), (1, 2, 2024, 1, 12), (2, 2, 2024, 1, 20)]
+    ranges = [
+        Range("rides", SCHEMA_NAME, first, last, datetime(*day, tzinfo=timezone.utc), number + 1)
+        for number, (first, last, *day) in enumerate(limits)
+    ]
+    checked = validate.check(workload.events_as_messages(spark, sf_dir), [REVISION_1, REVISION_2], ranges)
+    return checked.select("message_id", "revision_id", "reject_reason")
+
+
 def _relayed(spark, sf_dir):
     return validate.relay(workload.events_as_messages(spark, sf_dir), [REVISION_1], SCHEMA_NAME)
 
@@ -458,10 +522,15 @@ QUERIES: dict[str, Query] = {
     "enrich_roundtrip": enrich_roundtrip,
     "transform_chain": transform_chain,
     "transform_filter": transform_filter,
+    "transform_five": transform_five,
+    "transform_outcomes": transform_outcomes,
+    "transform_dead_letters": transform_dead_letters,
+    "enrich_order": enrich_order,
     "validate_required": validate_required,
     "validate_types": validate_types,
     "validate_extra_ok": validate_extra_ok,
     "revision_stamp": revision_stamp,
+    "revision_ranges": revision_ranges,
     "relay_accepted": relay_accepted,
     "relay_rejected": relay_rejected,
     "relay_counts": relay_counts,
