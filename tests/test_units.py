@@ -13,6 +13,7 @@ from tollgate.operators.transforms import Link
 from tollgate.plans import avro, reports, revisions
 from tollgate.sources.messages import from_kafka
 from tollgate.workload.definitions import REVISION_1, REVISION_2, RIDE_V1, RIDE_V2
+from tollgate.workload.queries import QUERIES
 
 
 def record(*fields):
@@ -348,3 +349,31 @@ def test_json_is_parsed_once_per_row(spark):
     rows = routing.table_rows(parse_standard(messages(spark, [RIDE]), "sub"))
     plan = rows._jdf.queryExecution().executedPlan().toString()
     assert plan.count("parseJson") == 1
+
+
+def test_a_subscription_chain_takes_a_relay_in_one_pass(spark, tmp_path):
+    """Rejected messages pass by the chain, which is not shown them; the relay's sides are not checked apart."""
+    payloads = ['{"n":1}', "no json", '{"n":"x"}', '{"n":2}']
+    rows = [(bytearray(p.encode()), None, str(i), None) for i, p in enumerate(payloads)]
+    spark.createDataFrame(rows, MESSAGE).write.parquet(str(tmp_path / "m"))
+    read = spark.read.schema(MESSAGE).parquet(str(tmp_path / "m"))
+    checked = read.withColumn("reject_reason", F.when(F.col("message_id") == "2", "TYPE_MISMATCH:n").when(F.col("message_id") == "1", "INVALID_JSON"))
+    number = lambda document: document["n"].cast("long")  # noqa: E731  fails on text
+    link = Link("plus", keeps=lambda d: number(d) < 2, sets=lambda d: {"m": number(d) + 1})
+    found = transforms.relayed(checked, [link])
+    assert found._jdf.queryExecution().executedPlan().toString().count("Scan parquet") == 1
+    got = {r.message_id: (bytes(r.data).decode(), r.reject_reason) for r in found.collect()}
+    assert got == {"0": ('{"n":1,"m":2}', None), "1": ("no json", "INVALID_JSON"), "2": ('{"n":"x"}', "TYPE_MISMATCH:n")}
+
+
+def test_enrich_order_checks_each_place_once(spark):
+    plan = QUERIES["enrich_order"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Relation [") == 2
+
+
+def test_members_are_added_before_the_last_brace_whatever_space_is_around(spark):
+    texts = ['{"a":"} "} \n\t', ' { } ', '{"a":{"b":1}\r\n}', '{"é":"ü }"}']
+    rows = [(bytearray(t.encode()), None, str(i), None) for i, t in enumerate(texts)]
+    applied = transforms.apply(spark.createDataFrame(rows, MESSAGE), [Link("z", sets=lambda d: {"z": F.lit(1)})])
+    got = {r.message_id: bytes(r.data).decode() for r in applied.collect()}
+    assert got == {"0": '{"a":"} ","z":1}', "1": ' {"z":1}', "2": '{"a":{"b":1},"z":1}', "3": '{"é":"ü }","z":1}'}

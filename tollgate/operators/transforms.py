@@ -65,14 +65,18 @@ def apply(messages: DataFrame, links: Sequence[Link]) -> DataFrame:
 
     A payload that is not JSON is refused, and so is ``null``, which has no members to read or set; other
     payloads that are no objects go through. The first link that refuses or filters decides, and no later link
-    sees the message. ``data`` and ``_payload`` of a refused or filtered message are what they were.
+    sees the message. ``data`` and ``_payload`` of a refused or filtered message are what they were. What was refused
+    before, by another chain or a relay, stays so for that reason and is shown to no link.
     """
     if len(links) > MAX_TRANSFORMS:
         raise ValueError(f"at most {MAX_TRANSFORMS} transforms, got {len(links)}")
     df = messages.select(*MESSAGE.fieldNames(), *envelope.carried(messages), jsonx.decode_utf8(F.col("data")).alias("_text"))
     df = jsonx.with_members(df)
     unreadable = routing.first_failure(*routing.UNREADABLE[:2], (_IS_NULL, "NOT_AN_OBJECT"))
-    df = jsonx.once(df, _end=F.struct(F.expr(unreadable).alias("error"), F.lit(None).cast("string").alias("dropped_by")))
+    error = F.expr(unreadable)
+    if envelope.REFUSED in messages.columns:
+        error = F.coalesce(f"{envelope.REFUSED}.error", error)
+    df = jsonx.once(df, _end=F.struct(error.alias("error"), F.lit(None).cast("string").alias("dropped_by")))
     ends, values = ["_end"], {}
     for number, link in enumerate(links):
         # A message that has left the chain is shown to no link: what would fail on it is not evaluated.
@@ -114,14 +118,15 @@ def _written(values: dict[str, str]) -> Column:
     texts = {name: F.coalesce(F.to_json(F.col(column)), F.lit("null")) for name, column in values.items()}
     members = F.concat(*[F.concat(F.lit(f",{json.dumps(name, ensure_ascii=False)}:"), text) for name, text in texts.items()])
     # The text is one object: before its last brace the members are added, and nothing else changes.
-    body = F.regexp_replace("_text", r"[ \t\r\n]*\}[ \t\r\n]*\z", "")
+    space, text = F.lit(" \t\r\n"), F.rtrim("_text", F.lit(" \t\r\n"))
+    body = F.rtrim(F.left(text, F.length(text) - 1), space)
     members = F.when(F.size("_cells") == 0, F.substr(members, F.lit(2))).otherwise(members)
     spliced = F.concat(body, members, F.lit("}"))
     null = F.parse_json(F.lit("null"))
     added = F.create_map(*[x for name, column in values.items() for x in (F.lit(name), F.coalesce(F.col(column), null))])
     others = F.map_filter("_cells", lambda key, _: ~key.isin(*values))
     replaced = F.to_json(F.map_concat(others, added))
-    has_any = F.exists(F.map_keys("_cells"), lambda key: key.isin(*values))
+    has_any = F.arrays_overlap(F.map_keys("_cells"), F.array(*map(F.lit, values)))
     return F.when(has_any, replaced).when(~has_any, spliced)
 
 
@@ -131,6 +136,19 @@ def delivered(applied: DataFrame) -> DataFrame:
     return applied.where(gone.isNull()).select(*MESSAGE.fieldNames(), *envelope.carried(applied))
 
 
+def relayed(messages: DataFrame, links: Sequence[Link]) -> DataFrame:
+    """A relay's messages after a subscription's chain, with ``reject_reason``: MESSAGE columns and the reason.
+
+    Accepted messages go through the chain, and those that it delivers are kept; rejected ones pass by it. Both are of
+    one pass: a relay's two sides taken apart would be checked twice.
+    """
+    refused = F.struct(F.col("reject_reason").alias("error"), F.lit(None).cast("string").alias("payload"))
+    applied = apply(messages.withColumn(envelope.REFUSED, refused), links)
+    reason = F.col(f"{envelope.REFUSED}.error")
+    kept = applied.where(reason.isNotNull() | F.coalesce(routing.ERROR, DROPPED_BY).isNull())
+    return kept.select(*MESSAGE.fieldNames(), reason.alias("reject_reason"))
+
+
 def dead_letters(applied: DataFrame, subscription: str, clock: Column | None = None) -> DataFrame:
     """The dead-letter columns of the messages that the chain refused."""
     clock = F.current_timestamp() if clock is None else clock

@@ -275,19 +275,14 @@ def enrich_order(spark, sf_dir):
     messages, link = workload.events_as_messages(spark, sf_dir), [enrich.ride_enrichment(_clock())]
     both = [REVISION_1, REVISION_2]
     topic = validate.relay(transforms.before(messages, link), both, SCHEMA_NAME)
-    relayed = validate.relay(messages, both, SCHEMA_NAME)
-    delivered = transforms.delivered(transforms.apply(validate.accepted(relayed), link))
+    subscription = transforms.relayed(validate.relay(messages, both, SCHEMA_NAME), link)
     region = F.try_variant_get(F.try_parse_json(F.col("data").cast("string")), "$.region", "string")
-    places = {
-        "topic": topic,
-        "subscription": delivered.withColumn("reject_reason", F.lit(None).cast("string")).unionByName(validate.rejected(relayed)),
-    }
     rows = [
         df.select(
             F.lit(place).alias("place"), "message_id", F.col("attributes")["googclient_schemarevisionid"].alias("revision"),
             F.when(F.col("reject_reason").isNull(), region).alias("region"), F.col("reject_reason").alias("reason"),
         )
-        for place, df in places.items()
+        for place, df in {"topic": topic, "subscription": subscription}.items()
     ]
     return rows[0].unionByName(rows[1])
 
