@@ -236,6 +236,27 @@ def test_replay_takes_few_jobs_for_many_batches(spark, tmp_path, names):
         jobs.replay(spark, raw_table, target)
 
 
+def test_replay_reads_the_raw_table_as_often_for_many_groups(spark, tmp_path, names):
+    raw_table, few, many = names("rides_groups"), names("rides_few"), names("rides_many")
+    jobs.create_tables(spark, raw_table, RAW, str(tmp_path / "raw"))
+    messages = events_as_messages(spark, SF_DIR).drop("publish_time").withColumn("publish_time", F.timestamp_seconds(F.col("message_id").cast("long")))
+    rows = table_rows(parse_raw(messages, "sub")).selectExpr("*", "'w0' AS writer", "CAST(message_id AS LONG) DIV 50 AS batch_id")
+    tables.replace_batches(rows, raw_table, "publish_time")
+    taken = []
+    for typed, max_bytes in ((few, 1 << 30), (many, 10_000)):
+        jobs.create_tables(spark, typed, STANDARD, str(tmp_path / typed))
+        spark.sparkContext.setJobGroup(typed, typed)
+        try:
+            groups = jobs.replay(spark, raw_table, jobs.Target(typed, "unused"), max_bytes=max_bytes)
+        finally:
+            spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+        taken.append((groups, len(spark.sparkContext.statusTracker().getJobIdsForGroup(typed))))
+    assert taken[0][0] == 1 and taken[1][0] > 10
+    assert taken[1][1] <= taken[0][1] + 5
+    stored = [sorted(map(repr, spark.table(typed).drop("processing_time").collect())) for typed in (few, many)]
+    assert stored[0] == stored[1] and len(stored[0]) > 0
+
+
 def test_schema_driven_fails_or_quarantines(spark, tmp_path, names):
     table = names("rides_strict")
     landing = tmp_path / "landing"

@@ -11,11 +11,10 @@ import re
 from collections.abc import Callable, Sequence
 from concurrent.futures import Future
 from dataclasses import dataclass
-from datetime import date
 from functools import reduce
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -229,59 +228,8 @@ def evolve(
     return query, allowed
 
 
-# Payload bytes that one job of a replay reads.
-REPLAY_BYTES = 8 << 30
-
-
-@dataclass(frozen=True)
-class _Group:
-    """Batches that a replay works off in one job: of one subscription, as (writer, first, last) ranges."""
-
-    subscription: str
-    ranges: list[tuple[str, int, int]]
-    first_day: date | None
-    last_day: date | None
-
-    def holds(self, writer: str, batch_id: int) -> bool:
-        name = writer.removeprefix("replay-")
-        return any(name == own and low <= batch_id <= high for own, low, high in self.ranges)
-
-
-def _replay_groups(raw: DataFrame, max_bytes: int) -> list[_Group]:
-    """Pack the batches of a raw table, in order, into groups of about ``max_bytes``.
-
-    The driver gets a row for each stretch of a writer's batches in a group: their number follows the bytes, plus
-    one for each writer. All rows of a batch come from one job, and so from one subscription.
-    """
-    day = raw.columns[-1]
-    batch = raw.groupBy(tables.WRITER, tables.BATCH).agg(
-        F.min("subscription_name").alias("subscription"),
-        F.sum(F.octet_length("payload") + F.octet_length("attributes") + 64).alias("bytes"),
-        F.min(day).alias("first_day"), F.max(day).alias("last_day"),
-    )
-    # Running sums within a writer, on top of the sums of the writers before it: no task orders all batches.
-    own = Window.partitionBy("subscription", tables.WRITER).orderBy(tables.BATCH).rowsBetween(Window.unboundedPreceding, -1)
-    before = Window.partitionBy("subscription").orderBy(tables.WRITER).rowsBetween(Window.unboundedPreceding, -1)
-    writers = batch.groupBy("subscription", tables.WRITER).agg(F.sum("bytes").alias("_all"))
-    writers = writers.select("subscription", tables.WRITER, F.coalesce(F.sum("_all").over(before), F.lit(0)).alias("_earlier"))
-    at = F.coalesce(F.sum("bytes").over(own), F.lit(0))
-    placed = batch.withColumn("_at", at).join(writers, ["subscription", tables.WRITER])
-    placed = placed.withColumn("group", F.expr(f"(_at + _earlier) DIV {max_bytes}"))
-    stretches = placed.groupBy("subscription", "group", tables.WRITER).agg(
-        F.min(tables.BATCH).alias("low"), F.max(tables.BATCH).alias("high"),
-        F.min("first_day").alias("first_day"), F.max("last_day").alias("last_day"),
-    )
-    found: dict[tuple[str, int], list] = {}
-    for row in stretches.collect():
-        found.setdefault((row["subscription"], row["group"]), []).append(row)
-    return [
-        _Group(
-            key[0], [(r[tables.WRITER], r["low"], r["high"]) for r in rows],
-            min((r["first_day"] for r in rows if r["first_day"]), default=None),
-            max((r["last_day"] for r in rows if r["last_day"]), default=None),
-        )
-        for key, rows in sorted(found.items())
-    ]
+# Bytes of raw rows that one task of a replay writes, about.
+REPLAY_BYTES = 256 << 20
 
 
 def replay(
@@ -291,39 +239,42 @@ def replay(
     parse: Callable[[DataFrame, str], DataFrame] = parse_standard,
     max_bytes: int = REPLAY_BYTES,
 ) -> int:
-    """Parse the raw table's history again, into ``target``; returns the number of jobs' groups.
+    """Parse the raw table's history again, into ``target``; returns the number of groups of batches.
 
-    Batches are packed into groups of bounded size, and a group is one job, so the number of jobs follows the bytes
-    and not the batches. A batch becomes the same batch of a writer of its own: repeating a replay, or going on
-    with one that stopped, replaces what was written, wherever the groups begin. A target whose replayed batches have
-    been compacted cannot take them again; a new table can.
+    Batches are dealt to groups of about ``max_bytes``, which are the tasks of one job: the raw table is read a fixed
+    number of times, whatever its size, and nothing is held beside what a task sorts. A batch becomes the same batch of
+    a writer of its own: repeating a replay, or one that was cut off, replaces what was written, whatever the groups. A
+    target whose replayed batches have been compacted cannot take them again; a new table can.
     """
     raw = spark.table(raw_table)
-    groups = _replay_groups(raw, max_bytes)
-    named = F.concat(F.lit("replay-"), F.col(tables.WRITER))
     targets = {target.table: "publish_time", target.dead_letter_table: "processing_time"}
     # What an earlier replay has written, from the catalog.
     held = {table: [b for b in tables.batches(spark, table) if b[0].startswith("replay-")] for table in targets}
     moved = reduce(DataFrame.unionByName, [spark.table(table + tables.MOVED) for table in targets])
     if not moved.where(F.col(tables.WRITER).startswith("replay-")).isEmpty():
         raise tables.TableError(f"replayed batches of {target.table} have been compacted: replay into a new table")
-    for group in groups:
-        ranges = spark.createDataFrame(group.ranges, "_writer string, _low long, _high long")
-        inside = (F.col(tables.WRITER) == F.col("_writer")) & F.col(tables.BATCH).between(F.col("_low"), F.col("_high"))
-        day = F.col(raw.columns[-1])
-        # The days of the group let partitions of compacted days be skipped.
-        near = raw if group.first_day is None else raw.where(day.isNull() | day.between(F.lit(group.first_day), F.lit(group.last_day)))
-        rows = near.join(F.broadcast(ranges), inside, "left_semi")
+    size = F.octet_length("payload") + F.octet_length("attributes") + 64
+    # A row for each writer. A batch comes from one job, and so from one subscription.
+    writers = raw.groupBy("subscription_name", tables.WRITER).agg(
+        F.sum(size).alias("bytes"), F.min(tables.BATCH).alias("low"), F.max(tables.BATCH).alias("high")
+    ).collect()
+    named = F.concat(F.lit("replay-"), F.col(tables.WRITER))
+    groups = 0
+    for subscription in sorted({row["subscription_name"] for row in writers}, key=lambda name: (name is not None, name)):
+        own = [row for row in writers if row["subscription_name"] == subscription]
+        ranges = {f"replay-{row[tables.WRITER]}": (row["low"], row["high"]) for row in own}
+        count = -(-sum(row["bytes"] for row in own) // max_bytes)
+        groups += count
+        rows = raw.where(F.col("subscription_name").eqNullSafe(F.lit(subscription)))
         rows = rows.withColumn(envelope.ORIGIN, F.struct(named.alias(tables.WRITER), F.col(tables.BATCH)))
-        parsed = parse(as_messages(rows), group.subscription).persist(StorageLevel.MEMORY_AND_DISK)
-        try:
-            for part, table in zip((routing.table_rows(parsed), routing.dead_letters(parsed)), targets):
-                part = part.select("*", f"{envelope.ORIGIN}.*").drop(envelope.ORIGIN)
-                tables.replace_batches(part, table, targets[table])
-                again = [b for b in held[table] if group.holds(*b)]
-                if again:  # of these, batches that got no rows this time are removed
-                    written = {tuple(row) for row in part.select(tables.WRITER, tables.BATCH).distinct().collect()}
-                    tables.remove_batches(spark, table, [b for b in again if b not in written])
-        finally:
-            parsed.unpersist()
-    return len(groups)
+        parsed = parse(as_messages(rows), subscription)
+        # Each outcome is a pass of its own: holding the parsed rows for both would take as much room as the table.
+        for part, table in zip((routing.table_rows(parsed), routing.dead_letters(parsed)), targets):
+            part = part.select("*", f"{envelope.ORIGIN}.*").drop(envelope.ORIGIN)
+            # A task gets whole batches, and parts of those that are too large for one.
+            tables.replace_batches(part.hint("rebalance", count, tables.WRITER, tables.BATCH), table, targets[table])
+            again = [b for b in held[table] if b[0] in ranges and ranges[b[0]][0] <= b[1] <= ranges[b[0]][1]]
+            if again:  # of these, batches that got no rows this time are removed
+                written = {tuple(row) for row in part.select(tables.WRITER, tables.BATCH).distinct().collect()}
+                tables.remove_batches(spark, table, [b for b in again if b not in written])
+    return groups
