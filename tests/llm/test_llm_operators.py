@@ -178,6 +178,21 @@ def test_encoder_equals_the_library(name, end):
             assert ids[bounds[i] : bounds[i + 1]].tolist() == want[begin + i].tolist(), texts[begin + i]
 
 
+def test_new_words_are_learnt_together_without_separators(monkeypatch):
+    from tollgate.llm.encoding import WordEncoder
+
+    own, calls = WordEncoder(public_tokenizers.path("byte_bpe_50k.json"), 0), []
+    encode = WordEncoder._encode
+    monkeypatch.setattr(WordEncoder, "_encode", lambda self, texts: calls.append(list(texts)) or encode(self, texts))
+    own._learn(["plain", "two\nlines", "a|b", "|", "\u0120x", "caf\u00e9\x07s"])
+    assert [text for call in calls for text in call] == [" plain two\nlines a|b | \u0120x caf\u00e9\x07s"]
+    monkeypatch.undo()
+    texts = ["x plain two\nlines a|b | \u0120x caf\u00e9\x07s", "y  end\n next \n", "z \nb c\n d"]
+    ids, bounds = own.encode(texts)
+    want = encoded([(0, text) for text in texts], "byte_bpe_50k.json", 0)
+    assert [ids[a:b].tolist() for a, b in zip(bounds, bounds[1:])] == [w.tolist() for w in want]
+
+
 def test_token_files_round_trip(spark, docs, rows, none):
     folder = scratch(spark, "test-tokens")
     manifest = token_files.write_tokens(docs, folder, public_tokenizers.path("byte_bpe_50k.json"), 0, 50_257)

@@ -18,7 +18,8 @@ from tokenizers import Tokenizer
 #: A space with white space, or the end, behind it and white space before it.
 _UNSAFE = re.compile(r"\s (?:\s|\Z)")
 _SEPARATOR = " |"
-#: Words joined into one string for a call; their ids are told apart by the separator's.
+#: Words joined into one string for a call; their ids are told apart by the space that a token begins with, or by the
+#: separator's where the vocabulary drops spaces.
 _JOINED = 64
 
 
@@ -37,6 +38,10 @@ class WordEncoder:
         if len(separator) != 1:
             raise ValueError("the vocabulary has no single token for the separator")
         self._separator, self._end, self._max = separator[0], end_id, max_words
+        # Byte-level vocabularies mark the tokens that begin with a space, so words after spaces need no separator.
+        names = self._tokenizer.get_vocab()
+        self._spaced = np.zeros(max(names.values()) + 1, bool)
+        self._spaced[[number for name, number in names.items() if name.startswith("\u0120")]] = True
         self._reset()
         self._drops_newlines = len({self._encode([text])[0].tobytes() for text in ("a\nb", "a b")}) == 1
 
@@ -58,15 +63,26 @@ class WordEncoder:
         found = [x.ids for x in self._tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
         return np.fromiter(chain.from_iterable(found), np.uint32), np.fromiter(map(len, found), np.int64, len(found))
 
+    def _learnt(self, plain: list[str]) -> range:
+        """Remember the ids of words that follow a space and can be joined, and return their numbers."""
+        runs = [plain[i : i + _JOINED] for i in range(0, len(plain), _JOINED)]
+        if self._spaced.any():
+            ids, _ = self._encode([f" {' '.join(run)}" for run in runs])
+            begins = np.flatnonzero(self._spaced[ids])
+            if len(begins) == len(plain):
+                return self._add(ids, np.diff(begins, append=len(ids)))
+            return self._add(*self._encode([" " + w for w in plain]))
+        ids, _ = self._encode([f" {(_SEPARATOR + ' ').join(run)}{_SEPARATOR}" for run in runs])
+        ends = np.flatnonzero(ids == self._separator)
+        return self._add(ids[ids != self._separator], np.diff(ends, prepend=-1) - 1)
+
     def _learn(self, new: list[str]) -> None:
         """Remember the ids of words that follow a space."""
-        # Printable words hold no white space.
-        plain = [w for w in new if w.isprintable() and w and "|" not in w]
-        joined = [f" {(_SEPARATOR + ' ').join(plain[i : i + _JOINED])}{_SEPARATOR}" for i in range(0, len(plain), _JOINED)]
-        ids, _ = self._encode(joined)
-        ends = np.flatnonzero(ids == self._separator)
-        lengths = np.diff(ends, prepend=-1) - 1
-        self._index.update(zip(plain, self._add(ids[ids != self._separator], lengths)))
+        if self._spaced.any():  # white space may be inside a word, but not meet the space before the next one
+            plain = [w for w in new if w and not (w[0].isspace() or w[-1].isspace())]
+        else:  # printable words hold no white space
+            plain = [w for w in new if w.isprintable() and w and "|" not in w]
+        self._index.update(zip(plain, self._learnt(plain)))
         known = set(plain)
         odd = [w for w in new if w not in known]
         self._index.update(zip(odd, self._add(*self._encode([" " + w for w in odd]))))
