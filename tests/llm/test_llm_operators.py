@@ -178,6 +178,14 @@ def test_encoder_equals_the_library(name, end):
             assert ids[bounds[i] : bounds[i + 1]].tolist() == want[begin + i].tolist(), texts[begin + i]
 
 
+def test_the_shingles_of_many_words_need_little_memory(monkeypatch):
+    monkeypatch.setattr(jaccard_join, "_hashes", {})
+    texts = [" ".join(f"w{i}x{k}" for k in range(1000)) for i in range(300)]
+    first = [jaccard_join.shingles(text, 5).tolist() for text in texts]
+    assert len(jaccard_join._hashes) <= jaccard_join._WORDS + 1000 < 150_000
+    assert [jaccard_join.shingles(text, 5).tolist() for text in texts] == first
+
+
 def test_new_words_are_learnt_together_without_separators(monkeypatch):
     from tollgate.llm.encoding import WordEncoder
 
