@@ -201,6 +201,32 @@ def test_new_words_are_learnt_together_without_separators(monkeypatch):
     assert [ids[a:b].tolist() for a, b in zip(bounds, bounds[1:])] == [w.tolist() for w in want]
 
 
+def test_words_of_a_vocabulary_that_drops_spaces_are_learnt_together(monkeypatch):
+    from tollgate.llm.encoding import WordEncoder
+
+    own, calls = WordEncoder(public_tokenizers.path("word_bpe_49k.json"), 2), []
+    encode = WordEncoder._encode
+    monkeypatch.setattr(WordEncoder, "_encode", lambda self, texts, *by: calls.append(list(texts)) or encode(self, texts, *by))
+    own._learn(["plain", "Caf\u00e9,", "don't", "1st", "\u0219i", "o\u0219'"])
+    assert max(map(len, calls)) == 1  # all words of one cut in one text
+
+
+def test_latin_pieces_equal_the_library():
+    from tollgate.llm.encoding import WordEncoder
+
+    rng, wide = random.Random(5), [chr(c) for c in (*range(0x250), *range(0x2000, 0x2070), 0x301, 0x307, 0x3A3, 0x4E2D, 0x1F600)]
+    latin = [c for c in wide if c < "\u0180"]
+    common = [*"aSTrEvMlD' \n\r\t.!12", "'s", "'LL", " 're", "<|", "<|endoftext|>", "\u00c9", "\u00df", "\u00b2", "\u2019"]
+    texts = [a + c + b for c in wide for a, b in (("", ""), ("A", "b"), (" ", "'"), (c, c))]
+    texts += ["".join(rng.choices(rng.choice([common, common, common + latin, wide]), k=rng.randint(0, 40))) for _ in range(3000)]
+    own = WordEncoder(public_tokenizers.path("word_bpe_49k.json"), 2, max_words=500)
+    want = encoded([(0, t) for t in texts], "word_bpe_49k.json", 2)
+    for begin in range(0, len(texts), 100):
+        ids, bounds = own.encode(texts[begin : begin + 100])
+        for i in range(len(bounds) - 1):
+            assert ids[bounds[i] : bounds[i + 1]].tolist() == want[begin + i].tolist(), texts[begin + i]
+
+
 def test_token_files_round_trip(spark, docs, rows, none):
     folder = scratch(spark, "test-tokens")
     manifest = token_files.write_tokens(docs, folder, public_tokenizers.path("byte_bpe_50k.json"), 0, 50_257)

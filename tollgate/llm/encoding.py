@@ -2,18 +2,21 @@
 
 A text is cut before each space, which no token of the two vocabularies crosses, and every different
 word is encoded once per worker. Texts where a cut could change a run of white space, and those that hold the string
-of an added token, are encoded whole.
+of an added token, are encoded whole. Where the vocabulary itself drops case and white space and cuts words from
+symbols, Latin text is cut like that, which leaves fewer different words.
 """
 
 from __future__ import annotations
 
+import json
 import os
 import re
+import unicodedata
 from array import array
 from itertools import chain, repeat
 
 import numpy as np
-from tokenizers import Tokenizer
+from tokenizers import Tokenizer, pre_tokenizers
 
 #: A space with white space, or the end, behind it and white space before it.
 _UNSAFE = re.compile(r"\s (?:\s|\Z)")
@@ -21,6 +24,23 @@ _SEPARATOR = " |"
 #: Words joined into one string for a call; their ids are told apart by the space that a token begins with, or by the
 #: separator's where the vocabulary drops spaces.
 _JOINED = 64
+#: A vocabulary's cut into words, numbers and symbols, as its file has it, and the normalizers it follows.
+_CUT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+_NORMALIZERS = ["NFC", "Replace", "Lowercase"]
+#: Characters that NFC leaves alone and that are in lower case, letters and numbers alike to Python and the library.
+_LATIN = [chr(c) for c in (*range(0x21, 0x7F), *range(0xA1, 0x180)) if c != 0x130]
+_PLAIN = re.compile(f"[\\t\\n\\r {re.escape(''.join(_LATIN))}\u2010-\u2027\u2030-\u205e]*")
+
+
+def _class(kind: str) -> str:
+    """The Latin letters (L) or numbers (N) as ranges of a pattern."""
+    own = [ord(c) for c in _LATIN if unicodedata.category(c)[0] == kind]
+    first, last = set(own) - {c + 1 for c in own}, set(own) - {c - 1 for c in own}
+    return "".join(f"\\u{a:04x}-\\u{b:04x}" for a, b in zip(sorted(first), sorted(last)))
+
+
+#: The cut for Latin text in lower case: letters first, as most pieces are.
+_PIECE = re.compile("[L]+|'(?:[stmd]|re|ve|ll)|[N]|[^\\sLN]+".replace("L", _class("L")).replace("N", _class("N")))
 
 
 class WordEncoder:
@@ -38,12 +58,29 @@ class WordEncoder:
         if len(separator) != 1:
             raise ValueError("the vocabulary has no single token for the separator")
         self._separator, self._end, self._max = separator[0], end_id, max_words
-        # Byte-level vocabularies mark the tokens that begin with a space, so words after spaces need no separator.
         names = self._tokenizer.get_vocab()
-        self._spaced = np.zeros(max(names.values()) + 1, bool)
-        self._spaced[[number for name, number in names.items() if name.startswith("\u0120")]] = True
+        self._pieces = self._cutter()
+        self._closing = np.zeros(max(names.values()) + 1, bool)
+        self._closing[[number for name, number in names.items() if name.endswith("</w>")]] = True
         self._reset()
         self._drops_newlines = len({self._encode([text])[0].tobytes() for text in ("a\nb", "a b")}) == 1
+        # Byte-level vocabularies mark the tokens that begin with a space, so words after spaces need no separator.
+        # One that drops spaces may hold the mark all the same, as the character of a byte.
+        self._spaced = np.zeros(max(names.values()) + 1, bool)
+        if len({self._encode([text])[0].tobytes() for text in (" a", "a")}) > 1:
+            self._spaced[[number for name, number in names.items() if name.startswith("\u0120")]] = True
+
+    def _cutter(self) -> Tokenizer | None:
+        """The vocabulary without what cuts and normalises a text, if that is the cut into pieces; takes them parted by spaces."""
+        own = json.loads(self._tokenizer.to_str())
+        normalizers = [step["type"] for step in (own["normalizer"] or {}).get("normalizers", [])]
+        cuts = (own["pre_tokenizer"] or {}).get("pretokenizers", [{}])
+        if normalizers != _NORMALIZERS or cuts[0].get("pattern") != {"Regex": _CUT} or own["model"].get("end_of_word_suffix") != "</w>":
+            return None
+        bare = Tokenizer(self._tokenizer.model)
+        symbols = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
+        bare.pre_tokenizer = pre_tokenizers.Sequence([pre_tokenizers.CharDelimiterSplit(" "), symbols])
+        return bare
 
     def _reset(self) -> None:
         self._index: dict[str, int] = {}
@@ -58,9 +95,9 @@ class WordEncoder:
         self._ids.frombytes(ids.astype(np.uint32).tobytes())
         return range(first, first + len(lengths))
 
-    def _encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    def _encode(self, texts: list[str], tokenizer: Tokenizer | None = None) -> tuple[np.ndarray, np.ndarray]:
         """Ids of texts one after the other, and each one's number of ids."""
-        found = [x.ids for x in self._tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        found = [x.ids for x in (tokenizer or self._tokenizer).encode_batch_fast(texts, add_special_tokens=False)]
         return np.fromiter(chain.from_iterable(found), np.uint32), np.fromiter(map(len, found), np.int64, len(found))
 
     def _learnt(self, plain: list[str]) -> range:
@@ -78,6 +115,15 @@ class WordEncoder:
 
     def _learn(self, new: list[str]) -> None:
         """Remember the ids of words that follow a space."""
+        if self._pieces:
+            cut = [w for w in new if _PIECE.fullmatch(w) and _PLAIN.fullmatch(w) and w == w.lower()]
+            runs = [" ".join(cut[i : i + _JOINED]) for i in range(0, len(cut), _JOINED)]
+            ids, _ = self._encode(runs, self._pieces)
+            ends = np.flatnonzero(self._closing[ids])  # of the words
+            if len(ends) == len(cut):
+                self._index.update(zip(cut, self._add(ids, np.diff(ends, prepend=-1))))
+                known = set(cut)
+                new = [w for w in new if w not in known]
         if self._spaced.any():  # white space may be inside a word, but not meet the space before the next one
             plain = [w for w in new if w and not (w[0].isspace() or w[-1].isspace())]
         else:  # printable words hold no white space
@@ -94,9 +140,16 @@ class WordEncoder:
         heads, words, counts = [], [], np.zeros(len(texts), np.int64)
         for i, text in enumerate(texts):
             text = text or ""
+            added = any(b in text for b in self._begins) and self._added.search(text)
+            if self._pieces and not added and _PLAIN.fullmatch(text):
+                cut = _PIECE.findall(text.lower())
+                heads.append("")
+                words += cut
+                counts[i] = len(cut)
+                continue
             if self._drops_newlines:
                 text = text.replace("\n", " ")
-            if _UNSAFE.search(text) or any(b in text for b in self._begins) and self._added.search(text):
+            if added or _UNSAFE.search(text):
                 heads.append(text)
             else:
                 head, *tail = text.split(" ")
