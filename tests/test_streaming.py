@@ -90,6 +90,13 @@ def test_a_retried_batch_replaces_itself(spark, tmp_path, names):
     assert counts[0] + spark.table(f"{table}_dlq").where("batch_id = 0").count() == 1000
 
 
+def test_messages_of_one_small_file_are_dealt_to_all_cores(spark):
+    own = events_as_messages(spark, SF_DIR).where("CAST(message_id AS BIGINT) % 4 = 1")
+    tasks = own.groupBy(F.spark_partition_id()).count().collect()
+    assert len(tasks) == spark.sparkContext.defaultParallelism
+    assert sum(row["count"] for row in tasks) == 250
+
+
 def test_rows_of_a_file_are_in_time_order(spark, tmp_path, names):
     table = names("rides_sorted")
     jobs.create_tables(spark, table, RAW, str(tmp_path / "table"))

@@ -88,6 +88,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return configure(spark).read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spread(rows: DataFrame, key: str) -> DataFrame:
+    """Rows of a table dealt to all cores by a key.
+
+    Stored rows are a small part of the messages made of them, so a file of many has few splits, or a single row group.
+    """
+    cores = rows.sparkSession.sparkContext.defaultParallelism
+    return rows.repartition(max(cores, rows.rdd.getNumPartitions()), key)
+
+
 def events_as_messages(
     spark: SparkSession, sf_dir: str, faults: bool = True, enriched: str = ODD
 ) -> DataFrame:
@@ -101,7 +110,8 @@ def events_as_messages(
         F.expr("event_id % 10 = 0"), F.create_map().cast("map<string,string>")
     ).otherwise(F.create_map(F.lit("source"), F.col("event_type")))
     publish_time = F.when(F.expr("event_id % 101 <> 0"), F.col("ts").cast("timestamp"))
-    return table(spark, sf_dir, "events").selectExpr("*", f"{json_object} AS _object").select(
+    events = spread(table(spark, sf_dir, "events"), "event_id")
+    return events.selectExpr("*", f"{json_object} AS _object").select(
         data.alias("data"),
         attributes.alias("attributes"),
         F.col("event_id").cast("string").alias("message_id"),
