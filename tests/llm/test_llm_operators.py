@@ -227,6 +227,27 @@ def test_latin_pieces_equal_the_library():
             assert ids[bounds[i] : bounds[i + 1]].tolist() == want[begin + i].tolist(), texts[begin + i]
 
 
+def test_words_of_a_vocabulary_that_keeps_spaces_are_cut_from_symbols():
+    from tollgate.llm.encoding import WordEncoder
+
+    own, name = WordEncoder(public_tokenizers.path("byte_bpe_50k.json"), 0), "byte_bpe_50k.json"
+    marks = [*".,;:!?)", "\u2019", "...", "\n", "'s", "'ll"]
+    texts = [f"So word{a} (word{b} and \u00c9t\u00e9{a}, x2{b} 's" for a in marks for b in marks]
+    ids, bounds = own.encode(texts)
+    want = encoded([(0, text) for text in texts], name, 0)
+    assert [ids[a:b].tolist() for a, b in zip(bounds, bounds[1:])] == [w.tolist() for w in want]
+    assert len([w for w in own._index if "word" in w]) <= 2  # behind a space and not
+    rng, wide = random.Random(7), [chr(c) for c in (*range(0x250), *range(0x2000, 0x2070), 0x301, 0x4E2D, 0x1F600)]
+    texts = [a + c + b for c in wide for a, b in (("", ""), ("A", "b"), (" ", "'"), (c, c), ("a ", " b"))]
+    texts += ["".join(rng.choices(rng.choice([ODD, marks + ["a", " ", "  "], wide]), k=rng.randint(0, 30))) for _ in range(1500)]
+    own = WordEncoder(public_tokenizers.path(name), 0, max_words=500)
+    want = encoded([(0, t) for t in texts], name, 0)
+    for begin in range(0, len(texts), 100):
+        ids, bounds = own.encode(texts[begin : begin + 100])
+        for i in range(len(bounds) - 1):
+            assert ids[bounds[i] : bounds[i + 1]].tolist() == want[begin + i].tolist(), texts[begin + i]
+
+
 def test_token_files_round_trip(spark, docs, rows, none):
     folder = scratch(spark, "test-tokens")
     manifest = token_files.write_tokens(docs, folder, public_tokenizers.path("byte_bpe_50k.json"), 0, 50_257)

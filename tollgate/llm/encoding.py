@@ -2,8 +2,8 @@
 
 A text is cut before each space, which no token of the two vocabularies crosses, and every different
 word is encoded once per worker. Texts where a cut could change a run of white space, and those that hold the string
-of an added token, are encoded whole. Where the vocabulary itself drops case and white space and cuts words from
-symbols, Latin text is cut like that, which leaves fewer different words.
+of an added token, are encoded whole. Latin text is cut into words and symbols where the vocabulary itself does so, which
+leaves fewer different words; case and white space are dropped from them if the vocabulary drops them.
 """
 
 from __future__ import annotations
@@ -41,6 +41,11 @@ def _class(kind: str) -> str:
 
 #: The cut for Latin text in lower case: letters first, as most pieces are.
 _PIECE = re.compile("[L]+|'(?:[stmd]|re|ve|ll)|[N]|[^\\sLN]+".replace("L", _class("L")).replace("N", _class("N")))
+#: The cut of byte-level vocabularies for Latin text: a piece has the space before it, if any.
+_SPACED = " ?[L]+|'(?:[stmd]|re|ve|ll)| ?[N]+| ?[^\\sLN]+|\\s+(?!\\S)|\\s+"
+_SPACED_PIECE = re.compile(_SPACED.replace("L", _class("L")).replace("N", _class("N")))
+#: A word with the space before it.
+_WORD = re.compile(" [^ ]*")
 
 
 class WordEncoder:
@@ -69,6 +74,15 @@ class WordEncoder:
         self._spaced = np.zeros(max(names.values()) + 1, bool)
         if len({self._encode([text])[0].tobytes() for text in (" a", "a")}) > 1:
             self._spaced[[number for name, number in names.items() if name.startswith("\u0120")]] = True
+        self._keeps_spaces = bool(self._spaced.any())  # then words are remembered with the space before them
+        self._cuts_spaced = self._keeps_spaces and self._byte_level()
+
+    def _byte_level(self) -> bool:
+        """Whether texts are not normalised and are cut as byte-level vocabularies do by default."""
+        own = json.loads(self._tokenizer.to_str())
+        cut = own["pre_tokenizer"] or {}
+        default = cut.get("type") == "ByteLevel" and cut.get("use_regex", True) and not cut.get("add_prefix_space", True)
+        return default and own["normalizer"] is None
 
     def _cutter(self) -> Tokenizer | None:
         """The vocabulary without what cuts and normalises a text, if that is the cut into pieces; takes them parted by spaces."""
@@ -103,7 +117,7 @@ class WordEncoder:
     def _learnt(self, plain: list[str]) -> range:
         """Remember the ids of words that follow a space and can be joined, and return their numbers."""
         runs = [plain[i : i + _JOINED] for i in range(0, len(plain), _JOINED)]
-        if self._spaced.any():
+        if self._keeps_spaces:
             ids, _ = self._encode([f" {' '.join(run)}" for run in runs])
             begins = np.flatnonzero(self._spaced[ids])
             if len(begins) == len(plain):
@@ -124,14 +138,15 @@ class WordEncoder:
                 self._index.update(zip(cut, self._add(ids, np.diff(ends, prepend=-1))))
                 known = set(cut)
                 new = [w for w in new if w not in known]
-        if self._spaced.any():  # white space may be inside a word, but not meet the space before the next one
+        if self._keeps_spaces:  # white space may be inside a word, but not meet the space before the next one
             plain = [w for w in new if w and not (w[0].isspace() or w[-1].isspace())]
         else:  # printable words hold no white space
             plain = [w for w in new if w.isprintable() and w and "|" not in w]
-        self._index.update(zip(plain, self._learnt(plain)))
+        before = " " if self._keeps_spaces else ""
+        self._index.update(zip(map(before.__add__, plain), self._learnt(plain)))
         known = set(plain)
         odd = [w for w in new if w not in known]
-        self._index.update(zip(odd, self._add(*self._encode([" " + w for w in odd]))))
+        self._index.update(zip(map(before.__add__, odd), self._add(*self._encode([" " + w for w in odd]))))
 
     def encode(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
         """All ids one after the other (uint32), and where each text's ids begin, with the end."""
@@ -141,8 +156,8 @@ class WordEncoder:
         for i, text in enumerate(texts):
             text = text or ""
             added = any(b in text for b in self._begins) and self._added.search(text)
-            if self._pieces and not added and _PLAIN.fullmatch(text):
-                cut = _PIECE.findall(text.lower())
+            if (self._pieces or self._cuts_spaced) and not added and _PLAIN.fullmatch(text):
+                cut = _PIECE.findall(text.lower()) if self._pieces else _SPACED_PIECE.findall(text)
                 heads.append("")
                 words += cut
                 counts[i] = len(cut)
@@ -152,7 +167,8 @@ class WordEncoder:
             if added or _UNSAFE.search(text):
                 heads.append(text)
             else:
-                head, *tail = text.split(" ")
+                head = text.partition(" ")[0]
+                tail = _WORD.findall(text, len(head)) if self._keeps_spaces else text.split(" ")[1:]
                 heads.append(head)
                 words += tail
                 counts[i] = len(tail)
@@ -160,7 +176,12 @@ class WordEncoder:
         codes = np.fromiter(map(known.get, words, repeat(-1)), np.int64, len(words))
         missing = np.flatnonzero(codes < 0).tolist()
         if missing:
-            self._learn(list(dict.fromkeys(words[i] for i in missing)))
+            new = list(dict.fromkeys(words[i] for i in missing))
+            if self._keeps_spaces:
+                first = [w for w in new if w[0] != " "]  # of a line, or symbols behind a word
+                self._index.update(zip(first, self._add(*self._encode(first))))
+                new = [w[1:] for w in new if w[0] == " "]
+            self._learn(new)
             codes[missing] = [known[words[i]] for i in missing]
         mark = len(self._starts), len(self._ids)
         first = self._add(*self._encode(heads))
