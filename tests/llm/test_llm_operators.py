@@ -375,6 +375,40 @@ def test_blocks_and_regions_equal_brute_force(spark, monkeypatch):
     assert collections.Counter((r.doc_id, r.n_shingles, r.component_id) for r in found) == brute_components(rows)
 
 
+@pytest.mark.parametrize("few", [2, 32])
+def test_a_pair_leaves_the_blocks_of_one_cell_only(spark, monkeypatch, few):
+    """Documents about the threshold share many cells; each pair is compared in full once at most."""
+    monkeypatch.setattr(jaccard_join, "_FEW", few, raising=False)
+    rng = random.Random(3)
+    rows = list(enumerate(family(rng, 70, 120, 0.965)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    made, plain = [], type(docs).mapInArrow
+
+    def counted(self, function, schema, *more):
+        out = plain(self, function, schema, *more)
+        made.append(out.count() if schema == "a long, b long, x long" else 0)
+        return out
+
+    monkeypatch.setattr(type(docs), "mapInArrow", counted)
+    found = jaccard_join.near_duplicates(docs).collect()
+    assert collections.Counter((r.doc_id, r.n_shingles, r.component_id) for r in found) == brute_components(rows)
+    assert 0 < sum(made) <= 70 * 69 // 2
+
+
+def test_members_without_a_possible_partner_leave_a_cell(spark):
+    rng = random.Random(4)
+    rows = list(enumerate(family(rng, 40, 120, 0.97)))
+    sets = jaccard_join._sets(spark.createDataFrame(rows, "doc_id long, text string"), 5, 75, 0)
+    n = {r.node: r.n for r in sets.collect()}
+    cells = collections.defaultdict(list)
+    for r in jaccard_join._cells(sets, 75).collect():
+        cells[r.cell].append((r.place, r.node))
+    assert cells
+    for members in cells.values():
+        for place, node in members:
+            assert (place + min(members)[0]) * 175 <= (n[node] + max(n[x] for _, x in members)) * 25
+
+
 def test_voronoi_regions_lose_no_pair(monkeypatch):
     """Sketches of several families: the same pairs as all distances give, in far fewer comparisons."""
     rng = np.random.default_rng(4)
