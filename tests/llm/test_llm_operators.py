@@ -595,6 +595,55 @@ def test_top_products_equal_brute_force(spark):
     assert topk_products.top_products(q.limit(0), q.limit(0)).count() == 0
 
 
+def test_top_products_move_no_queries_per_block(spark, monkeypatch):
+    """Queries are not sent to every block in a shuffle; several slabs, groups and passes give the same as all pairs."""
+    monkeypatch.setattr(topk_products, "_SLAB", 50, raising=False)
+    monkeypatch.setattr(topk_products, "_QUERIES", 40, raising=False)
+    monkeypatch.setattr(topk_products, "_FIRST", 4)
+    rng = np.random.default_rng(2)
+    unit, decay = rng.normal(size=(900, 16)), np.exp(-np.arange(16) / 3)
+    unit /= np.linalg.norm(unit, axis=1, keepdims=True)
+    vectors = np.floor(1024 * unit * decay * rng.lognormal(0, 0.7, (900, 1))).astype(int)
+    vectors[100:400] = vectors[rng.integers(0, 5, 300)]
+    vectors[400:420] = 0
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(vectors)], "vec_id long, v array<long>")
+    found = topk_products.top_products(df, df.where("vec_id % 5 = 0"), 10)
+    plan = found._jdf.queryExecution().toString()
+    assert "CartesianProduct" in plan and "hashpartitioning(block" not in plan
+    want, products = [], vectors @ vectors.T
+    for i in range(0, 900, 5):
+        best = sorted((-int(s), j) for j, s in enumerate(products[i]) if j != i)[:10]
+        want += [(i, rank, j, -s) for rank, (s, j) in enumerate(best, 1)]
+    assert sorted(tuple(r) for r in found.collect()) == want
+
+
+@pytest.mark.parametrize("scale", [1024, 300_000, 2**27], ids="single double integers".split())
+@pytest.mark.parametrize("bounded", [0, 1, 4])
+def test_slabs_are_searched_exactly(monkeypatch, scale, bounded):
+    """Matrix products of either precision and of any form, with ties, zeros, bounds and the query's own id."""
+    monkeypatch.setattr(topk_products, "_TILE", (64, 256))
+    rng = np.random.default_rng(5)
+    unit = rng.normal(size=(1200, 12)) * np.exp(-np.arange(12) / 2)
+    m = np.floor(scale * unit / np.linalg.norm(unit, axis=1, keepdims=True)).astype(np.int64)
+    for m in (m, rng.integers(-1, 2, (1200, 4)), np.full((1200, 4), 3), np.zeros((1200, 4), np.int64), m[:7]):
+        ids, q = np.sort(rng.choice(5000, len(m), replace=False)), m[::9]
+        asked = np.concatenate([ids[: len(q) // 2], np.arange(6000, 6000 + len(q) - len(q) // 2)])
+        products = q @ m.T
+        bounds, bound_ids = np.full(len(q), topk_products._LEAST), np.full(len(q), topk_products._LAST)
+        if bounded:
+            bounds, bound_ids = np.sort(products, axis=1)[:, max(0, len(m) - 10 * bounded)], rng.choice(5000, len(q))
+            bounds[:3], bound_ids[:3], bounds[3:5] = topk_products._LEAST, topk_products._LAST, -(2**62)
+        basis = np.ascontiguousarray(np.linalg.eigh(m.T.astype(float) @ m)[1][:, ::-1])
+        slab = topk_products._Slab(ids, m, float(np.linalg.norm(m.astype(float), axis=1).max()), basis, 10)
+        found = [tuple(map(int, row)) for part in slab.best(asked, q, bounds, bound_ids) for row in zip(*part)]
+        want = []
+        for a, row, bound in zip(asked, products, zip(-bounds, bound_ids)):
+            pairs = sorted((-s, i) for i, s in zip(ids, row) if i != a)
+            better = [x for x in pairs if bound[1] == topk_products._LAST or x < bound]
+            want += [(int(a), int(i), -int(s)) for s, i in better[:10]]
+        assert sorted(found) == sorted(want)
+
+
 # 9: licenses
 
 
