@@ -179,7 +179,7 @@ class _Slab:
         n, k = len(q), self.k
         tops, top_ids = np.full((n, k), _LEAST), np.full((n, k), _LAST)
         found: list[tuple[np.ndarray, ...]] = []
-        form, out, mask = None, None, None
+        n_found, form, out, mask = 0, None, None, None
 
         def settle() -> None:
             """Take the pairs found so far into the best of each query, and raise the bounds."""
@@ -240,9 +240,10 @@ class _Slab:
             which, at = np.divmod(some, size)
             score = () if head else (out[which, at].astype(np.int64) + least[which],)
             found.append((which, at + begin, *score))
-            if sum(len(x[0]) for x in found) > k * n:
+            n_found += len(some)
+            if n_found > k * n:
                 settle()
-                raised = True
+                n_found, raised = 0, True
         if found:
             settle()
         which, at = np.nonzero(top_ids != _LAST)
