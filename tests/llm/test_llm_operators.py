@@ -599,7 +599,7 @@ def test_top_products_move_no_queries_per_block(spark, monkeypatch):
     """Queries are not sent to every block in a shuffle; several slabs, groups and passes give the same as all pairs."""
     monkeypatch.setattr(topk_products, "_SLAB", 50, raising=False)
     monkeypatch.setattr(topk_products, "_QUERIES", 40, raising=False)
-    monkeypatch.setattr(topk_products, "_FIRST", 4)
+    monkeypatch.setattr(topk_products, "_PASS", 3, raising=False)
     rng = np.random.default_rng(2)
     unit, decay = rng.normal(size=(900, 16)), np.exp(-np.arange(16) / 3)
     unit /= np.linalg.norm(unit, axis=1, keepdims=True)

@@ -5,12 +5,13 @@ group at a time. A query is skipped in a slab if (the longest vector) x (the que
 are rotated by the right singular vectors of all vectors, which gathers most of an inner product in the first
 coordinates, and a vector is skipped if its partial product over these plus the Cauchy-Schwarz bound on the rest is below:
 the product of what is left of both lengths. That product is one more coordinate, and the bound another, so one
-matrix product of a tile tells what remains. How many coordinates it takes is chosen on a few pairs of each slab and queries; if
-too few pairs are skipped, the matrix product is of all integers as they are, and its scores are exact.
+matrix product of a tile tells what remains. How many coordinates it takes is chosen on a few pairs of each slab and
+group; if too few pairs are skipped, the matrix product is of all integers as they are, and its scores are exact.
 
-The bound is the k-th best score and its id among the longest vectors, which a first pass finds, and rises with what a
-slab has. Scores equal to it are kept if their id is smaller. The vectors of a slab are in order of their ids, so that a
-tile of larger ids needs a higher score, and a large group of equal vectors costs no more than others.
+The bound is the k-th best score and its id among longer vectors, which earlier passes find, and rises with what a slab
+has. Each pass searches several times as many slabs as those before it. Scores equal to the bound are kept if their id is
+smaller. The vectors of a slab are in order of their ids, so that a tile of larger ids needs a higher score, and a
+large group of equal vectors costs no more than others.
 
 Every slab meets every group in a product of the two tables without a shuffle, so all that is shuffled is the vectors
 once and the best of each slab.
@@ -22,6 +23,7 @@ wrap around.
 
 from __future__ import annotations
 
+import itertools
 from collections.abc import Iterator
 
 import numpy as np
@@ -36,8 +38,8 @@ from tollgate.llm.common import saved
 _SLAB, _QUERIES = 32_768, 16_384
 #: Queries and vectors of a tile, whose products are held at once.
 _TILE = 512, 512
-#: The first pass searches one slab in so many, the longest, but one at least.
-_FIRST = 16
+#: A pass searches up to so many times the slabs of the passes before it.
+_PASS = 8
 #: Coordinates of a pair in a matrix product that cost as much as a pair that it does not skip.
 _KEPT = 8000
 #: The score and id that all others are better than.
@@ -163,12 +165,14 @@ class _Slab:
             out.append(np.einsum("ij,ij->i", a.astype(kind or np.int64), b.astype(kind or np.int64)).astype(np.int64))
         return np.concatenate(out)
 
-    def best(self, asked: np.ndarray, q: np.ndarray, bounds: np.ndarray, bound_ids: np.ndarray) -> Iterator[tuple[np.ndarray, ...]]:
+    def best(
+        self, asked: np.ndarray, q: np.ndarray, bounds: np.ndarray, bound_ids: np.ndarray
+    ) -> Iterator[tuple[np.ndarray, ...]]:
         """The best vectors of queries that are better than their bounds: query ids, vector ids and scores."""
         lengths = np.linalg.norm(q.astype(np.float64), axis=1)
         alive = lengths * self.longest * (1 + 1e-9) >= bounds
         asked, q, lengths, bounds, bound_ids = (x[alive] for x in (asked, q, lengths, bounds, bound_ids))
-        # No sum of some of the products, with a bound taken off, passes twice the product of the lengths: exact below 2**24 or 2**53.
+        # Sums of some of the products, less a bound, stay under twice the product of the lengths: exact below 2**24 or 2**53.
         largest = lengths.max(initial=0) * self.longest
         kind = np.float32 if largest < 2**22 else np.float64 if largest < 2**51 else None
         for i in range(0, len(q), _TILE[0]):
@@ -317,15 +321,18 @@ def top_products(vectors: DataFrame, queries: DataFrame, k: int = 10) -> DataFra
         rows = rows.withColumn("rank", F.row_number().over(ranking).cast("int"))
         return rows.where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 
-    last = max(0, n_slabs // _FIRST - 1)
+    ends = [n_slabs]
+    while ends[0] >= _PASS:
+        ends.insert(0, ends[0] // _PASS)
     unbounded = queries.withColumns({"bound": F.lit(int(_LEAST)), "bound_id": F.lit(int(_LAST))})
-    first = ranked(found(unbounded, slabs.where(F.col("block") <= last)))
-    if last == n_slabs - 1:
-        return first
-    first = saved(first, "products-first")
-    bounds = first.where(F.col("rank") == k).select(F.col("query_id").alias("vec_id"), "score", F.col("vec_id").alias("id"))
-    bounded = queries.join(bounds, "vec_id", "left").select(
-        "vec_id", "v", F.coalesce("score", F.lit(int(_LEAST))).alias("bound"), F.coalesce("id", F.lit(int(_LAST))).alias("bound_id")
-    )
-    rest = found(bounded, slabs.where(F.col("block") > last))
-    return ranked(rest.unionByName(first.drop("rank")))
+    best = ranked(found(unbounded, slabs.where(F.col("block") < ends[0])))
+    for begin, end in itertools.pairwise(ends):
+        best = saved(best, "products-best")
+        last = best.where(F.col("rank") == k)
+        bounds = last.select(F.col("query_id").alias("vec_id"), "score", F.col("vec_id").alias("id"))
+        bound = F.coalesce("score", F.lit(int(_LEAST))).alias("bound")
+        bound_id = F.coalesce("id", F.lit(int(_LAST))).alias("bound_id")
+        bounded = queries.join(bounds, "vec_id", "left").select("vec_id", "v", bound, bound_id)
+        rest = found(bounded, slabs.where((F.col("block") >= begin) & (F.col("block") < end)))
+        best = ranked(rest.unionByName(best.drop("rank")))
+    return best
